@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.moments import skew_g1
-from tidemark.functions.parse import month_of, round_coord
+from tidemark.functions.parse import month_of, round_coord, rows_of
 from tidemark.operators.dedupe import pick_per_key
 from tidemark.operators.ranking import group_quantiles, medians
 
@@ -50,10 +50,10 @@ def median_by_group(df: DataFrame, by: list[str], column: str) -> DataFrame:
     return medians(df, by, column).drop("n")
 
 
-def fixed_domain(spark, name: str, labels: list) -> DataFrame:
+def fixed_domain(spark: SparkSession, name: str, labels: list) -> DataFrame:
     """The label list as a table, with its order."""
-    kind = "string" if isinstance(labels[0], str) else "long"
-    return spark.createDataFrame([(v, i) for i, v in enumerate(labels)], f"{name} {kind}, position long")
+    rows = [F.struct(F.lit(v).alias(name), F.lit(i).alias("position")) for i, v in enumerate(labels)]
+    return spark.range(1).select(rows_of(*rows))
 
 
 def align_to_domain(df: DataFrame, column: str, labels: list) -> DataFrame:

@@ -83,7 +83,9 @@ def iqr_bounds(df: DataFrame, fields: list[str], multiplier: float = IQR_MULTIPL
     return q.withColumns({"lower_bound": F.col("q1") - spread, "upper_bound": F.col("q3") + spread})
 
 
-def flag_outliers(df: DataFrame, fields: list[str], multiplier: float = IQR_MULTIPLIER) -> DataFrame:
+def flag_outliers(
+    df: DataFrame, fields: list[str], multiplier: float = IQR_MULTIPLIER, keep_bounds: bool = False
+) -> DataFrame:
     """Every row with ``<field>_outlier`` flags; on a bound or null is not an outlier."""
     bounds = iqr_bounds(df, fields, multiplier)
     packed = bounds.agg(
@@ -98,7 +100,8 @@ def flag_outliers(df: DataFrame, fields: list[str], multiplier: float = IQR_MULT
         x = F.col(f).cast("double")
         return F.coalesce((x < F.col(f"_b.{f}_lo")) | (x > F.col(f"_b.{f}_hi")), F.lit(False))
 
-    return out.withColumns({f"{f}_outlier": outside(f) for f in fields}).drop("_b")
+    flagged = out.withColumns({f"{f}_outlier": outside(f) for f in fields})
+    return flagged if keep_bounds else flagged.drop("_b")
 
 
 def iqr_outliers(df: DataFrame, fields: list[str], multiplier: float = IQR_MULTIPLIER) -> DataFrame:
@@ -109,23 +112,22 @@ def iqr_outliers(df: DataFrame, fields: list[str], multiplier: float = IQR_MULTI
 
 def iqr_summary(df: DataFrame, fields: list[str], multiplier: float = IQR_MULTIPLIER) -> DataFrame:
     """Per field: bounds to two decimals, evaluated values, outliers and their share."""
-    bounds = iqr_bounds(df, fields, multiplier)
-    tall = df.select(*[F.col(f).cast("double").alias(f) for f in fields]).unpivot([], fields, "field", "_x")
-    counted = tall.groupBy("field", "_x").agg(F.count("_x").alias("_n"))
-    # one row per field: the field list fixes the size of the broadcast
-    judged = counted.join(F.broadcast(bounds), "field")
-    outside = (F.col("_x") < F.col("lower_bound")) | (F.col("_x") > F.col("upper_bound"))
-    out = judged.groupBy("field", "lower_bound", "upper_bound").agg(
-        F.sum("_n").alias("evaluated"), F.coalesce(F.sum(F.when(outside, F.col("_n"))), F.lit(0)).alias("outlier_count")
-    )
-    return out.select(
-        "field",
-        F.bround("lower_bound", 2).alias("lower_bound"),
-        F.bround("upper_bound", 2).alias("upper_bound"),
-        "evaluated",
-        "outlier_count",
-        pct(F.col("outlier_count"), F.col("evaluated")).alias("outlier_pct"),
-    )
+    flagged = flag_outliers(df, fields, multiplier, keep_bounds=True)
+    aggs = [F.any_value("_b").alias("_b")]
+    for i, f in enumerate(fields):
+        aggs += [F.count(f).alias(f"e{i}"), F.count_if(f"{f}_outlier").alias(f"o{i}")]
+    structs = [
+        F.struct(
+            F.lit(f).alias("field"),
+            F.bround(F.col(f"_b.{f}_lo"), 2).alias("lower_bound"),
+            F.bround(F.col(f"_b.{f}_hi"), 2).alias("upper_bound"),
+            F.col(f"e{i}").alias("evaluated"),
+            F.col(f"o{i}").alias("outlier_count"),
+            pct(F.col(f"o{i}"), F.col(f"e{i}")).alias("outlier_pct"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return flagged.agg(*aggs).select(rows_of(*structs))
 
 
 def rule_violations(df: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFrame:

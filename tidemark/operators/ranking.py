@@ -10,79 +10,77 @@ combined into one row before any shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+# Fixed values of the node numbering.
+_ZERO = 1 << 20
+_NODE1 = f"""CASE WHEN v > 0 THEN CAST(floor(log2(v) * 256D) AS BIGINT) + {_ZERO}
+                  WHEN v < 0 THEN -CAST(floor(log2(-v) * 256D) AS BIGINT) - {_ZERO} ELSE 0L END"""
+_NODE2 = f"""CASE WHEN k1 = 0 THEN 0L
+                  ELSE CAST(floor(v / pow(2D, (abs(k1) - {_ZERO}) / 256D) * 268435456D) AS BIGINT) END"""
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
-_PER_OCTAVE = 256.0
-_PER_NODE = float(2**28)
 
+def _list(*names: str) -> str:
+    return ", ".join(names)
 
-def _node1(v: Column) -> Column:
-    size = F.floor(F.log2(F.abs(v)) * _PER_OCTAVE).cast("long") + F.lit(1 << 20)
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0).cast("long"))
 
+def _quoted(by: list[str]) -> list[str]:
+    return [f"`{c}`" for c in by]
 
-def _node2(v: Column, node1: Column) -> Column:
-    width = F.pow(F.lit(2.0), (F.abs(node1) - F.lit(1 << 20)) / _PER_OCTAVE)
-    return F.when(node1 == 0, F.lit(0).cast("long")).otherwise(F.floor(v / width * _PER_NODE).cast("long"))
 
-
-def _values(df: DataFrame, by: list[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Non-null keys and values only, with the first node number."""
-    v = F.col(value).cast("double")
-    keep = reduce(lambda acc, k: acc & F.col(k).isNotNull(), by, v.isNotNull() & ~F.isnan(v))
-    extra = extra or {}
-    rows = df.where(keep).select(*by, v.alias("_v"), *[c.alias(n) for n, c in extra.items()])
-    return rows.withColumn("_k1", _node1(F.col("_v")))
-
-
-def _running(nodes: DataFrame, parent: list[str], key: str) -> DataFrame:
-    """Rows before each child, counted among the children of its parent."""
-    w = Window.partitionBy(*parent).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return nodes.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-
-
-def _descend(nodes: DataFrame, parent: list[str], key: str, ats: list[str]) -> DataFrame:
-    """Keep the children that hold a wanted position, with positions relative to the child."""
-    ranked = _running(nodes, parent, key)
-    left = {a: F.col(a) - F.col("_before") for a in ats}
-    moved = ranked.withColumns({a: F.when((x >= 0) & (x < F.col("_n")), x) for a, x in left.items()})
-    return moved.where(F.coalesce(*ats).isNotNull()).drop("_before")
+def _values(by: list[str], value: str, extra: str = "") -> str:
+    """Rows (by, v, k1) with every key and the value present."""
+    keep = " AND ".join(["v IS NOT NULL", "NOT isnan(v)", *[f"{c} IS NOT NULL" for c in by]])
+    return f"""SELECT *, {_NODE1} AS k1
+               FROM (SELECT {_list(*by, f"CAST(`{value}` AS DOUBLE) AS v")}{extra} FROM {{df}}) WHERE {keep}"""
 
 
 def order_statistics(
-    df: DataFrame, by: list[str], value: str, positions: dict[str, Callable[[Column], Column]], few: bool = False
+    df: DataFrame, by: list[str], value: str, positions: dict[str, str], few: bool = False, **tables: DataFrame
 ) -> DataFrame:
     """Sorted values of each group at 0-based positions, exactly.
 
-    ``positions`` maps a name to a function from the group size to a position. Returns
-    ``by``, ``n``, and per name the value and ``<name>_below``, the number of smaller values.
-    ``few`` promises that the number of groups is fixed by the caller and not by the data;
-    only then are the wanted nodes (groups x positions rows) broadcast by hint.
+    ``positions`` maps a name to a SQL expression of the group size ``size`` (and of tables
+    given by name). Returns ``by``, ``n``, and per name the value and ``<name>_below``, the
+    number of smaller values. Only the rows of the first-level nodes that hold a wanted position
+    are shuffled by value. ``few`` promises that the number of groups is fixed by the caller and
+    not by the data; only then are the wanted nodes (groups x positions) broadcast by hint.
+    """
+    by = _quoted(by)
+    ats = [f"at_{name}" for name in positions]
+    # positions come first in the parent and are made relative to the child that holds them
+    into_child = _list(*[f"CASE WHEN {a} >= before AND {a} < before + n THEN {a} - before END AS {a}" for a in ats])
+    holds = f"coalesce({_list(*ats)}) IS NOT NULL"
+    carried = _list(*[f"max({c}) AS {c}" for c in ("size", *ats)])
+    group = _list(*by) or "0"
+    hint = "/*+ BROADCAST(top) */" if few or not by else ""
+    out = [f"max(CASE WHEN {a} IS NOT NULL THEN v END) AS `{name}`, max({pos} - {a}) AS `{name}_below`" for a, (name, pos) in zip(ats, positions.items())]
+    text = f"""
+    WITH vals AS ({_values(by, value)}),
+    level1 AS (
+      SELECT *, {_list(*[f"{pos} AS {a}" for a, pos in zip(ats, positions.values())])} FROM (
+        SELECT *, coalesce(sum(n) OVER (PARTITION BY {group} ORDER BY k1 {_BEFORE}), 0L) AS before,
+               sum(n) OVER (PARTITION BY {group}) AS size
+        FROM (SELECT {_list(*by, "k1")}, count(1) AS n FROM vals GROUP BY {_list(*by, "k1")}))),
+    top AS (SELECT * FROM (SELECT {_list(*by, "k1", "size", into_child)} FROM level1) WHERE {holds}),
+    near AS (
+      SELECT * FROM (
+        SELECT *, {_NODE2} AS k2 FROM (
+          SELECT {hint} {_list(*by, "k1", "v")}, count(1) AS n, {carried}
+          FROM vals JOIN top USING ({_list(*by, "k1")}) GROUP BY {_list(*by, "k1", "v")}))
+      WHERE k2 IS NOT NULL),
+    level2 AS (
+      SELECT *, coalesce(sum(n) OVER (PARTITION BY {_list(*by, "k1")} ORDER BY k2 {_BEFORE}), 0L) AS before
+      FROM (SELECT {_list(*by, "k1", "k2")}, sum(n) AS n, {carried} FROM near GROUP BY {_list(*by, "k1", "k2")})),
+    middle AS (SELECT * FROM (SELECT {_list(*by, "k1", "k2", into_child)} FROM level2) WHERE {holds}),
+    leaves AS (
+      SELECT *, coalesce(sum(n) OVER (PARTITION BY {_list(*by, "k1", "k2")} ORDER BY v {_BEFORE}), 0L) AS before
+      FROM (SELECT {_list(*by, "k1", "k2", "v", "n", "size")} FROM near) JOIN middle USING ({_list(*by, "k1", "k2")})),
+    found AS (SELECT * FROM (SELECT {_list(*by, "v", "size", into_child)} FROM leaves) WHERE {holds})
+    SELECT {_list(*by, "max(size) AS n", *out)} FROM found {"GROUP BY " + _list(*by) if by else ""}
     """
-    rows = _values(df, by, value)
-    ats = [f"_at_{name}" for name in positions]
-    size = F.sum("_n").over(Window.partitionBy(*by)) if by else F.sum("_n").over(Window.partitionBy(F.lit(0)))
-    level1 = rows.groupBy(*by, "_k1").agg(F.count(F.lit(1)).alias("_n")).withColumn("_size", size)
-    level1 = level1.withColumns({a: f(F.col("_size")).cast("long") for a, f in zip(ats, positions.values())})
-    carried = [F.max(c).alias(c) for c in ("_size", *ats)]
-    group = by or [F.lit(0)]
-    top = _descend(level1, group, "_k1", ats).drop("_n")
-    if few or not by:
-        top = F.broadcast(top)
-    near = rows.join(top, [*by, "_k1"]).groupBy(*by, "_k1", "_v").agg(F.count(F.lit(1)).alias("_n"), *carried)
-    near = near.withColumn("_k2", _node2(F.col("_v"), F.col("_k1"))).where(F.col("_k2").isNotNull())
-    node2 = [*by, "_k1", "_k2"]
-    level2 = near.groupBy(*node2).agg(F.sum("_n").alias("_n"), *carried)
-    mid = _descend(level2, [*by, "_k1"], "_k2", ats).drop("_n", "_size")
-    leaf = _descend(near.drop(*ats).join(mid, node2), node2, "_v", ats)
-    out = [F.max("_size").alias("n")]
-    for name, a in zip(positions, ats):
-        out.append(F.max(F.when(F.col(a).isNotNull(), F.col("_v"))).alias(name))
-        out.append(F.max(positions[name](F.col("_size")).cast("long") - F.col(a)).alias(f"{name}_below"))
-    return leaf.groupBy(*by).agg(*out)
+    return df.sparkSession.sql(text, df=df, **tables)
 
 
 def group_quantiles(
@@ -94,16 +92,14 @@ def group_quantiles(
     """
     positions = {}
     for name, p in probs.items():
-        exact = lambda n, p=p: (n - 1) * F.lit(float(p))
-        positions[f"{name}_lo"] = lambda n, e=exact: F.floor(e(n))
-        positions[f"{name}_hi"] = lambda n, e=exact: F.ceil(e(n))
+        positions[f"{name}_lo"] = f"CAST(floor((size - 1) * {float(p)!r}D) AS BIGINT)"
+        positions[f"{name}_hi"] = f"CAST(ceil((size - 1) * {float(p)!r}D) AS BIGINT)"
     found = order_statistics(df, by, value, positions, few)
-    columns = []
-    for name, p in probs.items():
-        exact = (F.col("n") - 1) * F.lit(float(p))
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        columns.append((low + (high - low) * (exact - F.floor(exact))).alias(name))
-    return found.select(*by, "n", *columns)
+    columns = [
+        f"`{name}_lo` + (`{name}_hi` - `{name}_lo`) * ((n - 1) * {float(p)!r}D - floor((n - 1) * {float(p)!r}D)) AS `{name}`"
+        for name, p in probs.items()
+    ]
+    return found.selectExpr(*_quoted(by), "n", *columns)
 
 
 def medians(df: DataFrame, by: list[str], value: str, name: str = "median") -> DataFrame:
@@ -122,28 +118,27 @@ def rank_sums(df: DataFrame, by: list[str], value: str, first: Column, second: C
     A rank is what lies in earlier first-level nodes, plus earlier second-level nodes under the
     same parent, plus smaller values in the same node. The sum is built up level by level.
     """
-    rows = _values(df.where(first | second), by, value, {"_is_a": first})
-    per_value = rows.groupBy(*by, "_k1", "_v").agg(
-        F.count_if("_is_a").alias("_a"), F.count(F.lit(1)).alias("_n")
-    )
-    leaves = _running(per_value.withColumn("_k2", _node2(F.col("_v"), F.col("_k1"))), [*by, "_k1", "_k2"], "_v")
-    a, t = F.col("_a").cast("double"), F.col("_n").cast("double")
-    leaves = leaves.withColumn("_r", a * ((t + 1) / 2)).withColumn("_t", t * t * t - t)
-
-    def lift(nodes: DataFrame, keys: list[str]) -> DataFrame:
-        return nodes.groupBy(*keys).agg(
-            F.sum(F.col("_r") + a * F.col("_before")).alias("_r"),
-            F.sum("_t").alias("_t"),
-            F.sum("_a").alias("_a"),
-            F.sum("_n").alias("_n"),
-        )
-
-    level2 = _running(lift(leaves, [*by, "_k1", "_k2"]), [*by, "_k1"], "_k2")
-    level1 = _running(lift(level2, [*by, "_k1"]), by or [F.lit(0)], "_k1")
-    return lift(level1, by).select(
-        *by,
-        F.col("_r").alias("rank_sum_a"),
-        F.col("_t").alias("tie_term"),
-        F.col("_a").alias("n_a"),
-        (F.col("_n") - F.col("_a")).alias("n_b"),
-    )
+    rows = df.where(first | second).withColumn("_first", first)
+    by = _quoted(by)
+
+    def level(source: str, keys: list[str], parent: list[str], key: str) -> str:
+        """Nodes of one level with the count of earlier siblings."""
+        return f"""SELECT *, coalesce(sum(n) OVER (PARTITION BY {_list(*parent) or "0"} ORDER BY {key} {_BEFORE}), 0L) AS before
+                   FROM (SELECT {_list(*keys)}, sum(r + a * before) AS r, sum(t) AS t, sum(a) AS a, sum(n) AS n
+                         FROM {source} GROUP BY {_list(*keys)})"""
+
+    node1, node2 = [*by, "k1"], [*by, "k1", "k2"]
+    text = f"""
+    WITH vals AS ({_values(by, value, ", _first")}),
+    leaves AS (
+      SELECT *, a * ((n + 1) / 2D) AS r, CAST(n AS DOUBLE) * n * n - n AS t,
+             coalesce(sum(n) OVER (PARTITION BY {_list(*node2)} ORDER BY v {_BEFORE}), 0L) AS before
+      FROM (SELECT *, {_NODE2} AS k2 FROM (
+        SELECT {_list(*node1, "v")}, CAST(count_if(_first) AS DOUBLE) AS a, count(1) AS n FROM vals GROUP BY {_list(*node1, "v")}))),
+    level2 AS ({level("leaves", node2, node1, "k2")}),
+    level1 AS ({level("level2", node1, by, "k1")})
+    SELECT {_list(*by, "sum(r + a * before) AS rank_sum_a", "sum(t) AS tie_term")},
+           CAST(sum(a) AS BIGINT) AS n_a, sum(n) - CAST(sum(a) AS BIGINT) AS n_b
+    FROM level1 {"GROUP BY " + _list(*by) if by else ""}
+    """
+    return df.sparkSession.sql(text, df=rows)

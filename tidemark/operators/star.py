@@ -27,46 +27,52 @@ def top_groups(dim: DataFrame, name: str, measure: str, others: list[str], k: in
     )
 
 
-def agg_by_flag(
-    fact: DataFrame, dim: DataFrame, key: str, flag: str, labels: tuple[str, str], averages: dict[str, str],
+def _by_dim_label(
+    fact: DataFrame, dim: DataFrame, key: str, label: str, name: str, averages: dict[str, str], where: str, order: str,
 ) -> DataFrame:
-    """Row count and averages of fact measures by a two-valued flag of the dimension.
+    """Count and averages of fact rows by a label of their dimension row.
 
-    Rows whose key or flag is null are left out; every flag other than 't' is the second label.
+    The fact is summed per key before it meets the dimension, so the join moves one row per key
+    however many fact rows a key holds.
     """
-    means = ", ".join(f"AVG(fact.{c}) AS {name}" for c, name in averages.items())
+    sums = ", ".join(f"SUM({c}) AS s{i}, COUNT({c}) AS k{i}" for i, c in enumerate(averages))
+    means = ", ".join(f"SUM(s{i}) / NULLIF(SUM(k{i}), 0) AS {alias}" for i, alias in enumerate(averages.values()))
     return sql_scan(
         fact.sparkSession,
         f"""
-        SELECT label, COUNT(*) AS listing_count, {means}
-        FROM (SELECT {key}, IF({flag} = 't', '{labels[0]}', '{labels[1]}') AS label
-              FROM {{dim}} WHERE {flag} IS NOT NULL) AS dim
-        JOIN {{fact}} AS fact USING ({key})
-        GROUP BY label
+        WITH per_key AS (SELECT {key}, COUNT(*) AS n, {sums} FROM {{fact}} GROUP BY {key}),
+             labelled AS (SELECT {key}, {label} AS {name} FROM {{dim}} WHERE {where})
+        SELECT {name}, SUM(n) AS listing_count, {means}
+        FROM labelled JOIN per_key USING ({key})
+        GROUP BY {name}
+        {order}
         """,
         fact=fact, dim=dim,
     )
 
 
+def agg_by_flag(
+    fact: DataFrame, dim: DataFrame, key: str, flag: str, labels: tuple[str, str], averages: dict[str, str],
+    name: str = "host_type",
+) -> DataFrame:
+    """Row count and averages of fact measures by a two-valued flag of the dimension.
+
+    Rows whose key or flag is null are left out; every flag other than 't' is the second label.
+    """
+    label = f"IF({flag} = 't', '{labels[0]}', '{labels[1]}')"
+    return _by_dim_label(fact, dim, key, label, name, averages, f"{flag} IS NOT NULL", "")
+
+
 def agg_by_bucket(
     fact: DataFrame, dim: DataFrame, key: str, measure: str, edges: list[tuple[float, str]], last: str,
-    average: tuple[str, str], missing: str = "Unknown",
+    averages: dict[str, str], missing: str = "Unknown", name: str = "tenure_bucket",
 ) -> DataFrame:
-    """Row count and an average by bucket of a dimension measure, in bucket order."""
+    """Row count and averages by bucket of a dimension measure, in bucket order, missing last."""
     cases = " ".join(f"WHEN {measure} < {edge} THEN '{label}'" for edge, label in edges)
-    order = " ".join(f"WHEN '{label}' THEN {i}" for i, label in enumerate([e[1] for e in edges] + [last]))
-    return sql_scan(
-        fact.sparkSession,
-        f"""
-        SELECT bucket, COUNT(*) AS listing_count, AVG(fact.{average[0]}) AS {average[1]}
-        FROM (SELECT {key}, CASE WHEN {measure} IS NULL THEN '{missing}' {cases} ELSE '{last}' END AS bucket
-              FROM {{dim}}) AS dim
-        JOIN {{fact}} AS fact USING ({key})
-        GROUP BY bucket
-        ORDER BY CASE bucket {order} ELSE {len(edges) + 1} END
-        """,
-        fact=fact, dim=dim,
-    )
+    bucket = f"CASE WHEN {measure} IS NULL THEN '{missing}' {cases} ELSE '{last}' END"
+    ranks = " ".join(f"WHEN '{label}' THEN {i}" for i, label in enumerate([e[1] for e in edges] + [last]))
+    order = f"ORDER BY CASE {name} {ranks} ELSE {len(edges) + 1} END"
+    return _by_dim_label(fact, dim, key, bucket, name, averages, "true", order)
 
 
 def agg_by_category(fact: DataFrame, category: str, measure: str, name: str) -> DataFrame:
