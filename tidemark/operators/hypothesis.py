@@ -390,10 +390,11 @@ def tukey_hsd(
             "_se": F.sqrt(F.col("_f.mse") / 2 * (F.lit(1.0) / F.col("_n1") + F.lit(1.0) / F.col("_n2"))),
         }
     )
-    p = tail_udf(studentized_range_tail, F.abs("meandiff") / F.col("_se"), F.col("_f.k"), F.col("_f.df2"))
+    pairs = pairs.withColumn("q", F.try_divide(F.abs("meandiff"), F.col("_se")))
+    p = tail_udf(studentized_range_tail, F.col("q"), F.col("_f.k"), F.col("_f.df2"))
     half = F.col("_se") * F.col("_f.crit")
     return pairs.withColumn("p_adj", p).select(
-        "group1", "group2", "meandiff", "p_adj",
+        "group1", "group2", "meandiff", "q", "p_adj",
         (F.col("meandiff") - half).alias("lower"), (F.col("meandiff") + half).alias("upper"),
         (F.abs("meandiff") > half).alias("reject"),
     )

@@ -17,9 +17,11 @@ def parquet_sink(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def csv_sink(df: DataFrame, path: str) -> None:
-    """Header CSV, quotes doubled; a folder of part files."""
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+def csv_sink(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Header CSV, quotes doubled, spaces kept; a folder of part files."""
+    df.write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression=compression
+    ).csv(path)
 
 
 def upsert_rows(existing: DataFrame, batch: DataFrame, key: str, batch_order: Column) -> DataFrame:
