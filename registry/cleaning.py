@@ -136,11 +136,11 @@ def revenue_proxy(spark, sf):
 
 
 @query("d3_review_frequency", f"""
-    SELECT id, round(coalesce(n_reviews / CASE WHEN months > 0 THEN months END, 0), 7) AS review_frequency
+    SELECT id, coalesce(n_reviews / CASE WHEN months > 0 THEN months END, 0) AS review_frequency
     FROM (SELECT id, n_reviews, date_diff('day', first_review, DATE '{AS_OF}') / 30.44e0 AS months FROM ({LISTING}) l) q""")
 def review_frequency(spark, sf):
     f = derive.review_frequency(F.col("n_reviews"), F.col("first_review"), TODAY)
-    return rounded(role(spark, sf, LISTING).select("id", f.alias("review_frequency")), 7, "review_frequency")
+    return role(spark, sf, LISTING).select("id", f.alias("review_frequency"))
 
 
 @query("d4_tenure_years", f"SELECT id, round(date_diff('day', first_review, DATE '{AS_OF}') / 365e0, 9) AS tenure FROM ({LISTING}) l")

@@ -328,13 +328,14 @@ def _usable_groups(df: DataFrame, group: str, value: str) -> DataFrame:
     return group_moments(df, group, value).where(F.col("n") >= 2)
 
 
-def _mean(df: DataFrame, group: str, value: str) -> Column:
-    return _observations(df, group, value).agg(F.avg("x")).scalar()
+def _grand_mean(moments: DataFrame) -> Column:
+    return moments.agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n"))).scalar()
 
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
     """One row: one-way ANOVA with eta squared and Levene; fewer than 2 usable groups is an error."""
-    one = _one_way(_usable_groups(df, group, value), _mean(df, group, value))
+    moments = _usable_groups(df, group, value)
+    one = _one_way(moments, _grand_mean(moments))
     checked = F.when(F.col("k") < 2, F.raise_error(F.lit("need at least 2 groups with data")).cast("long")).otherwise(F.col("k"))
     total = F.col("ss_between") + F.col("ss_within")
     eta = F.when(total > 0, F.try_divide(F.col("ss_between"), total)).otherwise(F.lit(0.0))
@@ -365,7 +366,7 @@ def tukey_hsd(
     numbers over the table of group moments, never over rows of the data.
     """
     moments = _usable_groups(df, group, value)
-    one = _one_way(moments, _mean(df, group, value))
+    one = _one_way(moments, _grand_mean(moments))
     numbered = moments.select("g", "n", "mean").withColumn(
         "_i", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("g"))
     )
