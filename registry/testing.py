@@ -26,6 +26,14 @@ def normal_tail(z: str, steps: int = 4000) -> str:
     return f"(SELECT SUM({weight} * exp(-{at} * {at} / 2)) * 12e0 / {steps} / 3 / sqrt(2 * pi()) FROM range(0, {steps + 1}) i)"
 
 
+def t_tail(t: str, df: str, steps: int = 4000) -> str:
+    """Two-sided tail of Student's t as one minus the mass between -t and t."""
+    weight = f"CASE WHEN i.range IN (0, {steps}) THEN 1 WHEN i.range % 2 = 1 THEN 4 ELSE 2 END"
+    at = f"(abs({t}) * i.range / {steps}e0)"
+    density = f"exp(lgamma((({df}) + 1) / 2e0) - lgamma(({df}) / 2e0) - (({df}) + 1) / 2e0 * ln(1 + {at} * {at} / ({df}))) / sqrt(pi() * ({df}))"
+    return f"(SELECT 1 - 2 * SUM({weight} * {density}) * abs({t}) / {steps} / 3 FROM range(0, {steps + 1}) i)"
+
+
 PAIR = "SELECT event_type AS g, value AS x FROM {events} WHERE event_type IN ('click', 'view') AND value IS NOT NULL"
 MOMENTS = f"""SELECT COUNT(x) FILTER (WHERE g = 'click') AS n1, COUNT(x) FILTER (WHERE g = 'view') AS n2, AVG(x) FILTER (WHERE g = 'click') AS m1,
     AVG(x) FILTER (WHERE g = 'view') AS m2, var_samp(x) FILTER (WHERE g = 'click') AS v1, var_samp(x) FILTER (WHERE g = 'view') AS v2 FROM ({PAIR}) p"""
@@ -76,12 +84,12 @@ LEVENE = """WITH x AS ({rows}), z AS (SELECT g, abs(x - median(x) OVER (PARTITIO
 
 
 @query("h4_t_test", f"""
-    WITH m AS ({MOMENTS}), l AS ({LEVENE.format(rows=PAIR)}), e AS (SELECT w, {f_tail("w", "d1", "d2")} > 0.05 AS even FROM l),
+    WITH m AS ({MOMENTS}), l AS ({LEVENE.format(rows=PAIR)}), e AS (SELECT w, {t_tail("sqrt(w)", "d2")} > 0.05 AS even FROM l),
          t AS (SELECT *, sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)) AS sp FROM m, e),
          c AS (SELECT *, CASE WHEN even THEN (m1 - m2) / (sp * sqrt(1e0 / n1 + 1e0 / n2)) ELSE (m1 - m2) / sqrt(v1 / n1 + v2 / n2) END AS t,
                       CASE WHEN even THEN n1 + n2 - 2e0 ELSE pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) END AS df, (m1 - m2) / sp AS d FROM t)
     SELECT CASE WHEN even THEN 'Student''s t-test' ELSE 'Welch''s t-test' END AS test_used, n1 AS n_a, n2 AS n_b, round(m1, 7) AS mean_a, round(m2, 7) AS mean_b,
-           even AS equal_variance, round(t, 7) AS t, round(df, 5) AS df, round({f_tail("t * t", "1", "df")}, 6) AS p_value, round(d, 8) AS cohens_d, {label("d", 0.2, 0.5, 0.8)} AS magnitude FROM c""")
+           even AS equal_variance, round(t, 7) AS t, round(df, 5) AS df, round({t_tail("t", "df")}, 6) AS p_value, round(d, 8) AS cohens_d, {label("d", 0.2, 0.5, 0.8)} AS magnitude FROM c""")
 def t_test(spark, sf):
     out = rounded(h.t_test(table(spark, sf, "events"), *ARGS), 7, "mean_a", "mean_b", "t")
     return rounded(rounded(rounded(out, 5, "df"), 6, "p_value"), 8, "cohens_d")

@@ -45,9 +45,25 @@ def test_exact_mann_whitney_by_enumeration():
         assert tails.mann_whitney_exact(u, n1, n2) == pytest.approx(min(1, 2 * sum(v >= upper for v in us) / len(us)))
 
 
-def test_shapiro_published_example():
-    w, p = tails.shapiro_wilk([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236])
-    assert w == pytest.approx(0.7888, abs=1e-4) and p == pytest.approx(0.00670, abs=1e-4)
+def test_shapiro_published_example(spark):
+    weights = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]
+    r = h.shapiro(pairs(spark, a=weights), "g", "x").first()
+    assert r["w"] == pytest.approx(0.7888, abs=1e-4) and r["p_value"] == pytest.approx(0.00670, abs=1e-4)
+
+
+def test_shapiro_small_and_constant_groups(spark):
+    got = {r["g"]: r for r in h.shapiro(pairs(spark, three=[1, 2, 3], four=[1, 2, 3, 9], five=[1, 2, 3, 4, 5], same=[7] * 9), "g", "x").collect()}
+    assert got["three"]["w"] == pytest.approx(1.0) and got["same"]["w"] == got["same"]["p_value"] == 1.0
+    # values of the published tables: even spacing looks normal
+    assert got["five"]["w"] == pytest.approx(0.98676, abs=1e-4) and got["five"]["p_value"] == pytest.approx(0.96717, abs=1e-3)
+    assert 0.6 < got["four"]["w"] < 0.9
+
+
+def test_shapiro_does_not_move_with_the_origin(spark):
+    rng = np.random.default_rng(8)
+    x = rng.exponential(1, 300)
+    got = {r["g"]: r["w"] for r in h.shapiro(pairs(spark, near=x, far=x + 1e5), "g", "x").collect()}
+    assert got["near"] == pytest.approx(got["far"], rel=1e-7)
 
 
 def test_shapiro_leaves_large_groups_to_moments(spark):

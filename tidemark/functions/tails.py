@@ -139,49 +139,57 @@ def mann_whitney_p(u: float, n1: float, n2: float, ties: float) -> float:
     return min(1.0, 2 * normal_sf(z))
 
 
-def shapiro_wilk(x: np.ndarray) -> tuple[float, float]:
-    """W and p by Royston's 1995 approximation, for 3 to 5000 values."""
-    x = np.sort(np.asarray(x, dtype=float))
-    n = len(x)
-    if x[0] == x[-1]:
-        return 1.0, 1.0
+def normal_scores(p: pd.Series) -> pd.Series:
+    """Normal quantiles, null for null."""
+    return pd.Series([None if pd.isna(v) else _NORMAL.inv_cdf(v) for v in p], dtype="float64")
+
+
+def shapiro_w(
+    n: float, mm: float, mx: float, m_last: float, m_next: float, x1: float, x2: float, x_next: float, x_last: float, ss: float
+) -> float:
+    """W from sums over the sorted sample, by Royston's 1995 weights, for 3 to 5000 values.
+
+    mm and mx are the sums of squared normal scores and of score times value, m_last and m_next
+    the two largest scores, x1, x2, x_next, x_last the outer values and ss the sum of squares.
+    """
+    if x1 == x_last:
+        return 1.0
     if n == 3:
-        a = np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
+        return min(1.0, (x_last - x1) ** 2 / 2 / ss)
+    u = 1 / math.sqrt(n)
+    # Published polynomial coefficients, constant term last.
+    last = float(np.polyval([-2.706056, 4.434685, -2.07119, -0.147981, 0.221157, m_last / math.sqrt(mm)], u))
+    outer = last * (x_last - x1)
+    inner = mx - m_last * (x_last - x1)
+    if n > 5:
+        second = float(np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, m_next / math.sqrt(mm)], u))
+        phi = (mm - 2 * m_last**2 - 2 * m_next**2) / (1 - 2 * last**2 - 2 * second**2)
+        outer += second * (x_next - x2)
+        inner -= m_next * (x_next - x2)
     else:
-        m = np.array([_NORMAL.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-        mm = float(m @ m)
-        u = 1 / math.sqrt(n)
-        # Published polynomial coefficients, constant term last.
-        last = np.polyval([-2.706056, 4.434685, -2.07119, -0.147981, 0.221157, m[-1] / math.sqrt(mm)], u)
-        a = np.empty(n)
-        if n > 5:
-            second = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, m[-2] / math.sqrt(mm)], u)
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
-            a[:] = m / math.sqrt(phi)
-            a[1], a[-2] = -second, second
-        else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-            a[:] = m / math.sqrt(phi)
-        a[0], a[-1] = -last, last
-    centred = x - x.mean()
-    w = min(1.0, float((a @ centred) ** 2 / (centred @ centred)))
-    if n == 3:
-        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+        phi = (mm - 2 * m_last**2) / (1 - 2 * last**2)
+    return min(1.0, (outer + inner / math.sqrt(phi)) ** 2 / ss)
+
+
+def shapiro_p(w: float, n: float) -> float:
+    """p of W by Royston's 1995 approximation."""
     if w >= 1:
-        return w, 1.0
+        return 1.0
+    if n == 3:
+        return max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
     y, log_n = math.log1p(-w), math.log(n)
     # Published mean and log deviation of the normalised statistic.
     if n <= 11:
         gamma = 0.459 * n - 2.273
         if y >= gamma:
-            return w, 0.0
+            return 0.0
         y = -math.log(gamma - y)
         mu = np.polyval([-0.0006714, 0.025054, -0.39978, 0.544], n)
         sd = math.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
     else:
         mu = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], log_n)
         sd = math.exp(np.polyval([0.0030302, -0.082676, -0.4803], log_n))
-    return w, normal_sf((y - mu) / sd)
+    return normal_sf((y - mu) / sd)
 
 
 def tail_udf(fn, *args: Column) -> Column:

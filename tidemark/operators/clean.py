@@ -30,10 +30,17 @@ def normalise_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: parse.normalise_text(F.col(c)) for c in columns})
 
 
-def pool_rare(df: DataFrame, column: str, min_count: int = 10, label: str = "Other") -> DataFrame:
-    """Categories with fewer than ``min_count`` rows become one label; null stays null."""
+def pool_rare(
+    df: DataFrame, column: str, min_count: int = 10, label: str = "Other", source: DataFrame | None = None
+) -> DataFrame:
+    """Categories with fewer than ``min_count`` rows become one label; null stays null.
+
+    ``source`` is an earlier frame with the same rows to count on, which spares the counting the
+    joins that ``df`` has since been through.
+    """
+    counted = df if source is None else source
     rare = (
-        df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value"))
+        counted.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") < min_count)
     )
     joined = df.join(rare, F.col(column) == F.col("_value"), "left")
@@ -41,12 +48,15 @@ def pool_rare(df: DataFrame, column: str, min_count: int = 10, label: str = "Oth
     return joined.withColumn(column, pooled).select(*df.columns)
 
 
-def impute_group_median(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
+def impute_group_median(
+    df: DataFrame, group: str, columns: list[str], source: DataFrame | None = None
+) -> DataFrame:
     """Null becomes the median of the column within the row's group.
 
-    Rows without a group and groups without any value keep their nulls.
+    Rows without a group and groups without any value keep their nulls. ``source`` is an earlier
+    frame with the same rows to take the medians from.
     """
-    middle = field_quantiles(df, [group], columns, {"m": 0.5})
+    middle = field_quantiles(df if source is None else source, [group], columns, {"m": 0.5})
     wide = middle.groupBy(F.col(group).alias("_group")).agg(
         *[F.max(F.when(F.col("field") == c, F.col("m"))).alias(f"_m_{c}") for c in columns]
     )

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.tails import (
-    f_sf, mann_whitney_p, shapiro_wilk, studentized_range_quantile, studentized_range_sf, t_two_sided, tail_udf,
+    f_sf, mann_whitney_p, normal_scores, shapiro_p, shapiro_w, studentized_range_quantile, studentized_range_sf, t_two_sided, tail_udf,
 )
 from tidemark.operators.ranking import group_quantiles, order_statistics, rank_sums
 
@@ -58,16 +58,27 @@ def normality_moments(df: DataFrame, group: str, value: str, labels: list | None
 def shapiro(df: DataFrame, group: str, value: str, labels: list | None = None) -> DataFrame:
     """Shapiro-Wilk W and p for every group of 3 to 5000 values; larger groups are left out.
 
-    Sizes are counted first, so no task ever receives more than 5000 values of a group.
+    Sizes are counted first, so no window ever holds more than 5000 values of a group.
     """
     rows = _observations(df, group, value, labels)
-    small = rows.groupBy("g").agg(F.count("x").alias("n")).where(F.col("n").between(3, SHAPIRO_MAX_N))
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(pdf["x"].to_numpy())
-        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "n": [len(pdf)], "w": [w], "p_value": [p]})
-
-    return rows.join(small.select("g"), "g").groupBy("g").applyInPandas(test, "g string, n long, w double, p_value double")
+    small = rows.groupBy("g").agg(F.count("x").alias("n"), F.var_pop("x").alias("v"))
+    small = small.where(F.col("n").between(3, SHAPIRO_MAX_N)).select("g", "n", (F.col("v") * F.col("n")).alias("ss"))
+    ranked = rows.join(small, "g").withColumn("i", F.row_number().over(Window.partitionBy("g").orderBy("x")))
+    score = F.pandas_udf(normal_scores, "double")((F.col("i") - 0.375) / (F.col("n") + 0.25))
+    scored = ranked.withColumn("m", score)
+
+    def at(c: str, position: Column) -> Column:
+        return F.max(F.when(F.col("i") == position, F.col(c)))
+
+    n, one = F.col("n"), F.lit(1)
+    sums = scored.groupBy("g", "n", "ss").agg(
+        F.sum(F.col("m") * F.col("m")).alias("mm"), F.sum(F.col("m") * F.col("x")).alias("mx"),
+        at("m", n).alias("m_last"), at("m", n - 1).alias("m_next"),
+        at("x", one).alias("x1"), at("x", one + 1).alias("x2"), at("x", n - 1).alias("x_next"), at("x", n).alias("x_last"),
+    )
+    parts = ["n", "mm", "mx", "m_last", "m_next", "x1", "x2", "x_next", "x_last", "ss"]
+    w = sums.select("g", "n", tail_udf(shapiro_w, *[F.col(c) for c in parts]).alias("w"))
+    return w.withColumn("p_value", tail_udf(shapiro_p, F.col("w"), F.col("n")))
 
 
 def normality(df: DataFrame, group: str, value: str, labels: list | None = None) -> DataFrame:

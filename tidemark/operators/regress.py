@@ -35,15 +35,18 @@ def usable_columns(df: DataFrame, mapping: dict[str, str]) -> dict[str, str]:
 
 
 def corr_matrix(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rows (x, y, r): pairwise-complete Pearson correlation of the usable columns."""
+    """Rows (x, y, r): pairwise-complete Pearson correlation of the usable columns.
+
+    Every row is unfolded into its column pairs, which the map side combines to one row per
+    pair; a single aggregate over all pairs would be too wide to compile.
+    """
     usable = usable_columns(df, mapping)
     x = {label: F.col(c).cast("double") for label, c in usable.items()}
-    aggs, cells = [], []
-    for i, (a, b) in enumerate([(a, a) for a in x] + list(combinations(x, 2))):
-        aggs.append(safe_corr(x[a], x[b]).alias(f"r{i}"))
-        for p, q in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(p).alias("x"), F.lit(q).alias("y"), F.col(f"r{i}").alias("r")))
-    return df.agg(*aggs).select(rows_of(*cells))
+    pairs = [(a, a) for a in x] + list(combinations(x, 2))
+    cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), x[a].alias("_a"), x[b].alias("_b")) for a, b in pairs]
+    half = df.select(rows_of(*cells)).groupBy("x", "y").agg(safe_corr(F.col("_a"), F.col("_b")).alias("r"))
+    both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    return half.select(F.explode(F.array_distinct(both)).alias("_p"), "r").select("_p.x", "_p.y", "r")
 
 
 def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:

@@ -36,11 +36,11 @@ def parse_entities(raw: DataFrame, c: Columns) -> DataFrame:
     """Everything up to validation: rare categories and medians see rows that validation drops."""
     df = clean.parse_currency(raw, [c.price])
     df = clean.parse_dates(df, list(c.dates))
-    df = clean.normalise_text(df, [*c.texts, c.pooled])
-    df = clean.pool_rare(df, c.pooled, c.min_count)
-    df = clean.parse_percent(df, list(c.percents))
-    df = clean.impute_group_median(df, c.group, list(c.imputed))
-    return clean.trim_column(df, c.area)
+    df = clean.parse_percent(clean.normalise_text(df, [*c.texts, c.pooled]), list(c.percents))
+    parsed = clean.trim_column(df, c.area)
+    pooled = clean.pool_rare(parsed, c.pooled, c.min_count)
+    # medians come from the parsed rows, unless pooling changed the very group they are taken in
+    return clean.impute_group_median(pooled, c.group, list(c.imputed), pooled if c.pooled == c.group else parsed)
 
 
 def clean_entities(raw: DataFrame, c: Columns = Columns()) -> DataFrame:
