@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 # Fixed value: what counts as a decimal number in text. A plain cast would also take '1.5d'.
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 
 
-def to_number(text: Column) -> Column:
-    """Text to double; anything that is not a plain decimal number becomes null."""
-    stripped = strip(text)
-    return F.when(stripped.rlike(NUMBER), stripped.try_cast("double"))
+def to_number(text: Column, suffix: str = "") -> Column:
+    """Text to double; anything that is not a plain decimal number (and suffix) becomes null.
+
+    The text is looked at once, so that a long expression behind it is not repeated.
+    """
+    return F.regexp_extract(text, rf"^\s*({NUMBER})\s*{suffix}$", 1).try_cast("double")
 
 
 def strip(text: Column) -> Column:
@@ -23,7 +25,7 @@ def strip(text: Column) -> Column:
 
 def parse_currency(text: Column) -> Column:
     """``"$1,234.50"`` to 1234.5; bad text to null."""
-    return to_number(F.regexp_replace(text.cast("string"), "[$,]", ""))
+    return to_number(F.translate(text.cast("string"), "$,", ""))
 
 
 def parse_date(text: Column) -> Column:
@@ -33,7 +35,7 @@ def parse_date(text: Column) -> Column:
 
 def parse_percent(text: Column) -> Column:
     """``"90%"`` to 90.0; bad text to null."""
-    return to_number(F.regexp_replace(text.cast("string"), "%+$", ""))
+    return to_number(text.cast("string"), "%*")
 
 
 def normalise_text(text: Column) -> Column:

@@ -1,5 +1,5 @@
-"""Cleaning operators. Group statistics are small aggregates joined back without a hint, so
-Spark broadcasts them only when their measured size allows and splits skewed keys otherwise."""
+"""Cleaning operators. Group statistics are joined back without a broadcast hint, so Spark
+broadcasts them only when their measured size allows; otherwise hot groups are spread."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions import parse
 from tidemark.functions.moments import count_true
 from tidemark.operators.ranking import field_quantiles
+from tidemark.operators.skew import spread_join
 
 
 def parse_currency(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -40,10 +41,10 @@ def pool_rare(
     """
     counted = df if source is None else source
     rare = (
-        counted.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value"))
+        counted.where(F.col(column).isNotNull()).groupBy(column)
         .agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") < min_count)
     )
-    joined = df.join(rare, F.col(column) == F.col("_value"), "left")
+    joined = spread_join(df, rare, column)
     pooled = F.when(F.col("_rows").isNotNull(), F.lit(label)).otherwise(F.col(column))
     return joined.withColumn(column, pooled).select(*df.columns)
 
@@ -57,10 +58,10 @@ def impute_group_median(
     frame with the same rows to take the medians from.
     """
     middle = field_quantiles(df if source is None else source, [group], columns, {"m": 0.5})
-    wide = middle.groupBy(F.col(group).alias("_group")).agg(
+    wide = middle.groupBy(group).agg(
         *[F.max(F.when(F.col("field") == c, F.col("m"))).alias(f"_m_{c}") for c in columns]
     )
-    joined = df.join(wide, F.col(group) == F.col("_group"), "left")
+    joined = spread_join(df, wide, group)
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 
@@ -87,7 +88,7 @@ def conform_lookup(df: DataFrame, column: str, lookup: DataFrame, lookup_column:
 
 def range_rules(ranges: dict[str, tuple[float, float]], optional_min: dict[str, float]) -> dict[str, Column]:
     """Validity per rule, never null: a missing value breaks a range rule, not an optional minimum."""
-    rules = {c: F.col(c).isNull() | (F.col(c) >= low) for c, low in optional_min.items()}
+    rules = {c: F.coalesce(F.col(c) >= low, F.lit(True)) for c, low in optional_min.items()}
     for c, (low, high) in ranges.items():
         rules[c] = F.coalesce(F.col(c).between(low, high), F.lit(False))
     return rules

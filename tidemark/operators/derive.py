@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.moments import skew_g1
 from tidemark.operators.ranking import medians
+from tidemark.operators.skew import spread_join
 
 # Fixed values of the data model.
 DAYS_PER_YEAR = 365
@@ -65,18 +66,17 @@ def group_context(
     names: tuple[str, str, str] = ("group_median_price", "group_density", "group_avg_rating"),
 ) -> DataFrame:
     """Median price, number of keys and mean rating of the row's group on every row."""
-    middle = medians(df, [group], price, names[0]).select(F.col(group).alias("_mg"), names[0])
-    rest = df.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("_g")).agg(
+    middle = medians(df, [group], price, names[0]).drop("n")
+    rest = df.where(F.col(group).isNotNull()).groupBy(group).agg(
         F.count(key).alias(names[1]), F.avg(rating).alias(names[2])
     )
-    stats = rest.join(middle, F.col("_g") == F.col("_mg"), "left").drop("_mg")
-    return df.join(stats, F.col(group) == F.col("_g"), "left").select(*df.columns, *names)
+    return spread_join(df, rest.join(middle, group, "left"), group).select(*df.columns, *names)
 
 
 def binary_segment(df: DataFrame, key: str, group: str, many: str, one: str, name: str = "segment") -> DataFrame:
     """``many`` for rows whose group has at least two keys, else ``one``; no group means ``one``."""
-    sizes = df.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("_g")).agg(F.count(key).alias("_size"))
-    joined = df.join(sizes, F.col(group) == F.col("_g"), "left")
+    sizes = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(key).alias("_size"))
+    joined = spread_join(df, sizes, group)
     label = F.when(F.col("_size") >= 2, F.lit(many)).otherwise(F.lit(one))
     return joined.withColumn(name, label).select(*df.columns, name)
 

@@ -10,6 +10,7 @@ from tidemark.functions.moments import skew_g1
 from tidemark.functions.parse import month_of, round_coord, rows_of
 from tidemark.operators.dedupe import pick_per_key
 from tidemark.operators.ranking import group_quantiles, medians
+from tidemark.operators.skew import spread_join
 
 # Fixed values of the reports.
 TOP_FRACTION = 0.10
@@ -238,36 +239,37 @@ def histogram_fixed(df: DataFrame, column: str, start: float, stop: float, step:
     return _fill_bins(counts, bins).select("bin", (low + F.col("bin") * width).alias("low"), "count")
 
 
-def _with_box(df: DataFrame, group: str, column: str, log10: bool) -> tuple[DataFrame, DataFrame]:
+def _box_rows(df: DataFrame, group: str, column: str, log10: bool) -> DataFrame:
     x = F.col(column).cast("double")
     v = F.when(x > 0, F.log10(x)) if log10 else x
-    rows = df.withColumn("_x", v).where(F.col("_x").isNotNull() & F.col(group).isNotNull())
+    return df.withColumn("_x", v).where(F.col("_x").isNotNull() & F.col(group).isNotNull())
+
+
+def _whiskers(rows: DataFrame, group: str) -> DataFrame:
+    """Per group: quartiles, whiskers and rows beyond the fences, from counts per distinct value."""
     q = group_quantiles(rows, [group], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     spread = (F.col("q3") - F.col("q1")) * WHISKER
     fences = q.withColumns({"_lo": F.col("q1") - spread, "_hi": F.col("q3") + spread})
-    joined = rows.join(fences.withColumnRenamed(group, "_g"), F.col(group) == F.col("_g"))
+    counts = rows.groupBy(group, "_x").agg(F.count(F.lit(1)).alias("_n"))
     inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
-    stats = joined.groupBy(group).agg(
-        *[F.max(c).alias(c) for c in ("n", "q1", "median", "q3", "_lo", "_hi")],
+    stats = spread_join(counts, fences, group, "inner").groupBy(group).agg(
+        *[F.max(c).alias(c) for c in ("n", "q1", "median", "q3")],
         F.min(F.when(inside, F.col("_x"))).alias("_a"), F.max(F.when(inside, F.col("_x"))).alias("_b"),
-        F.count_if(~inside).alias("outliers"),
-    )
-    return rows, stats.withColumns(
-        {"whisker_low": F.least("_a", "q1"), "whisker_high": F.greatest("_b", "q3")}
+        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
     )
+    return stats.withColumns({"whisker_low": F.least("_a", "q1"), "whisker_high": F.greatest("_b", "q3")})
 
 
 def box_stats(df: DataFrame, group: str, column: str, log10: bool = False) -> DataFrame:
     """Per group: quartiles, whiskers at the furthest value within 1.5 IQR, number of outliers."""
-    _, stats = _with_box(df, group, column, log10)
+    stats = _whiskers(_box_rows(df, group, column, log10), group)
     return stats.select(group, "n", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers")
 
 
 def box_outliers(df: DataFrame, group: str, column: str, log10: bool = False) -> DataFrame:
     """The rows beyond the whiskers of their group."""
-    rows, stats = _with_box(df, group, column, log10)
-    fences = stats.select(F.col(group).alias("_g"), "whisker_low", "whisker_high")
-    joined = rows.join(fences, F.col(group) == F.col("_g"))
+    rows = _box_rows(df, group, column, log10)
+    joined = spread_join(rows, _whiskers(rows, group).select(group, "whisker_low", "whisker_high"), group, "inner")
     beyond = (F.col("_x") < F.col("whisker_low")) | (F.col("_x") > F.col("whisker_high"))
     return joined.where(beyond).select(*df.columns)
 

@@ -11,6 +11,7 @@ from tidemark.functions.tails import (
     f_sf, mann_whitney_p, normal_scores, shapiro_p, shapiro_w, studentized_range_quantile, studentized_range_sf, t_two_sided, tail_udf,
 )
 from tidemark.operators.ranking import group_quantiles, order_statistics, rank_sums
+from tidemark.operators.skew import spread_join
 
 # Fixed values of the tests.
 ALPHA = 0.05
@@ -63,7 +64,8 @@ def shapiro(df: DataFrame, group: str, value: str, labels: list | None = None) -
     rows = _observations(df, group, value, labels)
     small = rows.groupBy("g").agg(F.count("x").alias("n"), F.var_pop("x").alias("v"))
     small = small.where(F.col("n").between(3, SHAPIRO_MAX_N)).select("g", "n", (F.col("v") * F.col("n")).alias("ss"))
-    ranked = rows.join(small, "g").withColumn("i", F.row_number().over(Window.partitionBy("g").orderBy("x")))
+    # rows of large groups are spread, so that dropping them costs no single task
+    ranked = spread_join(rows, small, "g", "inner").withColumn("i", F.row_number().over(Window.partitionBy("g").orderBy("x")))
     score = F.pandas_udf(normal_scores, "double")((F.col("i") - 0.375) / (F.col("n") + 0.25))
     scored = ranked.withColumn("m", score)
 
@@ -112,15 +114,21 @@ def _one_way(moments: DataFrame, centre: Column) -> DataFrame:
     return out.withColumns({"df1": df1, "df2": df2, "f": f})
 
 
-def _deviation_moments(rows: DataFrame, few: bool) -> DataFrame:
-    """Moments of |x - group median|; a single-valued group counts as variance 0."""
-    med = group_quantiles(rows, ["g"], "x", {"median": 0.5}, few=few).select(F.col("g").alias("_g"), "median")
-    if few:
-        med = F.broadcast(med)
-    z = rows.join(med, F.col("g") == F.col("_g")).select("g", F.abs(F.col("x") - F.col("median")).alias("z"))
-    return z.groupBy("g").agg(
-        F.count("z").alias("n"), F.avg("z").alias("mean"), F.coalesce(F.var_samp("z"), F.lit(0.0)).alias("variance")
-    )
+def _deviation_moments(rows: DataFrame, centre: Column, few: bool) -> DataFrame:
+    """Per group: n, mean and variance of |x - group median|.
+
+    Values are counted before they meet their median, so neither a hot group nor a hot value is
+    more than its distinct values. Squares are taken around a rough centre.
+    """
+    med = group_quantiles(rows, ["g"], "x", {"median": 0.5}, few=few).select("g", "median")
+    counts = rows.groupBy("g", "x").agg(F.count(F.lit(1)).alias("c"))
+    joined = counts.join(F.broadcast(med), "g") if few else spread_join(counts, med, "g", "inner")
+    z = joined.withColumn("d", F.abs(F.col("x") - F.col("median")) - F.coalesce(centre, F.lit(0.0)))
+    c, d = F.col("c"), F.col("d")
+    sums = z.groupBy("g").agg(F.sum("c").alias("n"), F.sum(c * d).alias("s"), F.sum(c * d * d).alias("ss"))
+    n, mean = F.col("n"), F.col("s") / F.col("n")
+    variance = F.coalesce(F.try_divide(F.greatest(F.col("ss") - n * mean * mean, F.lit(0.0)), n - 1), F.lit(0.0))
+    return sums.select("g", "n", mean.alias("mean"), variance.alias("variance"))
 
 
 def levene(df: DataFrame, group: str, value: str, labels: list | None = None, min_n: int = 1) -> DataFrame:
@@ -128,7 +136,9 @@ def levene(df: DataFrame, group: str, value: str, labels: list | None = None, mi
     rows = _observations(df, group, value, labels)
     # the mean absolute deviation of a bell curve is 0.8 of its standard deviation
     centre = rows.agg(F.stddev_pop("x") * 0.8).scalar()
-    w = _one_way(_deviation_moments(rows, few=labels is not None).where(F.col("n") >= min_n), centre)
+    # the means are already relative to the centre
+    z = _deviation_moments(rows, centre, few=labels is not None)
+    w = _one_way(z.where(F.col("n") >= min_n), F.lit(0.0))
     return w.select(
         F.col("f").alias("statistic"), tail_udf(f_sf, F.col("f"), F.col("df1"), F.col("df2")).alias("p_value")
     ).withColumn("equal_variance", F.coalesce(F.col("p_value") > ALPHA, F.lit(False)))

@@ -17,6 +17,15 @@ def _tall(df: DataFrame, columns: list[str], *extra: str) -> DataFrame:
     )
 
 
+def _identity(text: Column) -> Column:
+    """What two values are told apart by: the text, or length and digest of a long one.
+
+    Whole documents are compared but not shuffled.
+    """
+    digest = F.concat(F.length(text).cast("string"), F.lit(":"), F.sha2(text, 256))
+    return F.when(F.length(text) > 80, digest).otherwise(text)
+
+
 def profile_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per column: type, rows, null share, distinct values, and min and max of numeric columns.
 
@@ -27,7 +36,8 @@ def profile_columns(df: DataFrame, columns: list[str] | None = None) -> DataFram
     columns = columns or df.columns
     types = dict(df.dtypes)
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-    counts = _tall(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    values = _tall(df, columns).select("column", _identity(F.col("value")).alias("value"))
+    counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
     base = counts.groupBy("column").agg(
         F.sum("_n").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
@@ -58,11 +68,13 @@ def profile_columns(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def sample_values(df: DataFrame, columns: list[str], row_key: str, k: int = 3) -> DataFrame:
     """First ``k`` distinct non-null values per column in row order, clipped to one line."""
     tall = _tall(df, columns, row_key).where(F.col("value").isNotNull())
-    firsts = tall.groupBy("column", "value").agg(F.min(f"_{row_key}").alias("_at"))
+    firsts = tall.groupBy("column", _identity(F.col("value")).alias("_value")).agg(
+        F.min(f"_{row_key}").alias("_at"), F.any_value(clip_text(F.col("value"))).alias("sample")
+    )
     # the rank filter is applied before the shuffle as well, so a column costs k rows per task
-    order = F.row_number().over(Window.partitionBy("column").orderBy("_at", "value"))
+    order = F.row_number().over(Window.partitionBy("column").orderBy("_at", "_value"))
     kept = firsts.withColumn("position", order.cast("long")).where(F.col("position") <= k)
-    return kept.select("column", "position", clip_text(F.col("value")).alias("sample"))
+    return kept.select("column", "position", "sample")
 
 
 def table_shape(tables: dict[str, DataFrame]) -> DataFrame:

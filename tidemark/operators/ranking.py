@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Fixed values of the node numbering.
+# Fixed values of the node numbering. The numbers are never null; saying so keeps joins from
+# adding null filters to one use of a subplan only, which would stop its exchange from being shared.
 _ZERO = 1 << 20
-_NODE1 = f"""CASE WHEN v > 0 THEN CAST(floor(log2(v) * 256D) AS BIGINT) + {_ZERO}
-                  WHEN v < 0 THEN -CAST(floor(log2(-v) * 256D) AS BIGINT) - {_ZERO} ELSE 0L END"""
-_NODE2 = f"""CASE WHEN k1 = 0 THEN 0L
-                  ELSE CAST(floor(v / pow(2D, (abs(k1) - {_ZERO}) / 256D) * 268435456D) AS BIGINT) END"""
+_NODE1 = f"""coalesce(CASE WHEN v > 0 THEN CAST(floor(log2(v) * 256D) AS BIGINT) + {_ZERO}
+                           WHEN v < 0 THEN -CAST(floor(log2(-v) * 256D) AS BIGINT) - {_ZERO} ELSE 0L END, 0L)"""
+_NODE2 = f"""coalesce(CASE WHEN k1 = 0 THEN 0L
+                           ELSE CAST(floor(v / pow(2D, (abs(k1) - {_ZERO}) / 256D) * 268435456D) AS BIGINT) END, 0L)"""
 _BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
@@ -33,7 +34,8 @@ def _values(by: list[str], value: str, extra: str = "") -> str:
     """Rows (by, v, k1) with every key and the value present."""
     keep = " AND ".join(["v IS NOT NULL", "NOT isnan(v)", *[f"{c} IS NOT NULL" for c in by]])
     return f"""SELECT *, {_NODE1} AS k1
-               FROM (SELECT {_list(*by, f"CAST(`{value}` AS DOUBLE) AS v")}{extra} FROM {{df}}) WHERE {keep}"""
+               FROM (SELECT {_list(*by, f"CAST(`{value}` AS DOUBLE) AS v")}{extra} FROM {{df}})
+               WHERE {keep}"""
 
 
 def order_statistics(
@@ -43,9 +45,9 @@ def order_statistics(
 
     ``positions`` maps a name to a SQL expression of the group size ``size`` (and of tables
     given by name). Returns ``by``, ``n``, and per name the value and ``<name>_below``, the
-    number of smaller values. Only the rows of the first-level nodes that hold a wanted position
-    are shuffled by value. ``few`` promises that the number of groups is fixed by the caller and
-    not by the data; only then are the wanted nodes (groups x positions) broadcast by hint.
+    number of smaller values. ``few`` promises that the number of groups is fixed by the caller
+    and not by the data; only then are the wanted nodes (groups x positions) broadcast by hint,
+    and only the rows of those nodes are shuffled by value.
     """
     by = _quoted(by)
     ats = [f"at_{name}" for name in positions]
@@ -54,22 +56,28 @@ def order_statistics(
     holds = f"coalesce({_list(*ats)}) IS NOT NULL"
     carried = _list(*[f"max({c}) AS {c}" for c in ("size", *ats)])
     group = _list(*by) or "0"
-    hint = "/*+ BROADCAST(top) */" if few or not by else ""
     out = [f"max(CASE WHEN {a} IS NOT NULL THEN v END) AS `{name}`, max({pos} - {a}) AS `{name}_below`" for a, (name, pos) in zip(ats, positions.items())]
+    node = _list(*by, "k1")
+    if few or not by:
+        # a handful of wanted nodes: filter the rows on the map side, count only what is left
+        counts = ""
+        nodes = f"SELECT {node}, count(1) AS n FROM vals GROUP BY {node}"
+        near = f"""SELECT /*+ BROADCAST(top) */ {node}, v, count(1) AS n, {carried}
+                   FROM vals JOIN top USING ({node}) GROUP BY {node}, v"""
+    else:
+        # any number of groups: count the values first, so that a hot value is one row in the join
+        counts = f"counts AS (SELECT {node}, v, count(1) AS n FROM vals GROUP BY {node}, v),"
+        nodes = f"SELECT {node}, sum(n) AS n FROM counts GROUP BY {node}"
+        near = f"SELECT * FROM counts JOIN top USING ({node})"
     text = f"""
-    WITH vals AS ({_values(by, value)}),
+    WITH vals AS ({_values(by, value)}), {counts}
     level1 AS (
       SELECT *, {_list(*[f"{pos} AS {a}" for a, pos in zip(ats, positions.values())])} FROM (
         SELECT *, coalesce(sum(n) OVER (PARTITION BY {group} ORDER BY k1 {_BEFORE}), 0L) AS before,
                sum(n) OVER (PARTITION BY {group}) AS size
-        FROM (SELECT {_list(*by, "k1")}, count(1) AS n FROM vals GROUP BY {_list(*by, "k1")}))),
+        FROM ({nodes}))),
     top AS (SELECT * FROM (SELECT {_list(*by, "k1", "size", into_child)} FROM level1) WHERE {holds}),
-    near AS (
-      SELECT * FROM (
-        SELECT *, {_NODE2} AS k2 FROM (
-          SELECT {hint} {_list(*by, "k1", "v")}, count(1) AS n, {carried}
-          FROM vals JOIN top USING ({_list(*by, "k1")}) GROUP BY {_list(*by, "k1", "v")}))
-      WHERE k2 IS NOT NULL),
+    near AS (SELECT *, {_NODE2} AS k2 FROM ({near})),
     level2 AS (
       SELECT *, coalesce(sum(n) OVER (PARTITION BY {_list(*by, "k1")} ORDER BY k2 {_BEFORE}), 0L) AS before
       FROM (SELECT {_list(*by, "k1", "k2")}, sum(n) AS n, {carried} FROM near GROUP BY {_list(*by, "k1", "k2")})),
