@@ -130,3 +130,15 @@ def test_date_range_is_strict(spark):
     df = spark.createDataFrame([("2026-01-01",), ("bad",)], "d string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE|malformed|cannot be cast|Cannot"):
         profile.date_range(df, "d").collect()
+
+
+def test_sample_values_ties_and_short_columns(spark):
+    df = spark.createDataFrame([(1, "b", None), (1, "a", None), (2, "a", "only"), (3, "c", "only")], "at int, x string, y string")
+    got = [(r["column"], r["position"], r["sample"]) for r in profile.sample_values(df, ["x", "y"], "at").collect()]
+    assert sorted(got) == [("x", 1, "a"), ("x", 2, "b"), ("x", 3, "c"), ("y", 1, "only")]
+
+
+def test_profile_tells_long_texts_apart(spark):
+    df = spark.createDataFrame([("x" * 200 + "a",), ("x" * 200 + "b",), ("x" * 200 + "a",)], "t string")
+    assert profile.profile_columns(df).first()["cardinality"] == 2
+    assert profile.profile_columns(df, exact=False).first()["cardinality"] == 2

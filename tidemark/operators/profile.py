@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.parse import clip_text, pct, rows_of
 
 
-def _tall(df: DataFrame, columns: list[str], *extra: str) -> DataFrame:
-    """Rows (extra, column, value as text)."""
-    texts = [F.col(c).cast("string").alias(c) for c in columns]
-    return df.select(*[F.col(e).alias(f"_{e}") for e in extra], *texts).unpivot(
-        [f"_{e}" for e in extra], columns, "column", "value"
-    )
+def _tall(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (column, value as text)."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value")
 
 
 def _identity(text: Column) -> Column:
@@ -26,23 +23,29 @@ def _identity(text: Column) -> Column:
     return F.when(F.length(text) > 80, digest).otherwise(text)
 
 
-def profile_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def profile_columns(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Per column: type, rows, null share, distinct values, and min and max of numeric columns.
 
     Distinct values are counted on (column, value) pairs that are combined before the shuffle,
-    which replaces one wide aggregate with an expansion per column. Bounds are text, so that
-    long ids keep every digit.
+    which replaces one wide aggregate with an expansion per column. ``exact=False`` estimates
+    them instead, without any shuffle of values. Bounds are text, so that long ids keep every
+    digit.
     """
     columns = columns or df.columns
     types = dict(df.dtypes)
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
     values = _tall(df, columns).select("column", _identity(F.col("value")).alias("value"))
-    counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
-    base = counts.groupBy("column").agg(
-        F.sum("_n").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
-        F.count("value").alias("cardinality"),
-    )
+    if exact:
+        counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+        nulls = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0))
+        base = counts.groupBy("column").agg(
+            F.sum("_n").alias("rows"), nulls.alias("nulls"), F.count("value").alias("cardinality")
+        )
+    else:
+        base = values.groupBy("column").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("nulls"),
+            F.approx_count_distinct("value").alias("cardinality"),
+        )
     bounds = df.agg(*[F.min(c).alias(f"lo_{c}") for c in numeric], *[F.max(c).alias(f"hi_{c}") for c in numeric])
     none = F.lit(None).cast("string")
     facts = bounds.select(
@@ -66,15 +69,33 @@ def profile_columns(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 
 def sample_values(df: DataFrame, columns: list[str], row_key: str, k: int = 3) -> DataFrame:
-    """First ``k`` distinct non-null values per column in row order, clipped to one line."""
-    tall = _tall(df, columns, row_key).where(F.col("value").isNotNull())
-    firsts = tall.groupBy("column", _identity(F.col("value")).alias("_value")).agg(
-        F.min(f"_{row_key}").alias("_at"), F.any_value(clip_text(F.col("value"))).alias("sample")
-    )
-    # the rank filter is applied before the shuffle as well, so a column costs k rows per task
-    order = F.row_number().over(Window.partitionBy("column").orderBy("_at", "_value"))
-    kept = firsts.withColumn("position", order.cast("long")).where(F.col("position") <= k)
-    return kept.select("column", "position", "sample")
+    """First ``k`` distinct non-null values per column in row order, clipped to one line.
+
+    One narrow pass per position picks the first value that is none of the earlier ones, for all
+    columns at once, so no column's values are ever shuffled.
+    """
+    rows = df.select(F.col(row_key).alias("_at"), *[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(columns)])
+    picks: list[Column] = []
+    for _ in range(k):
+        seen = rows.withColumns({f"_p{j}": p for j, p in enumerate(picks)}) if picks else rows
+
+        def first(i: int) -> Column:
+            v = F.col(f"v{i}")
+            fresh = v.isNotNull()
+            for j in range(len(picks)):
+                fresh = fresh & F.coalesce(v != F.col(f"_p{j}.v{i}"), F.lit(True))
+            return F.min(F.when(fresh, F.struct("_at", v.alias("v"))))["v"].alias(f"v{i}")
+
+        one = seen.agg(*[first(i) for i in range(len(columns))])
+        picks.append(one.select(F.struct(*one.columns)).scalar())
+    found = df.sparkSession.range(1).withColumns({f"_p{j}": p for j, p in enumerate(picks)})
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit(j + 1).cast("long").alias("position"), clip_text(F.col(f"_p{j}.v{i}")).alias("sample")
+        )
+        for i, c in enumerate(columns) for j in range(k)
+    ]
+    return found.select(rows_of(*cells)).where(F.col("sample").isNotNull())
 
 
 def table_shape(tables: dict[str, DataFrame]) -> DataFrame:

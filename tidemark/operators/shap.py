@@ -104,10 +104,10 @@ def shap_values(model: RandomForestRegressionModel, df: DataFrame, features: lis
     schema = ", ".join([f"`{key}` {dict(rows.dtypes)[key]}"] + [f"`{c}` double" for c in [*features, *phis, "base"]])
 
     def scored(part: list[int]) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(nodes.where(F.col("tree").isin(part)).toPandas())
+        shipped = spark.sparkContext.broadcast(_leaf_games(nodes.where(F.col("tree").isin(part)).toPandas()))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            games = _leaf_games(shipped.value)
+            games = shipped.value
             for batch in batches:
                 for start in range(0, len(batch), _BLOCK):
                     block = batch.iloc[start : start + _BLOCK].reset_index(drop=True)
