@@ -46,7 +46,8 @@ def profile_columns(df: DataFrame, columns: list[str] | None = None, exact: bool
             F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("nulls"),
             F.approx_count_distinct("value").alias("cardinality"),
         )
-    bounds = df.agg(*[F.min(c).alias(f"lo_{c}") for c in numeric], *[F.max(c).alias(f"hi_{c}") for c in numeric])
+    ends = [f(c).alias(f"{side}_{c}") for c in numeric for side, f in (("lo", F.min), ("hi", F.max))]
+    bounds = df.agg(*ends) if ends else df.sparkSession.range(1)
     none = F.lit(None).cast("string")
     facts = bounds.select(
         rows_of(
