@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, setsketch
+from tidemark.llm import decontaminate, outliers, setsketch, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,43 @@ def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 def op8_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, similarity 0.85."""
     return setsketch.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the runs of lines of 50 words and more that an earlier place has."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return winnow.without_repeated_runs(docs, counts=True)
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rules and robust outliers per language and source, for every document."""
+    found = outliers.judged(table(spark, sf, "documents"))
+    return found.select("doc_id", *outliers.COUNTS, "base_failed", "distance", "kept")
+
+
+ORACLES["op9_line_dedup"] = """
+WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+               FROM documents),
+filled AS (SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM split),
+lines AS (SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^ \\t\\r\\x0B\\x0C]+')) AS words,
+                 row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r
+          FROM filled WHERE line <> ''),
+sums AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY r) AS upto FROM lines),
+windows AS (
+  SELECT a.doc_id, a.r AS r1, min(b.r) AS r2 FROM sums a JOIN sums b ON a.doc_id = b.doc_id AND b.r BETWEEN a.r AND a.r + 49
+  WHERE b.upto - a.upto + a.words >= 50 GROUP BY ALL
+  UNION
+  SELECT a.doc_id, max(b.r), a.r FROM sums a JOIN sums b ON a.doc_id = b.doc_id AND b.r BETWEEN a.r - 49 AND a.r
+  WHERE a.upto - b.upto + b.words >= 50 GROUP BY a.doc_id, a.r),
+contents AS (SELECT w.doc_id, min(l.pos) AS lo, max(l.pos) AS hi, string_agg(l.line, chr(10) ORDER BY l.r) AS content
+             FROM windows w JOIN lines l ON w.doc_id = l.doc_id AND l.r BETWEEN w.r1 AND w.r2 GROUP BY w.doc_id, w.r1, w.r2),
+later AS (SELECT doc_id, lo, hi FROM contents QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, lo) > 1),
+gone AS (SELECT DISTINCT s.doc_id, s.pos FROM split s JOIN later w ON s.doc_id = w.doc_id AND s.pos BETWEEN w.lo AND w.hi),
+kept AS (SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.pos) AS text
+         FROM split s ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.pos = g.pos GROUP BY s.doc_id)
+SELECT d.doc_id, coalesce(k.text, '') AS text, CAST(len(string_split(d.text, chr(10))) AS BIGINT) AS n_lines,
+       (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
