@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, outliers, setsketch, winnow
+import corpus_pipeline
+from tidemark.llm import decontaminate, lattice, outliers, setsketch, winnow
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
 
 
@@ -54,6 +55,13 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *outliers.COUNTS, "base_failed", "distance", "kept")
 
 
+@query
+def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Sampled piece ids of every document, and whether they decode to its text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lattice.encoded(docs, corpus_pipeline.MODEL).select("doc_id", "n_ids", "ids", "lossless")
+
+
 ORACLES["op9_line_dedup"] = """
 WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
                FROM documents),
