@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, lattice, outliers, setsketch, winnow
+from tidemark.llm import decontaminate, langid, lattice, outliers, setsketch, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,20 @@ def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def remainder(of: int):
+    """The fold of a document: the CRC-32 of its id as text, by remainder."""
+    return F.crc32(F.col("doc_id").cast("string")) % of
+
+
+@query
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document, learned from those outside the held-out fold."""
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs.where(remainder(4) != 2).select("text", "lang"))
+    found = langid.predicted(docs, model)
+    return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op8_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, similarity 0.85."""
