@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, langid, lattice, outliers, setsketch, winnow
+from tidemark.llm import decontaminate, langid, lattice, outliers, setsketch, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,17 @@ def remainder(of: int):
     return F.crc32(F.col("doc_id").cast("string")) % of
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Calibrated toxicity of every document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scorer = toxicity.fit(docs, table(spark, sf, "labels").where(remainder(3) != 1))
+    found = toxicity.scored(docs, scorer)
+    return found.select(
+        "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query
 def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """The language of every document, learned from those outside the held-out fold."""
