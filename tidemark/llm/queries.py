@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, langid, lattice, outliers, setsketch, toxicity, winnow
+from tidemark.llm import blocks, decontaminate, langid, lattice, outliers, setsketch, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
@@ -60,6 +60,13 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf, "pages")
+    return blocks.extracted(pages, blocks.fit(pages))
+
+
 @query
 def op8_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, similarity 0.85."""
