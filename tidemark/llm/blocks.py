@@ -6,7 +6,6 @@ import html
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.text import bounded_batches, pieces
 
 #: Pages that the model is fitted on, at most, and layouts drawn for each.
-SAMPLE, LAYOUTS = 150, 3
+SAMPLE, LAYOUTS = 300, 3
 #: Entries of the tag-path vector and of the word vector; further figures; units in either direction.
 PATH, WORDS, FIGURES, UNITS = 64, 32, 8, 16
 
@@ -141,14 +140,24 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-@lru_cache(maxsize=100_000)
-def _slot(word: str, size: int) -> tuple[int, float]:
-    code = zlib.crc32(word.encode("utf-8", "surrogatepass"))
-    return code % size, 1.0 if code >> 20 & 1 else -1.0
+class Slots(dict):
+    """Entry and sign of hashed words, remembered up to a bound."""
 
+    def __init__(self, size: int, most: int = 100_000):
+        super().__init__()
+        self.size, self.most = size, most
 
-def inputs(blocks: list[Block]) -> np.ndarray:
+    def __missing__(self, word: str) -> tuple[int, float]:
+        if len(self) >= self.most:
+            self.clear()
+        code = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        found = self[word] = code % self.size, 1.0 if code >> 20 & 1 else -1.0
+        return found
+
+
+def inputs(blocks: list[Block], names: Slots | None = None, words_at: Slots | None = None) -> np.ndarray:
     """A vector per block: hashed tag path, hashed words, and figures about length, links, marks and place."""
+    names, words_at = names if names is not None else Slots(PATH), words_at if words_at is not None else Slots(WORDS)
     out = np.zeros((len(blocks), PATH + WORDS + FIGURES), np.float32)
     paths: dict[tuple[str, ...], np.ndarray] = {}
     for k, b in enumerate(blocks):
@@ -156,11 +165,11 @@ def inputs(blocks: list[Block]) -> np.ndarray:
         if vector is None:
             vector = paths[b.path] = np.zeros(PATH, np.float32)
             for name in {n for n in b.path if n not in INLINE}:
-                at, sign = _slot(name, PATH)
+                at, sign = names[name]
                 vector[at] += sign
         out[k, :PATH] = vector
         words = b.text.split()
-        slots = [_slot(w, WORDS) for w in words]
+        slots = [words_at[w] for w in words]
         n = len(words)
         out[k, PATH : PATH + WORDS] = np.bincount([s for s, _ in slots], [x for _, x in slots], WORDS) / n**0.5
         size = len(b.text)
@@ -230,7 +239,7 @@ class Labeller:
             x[: len(s), k], mask[: len(s), k] = s, True
         return x, mask
 
-    def fit(self, sequences: list[np.ndarray], labels: list[np.ndarray], epochs: int = 8, rows: int = 32, rate: float = 0.01) -> Labeller:
+    def fit(self, sequences: list[np.ndarray], labels: list[np.ndarray], epochs: int = 14, rows: int = 32, rate: float = 0.01) -> Labeller:
         """Adam on the cross-entropy of the blocks; labels are 0, 1 or -1 for unknown."""
         rng = np.random.default_rng(3)
         first, second, step = [np.zeros_like(w) for w in self.weights], [np.zeros_like(w) for w in self.weights], 0
@@ -330,15 +339,24 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
     Container names of a page that tell main text from boilerplate are its labels; further
     sequences set its texts into layouts drawn from lists of usual names, some without any, where
     only words, figures and neighbours tell. Sequences are cut to 60 blocks for fitting alone.
+    One task fits the model.
     """
-    rows = pages.where("html IS NOT NULL AND html <> ''").select(F.xxhash64("html").alias("h"), "html").orderBy("h", "html").limit(sample).collect()
-    rng, sequences, labels = np.random.default_rng(1), [], []
-    for row in rows:
-        blocks = blocks_of(row.html)[:60]
-        for found, marks in layouts(blocks, rng, LAYOUTS) if blocks else []:
-            sequences.append(inputs(found[:60]))
-            labels.append(marks[:60])
-    return Labeller().fit(sequences, labels) if sequences else Labeller()
+    chosen = pages.where("html IS NOT NULL AND html <> ''").select(F.xxhash64("html").alias("h"), "html").orderBy("h", "html").limit(sample)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng, sequences, labels = np.random.default_rng(1), [], []
+        for page in sorted(page for batch in batches for page in batch.column("html").to_pylist()):
+            blocks = blocks_of(page)[:60]
+            for found, marks in layouts(blocks, rng, LAYOUTS) if blocks else []:
+                sequences.append(inputs(found[:60]))
+                labels.append(marks[:60])
+        fitted = (Labeller().fit(sequences, labels) if sequences else Labeller()).weights
+        yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in fitted], pa.binary())], names=["weights"])
+
+    labeller = Labeller()
+    found = [r.weights for r in chosen.select("html").coalesce(1).mapInArrow(train, "weights binary").collect()]
+    labeller.weights = [np.frombuffer(f, np.float32).reshape(w.shape) for f, w in zip(found, labeller.weights)] or labeller.weights
+    return labeller
 
 
 def extracted(pages: DataFrame, labeller: Labeller, least: float = 0.5) -> DataFrame:
@@ -350,9 +368,10 @@ def extracted(pages: DataFrame, labeller: Labeller, least: float = 0.5) -> DataF
     bounded_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, words_at = Slots(PATH), Slots(WORDS)
         for batch in pieces(batches, "html", 2 << 20):
             found = [blocks_of(page or "") for page in batch.column("html").to_pylist()]
-            labels = labeller.probabilities([inputs(b) for b in found])
+            labels = labeller.probabilities([inputs(b, names, words_at) for b in found])
             texts = [" ".join(b.text for b, p in zip(blocks, own) if p >= least) for blocks, own in zip(found, labels)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
