@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import blocks, decontaminate, langid, lattice, outliers, setsketch, toxicity, winnow
+from tidemark.llm import blocks, decontaminate, langid, lattice, licenses, outliers, packing, setsketch, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,26 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: The byte-level vocabulary of the packed ids; the variable names another file.
+VOCABULARY = os.environ.get("TIDEMARK_BYTE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Canonical digest of every document, and the licences that are this text."""
+    return licenses.scanned(table(spark, sf, "documents"), licenses.known_texts(spark))
+
+
+ORACLES["op1_license_scan"] = licenses.oracle()
+
+
+@query
+def op2_token_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's ids in packed rows, by digests of the rows of ids and positions."""
+    rows = packing.packed_rows(table(spark, sf, "documents"), VOCABULARY)
+    return rows.select("doc_ids", "parts", "cu_seqlens", "n_ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("position_ids", 256).alias("positions_sha256"))
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Contamination of every document by the 13-word windows of all benchmark items."""
