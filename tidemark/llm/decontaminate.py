@@ -80,7 +80,7 @@ def _packed(words: np.ndarray, at: np.ndarray, bits: int, most: int | np.ndarray
 
 
 def suffix_array(words: np.ndarray, bits: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the known words, ordered by the words that follow, with the packed first words of each.
+    """Places of the known words, ordered by the words that follow, with the packed first words of each; the last word is 0.
 
     The order looks at ``depth`` words at least and stops at an unknown word (0), beyond which no
     test suffix can match. Sorting by packed words comes first, then prefix doubling of the ties.
@@ -296,8 +296,9 @@ def contaminated(into: str = "scan", share: int = 20):
     return (n_hit(into) > 0) & (n_hit(into) * share >= F.col(into)["n_words"])
 
 
-def remove_contaminated(docs: DataFrame, tests: DataFrame, window: int = 13, share: int = 20, into: str = "_scan") -> DataFrame:
+def remove_contaminated(docs: DataFrame, tests: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """The documents without the contaminated ones; their columns stay as they are."""
+    into = "_" + max(["scan", *docs.columns], key=len)  # no column of theirs
     return with_scan(docs, tests, window, into=into).where(~contaminated(into, share)).drop(into)
 
 

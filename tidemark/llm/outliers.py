@@ -240,5 +240,6 @@ def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
 
 def accepted(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """The documents that are kept, columns as they were. Rows equal in id and text stand or fall together."""
-    bad = judged(docs, cutoff).where("NOT kept OR kept IS NULL").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark")), "left_anti")
+    bad = judged(docs, cutoff).where("NOT kept OR kept IS NULL").select("doc_id", "mark").distinct()
+    same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & F.xxhash64(F.col("d.text")).eqNullSafe(F.col("b.mark"))
+    return docs.alias("d").join(bad.alias("b"), same, "left_anti")

@@ -99,16 +99,17 @@ def without_repeated_runs(docs: DataFrame, least: int = 50, counts: bool = False
     deleted ones) are added, in place of columns of these names. A text whose lines all repeat
     earlier ones becomes empty. Null texts stay null and count no lines.
     """
-    found = repeated_runs(docs.select("doc_id", "text"), least).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("runs").alias("_runs"))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark")), "left")
-    lines, runs = F.split("text", "\n"), F.col("_runs")
+    found = repeated_runs(docs.select("doc_id", "text"), least)
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.xxhash64(F.col("d.text")) == F.col("f.mark"))
+    joined = docs.alias("d").join(found.alias("f"), same, "left")
+    text, runs = F.col("d.text"), F.col("f.runs")
+    lines = F.split(text, "\n")
     ends = F.concat(F.array(F.lit(-1)), F.transform(runs, lambda r: r["last"]))
     begins = F.concat(F.transform(runs, lambda r: r["first"]), F.array(F.size(lines)))
     between = F.transform(F.arrays_zip(ends.alias("e"), begins.alias("b")), lambda g: F.slice(lines, g["e"] + 2, g["b"] - g["e"] - 1))
-    kept = F.when(runs.isNull(), F.col("text")).otherwise(F.array_join(F.flatten(between), "\n"))
-    gone = F.coalesce(F.aggregate(runs, F.lit(0), lambda a, r: a + r["last"] - r["first"] + 1), F.lit(0))
-    columns = {"text": kept.alias("text")}
+    columns = {"text": F.when(runs.isNull(), text).otherwise(F.array_join(F.flatten(between), "\n"))}
     if counts:
-        columns["n_lines"] = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines")
-        columns["n_removed"] = gone.cast("long").alias("n_removed")
-    return joined.select(*(columns.get(c, F.col(c)) for c in docs.columns), *(v for c, v in columns.items() if c not in docs.columns))
+        gone = F.coalesce(F.aggregate(runs, F.lit(0), lambda a, r: a + r["last"] - r["first"] + 1), F.lit(0))
+        columns |= {"n_lines": F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"), "n_removed": gone.cast("long")}
+    names = [*docs.columns, *(c for c in columns if c not in docs.columns)]
+    return joined.select(*(columns.get(c, F.col(f"d.`{c}`")).alias(c) for c in names))
