@@ -16,6 +16,10 @@ from tidemark.llm.text import bounded_batches, pieces
 
 #: Pages that the model is fitted on, at most, and layouts drawn for each.
 SAMPLE, LAYOUTS = 300, 3
+#: Blocks of a sequence that the model is fitted on.
+LONGEST = 200
+#: Bound of the cells, which keeps the states of long pages among those of the fitted ones.
+CELL = 3.0
 #: Entries of the tag-path vector and of the word vector; further figures; units in either direction.
 PATH, WORDS, FIGURES, UNITS = 64, 32, 8, 16
 
@@ -201,10 +205,11 @@ class Labeller:
             z = ahead[t] + h @ wh
             gates = 1 / (1 + np.exp(-z[:, : 3 * UNITS]))
             i, f, o, g = gates[:, :UNITS], gates[:, UNITS : 2 * UNITS], gates[:, 2 * UNITS :], np.tanh(z[:, 3 * UNITS :])
-            new = f * c + i * g
+            free = f * c + i * g
+            new = np.clip(free, -CELL, CELL)
             bent = np.tanh(new)
             m = mask[t][:, None]
-            kept.append((h, c, i, f, o, g, bent, m))
+            kept.append((h, c, i, f, o, g, bent, m, new == free))
             h, c = np.where(m, o * bent, h), np.where(m, new, c)
             states.append(h)
         return np.stack(states), kept
@@ -215,10 +220,10 @@ class Labeller:
         dwh, dz = np.zeros_like(wh), np.zeros((steps, x.shape[1], 4 * UNITS), np.float32)
         dh, dc = np.zeros_like(up[0]), np.zeros_like(up[0])
         for t in range(steps - 1, -1, -1):
-            h, c, i, f, o, g, bent, m = kept[t]
+            h, c, i, f, o, g, bent, m, free = kept[t]
             dh = dh + up[t]
             own = dh * m
-            d = dc * m + own * o * (1 - bent**2)
+            d = (dc * m + own * o * (1 - bent**2)) * free
             dz[t] = np.concatenate([d * g * i * (1 - i), d * c * f * (1 - f), own * bent * o * (1 - o), d * i * (1 - g**2)], 1)
             dwh += h.T @ dz[t]
             dh, dc = dz[t] @ wh.T + dh * ~m, d * f + dc * ~m
@@ -240,17 +245,22 @@ class Labeller:
         return x, mask
 
     def fit(self, sequences: list[np.ndarray], labels: list[np.ndarray], epochs: int = 14, rows: int = 32, rate: float = 0.01) -> Labeller:
-        """Adam on the cross-entropy of the blocks; labels are 0, 1 or -1 for unknown."""
+        """Adam on the cross-entropy of the blocks; labels are 0, 1 or -1 for unknown.
+
+        Half of the word vectors, drawn anew in each step, are left out, so that a few words alone
+        don't decide against the containers and neighbours.
+        """
         rng = np.random.default_rng(3)
         first, second, step = [np.zeros_like(w) for w in self.weights], [np.zeros_like(w) for w in self.weights], 0
         for _ in range(epochs):
-            order = rng.permutation(len(sequences))
-            for at in range(0, len(order), rows):
+            order = sorted(rng.permutation(len(sequences)), key=lambda k: len(sequences[k]))
+            for at in rng.permutation(range(0, len(order), rows)):
                 own = order[at : at + rows]
                 x, mask = self._padded([sequences[k] for k in own])
                 y, known = np.zeros(mask.shape, np.float32), np.zeros(mask.shape, bool)
                 for j, k in enumerate(own):
                     y[: len(labels[k]), j], known[: len(labels[k]), j] = labels[k] > 0, labels[k] >= 0
+                x[..., PATH : PATH + WORDS] *= rng.random((*mask.shape, 1)) < 0.5
                 p, both, kept, kept2 = self._forward(x, mask)
                 d = np.where(known, p - y, 0)[..., None] / max(1, known.sum())
                 up = (d @ self.weights[6].T).astype(np.float32)
@@ -321,7 +331,8 @@ def layouts(blocks: list[Block], rng: np.random.Generator, n: int) -> list[tuple
             boilerplate(False)
         if rng.random() < 0.7:
             found.append((Block(body + ("h1",), main[0], 0), 1))
-        for text in main[: rng.integers(1, 40)]:
+        size = rng.integers(1, 40) if rng.random() < 0.9 else rng.integers(40, LONGEST)
+        for text in (main * (size // len(main) + 1))[:size]:
             found.append((Block(body + (("p",) if rng.random() < 0.9 else ("ul", "li")), text, 0), 1))
             if rng.random() < 0.04:
                 boilerplate(True)
@@ -338,7 +349,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
 
     Container names of a page that tell main text from boilerplate are its labels; further
     sequences set its texts into layouts drawn from lists of usual names, some without any, where
-    only words, figures and neighbours tell. Sequences are cut to 60 blocks for fitting alone.
+    only words, figures and neighbours tell. Sequences are cut to LONGEST blocks for fitting alone.
     One task fits the model.
     """
     chosen = pages.where("html IS NOT NULL AND html <> ''").select(F.xxhash64("html").alias("h"), "html").orderBy("h", "html").limit(sample)
@@ -346,10 +357,10 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng, sequences, labels = np.random.default_rng(1), [], []
         for page in sorted(page for batch in batches for page in batch.column("html").to_pylist()):
-            blocks = blocks_of(page)[:60]
+            blocks = blocks_of(page)[:LONGEST]
             for found, marks in layouts(blocks, rng, LAYOUTS) if blocks else []:
-                sequences.append(inputs(found[:60]))
-                labels.append(marks[:60])
+                sequences.append(inputs(found[:LONGEST]))
+                labels.append(marks[:LONGEST])
         fitted = (Labeller().fit(sequences, labels) if sequences else Labeller()).weights
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in fitted], pa.binary())], names=["weights"])
 
