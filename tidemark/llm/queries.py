@@ -139,3 +139,41 @@ SELECT d.doc_id, coalesce(k.text, '') AS text, CAST(len(string_split(d.text, chr
        (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op4_benchmark_decontamination"] = rf"""
+WITH texts AS (SELECT doc_id, NULL AS item_id, text FROM documents UNION ALL SELECT NULL, item_id, text FROM benchmark),
+words AS (SELECT doc_id, item_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM texts),
+items AS (SELECT item_id, w, least(13, len(w)) AS n FROM words WHERE item_id IS NOT NULL AND len(w) > 0),
+wanted AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda p: array_to_string(w[p:p + n - 1], ' '))) AS x FROM items),
+places AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p,
+                  unnest(list_transform(range(1, len(w) - n + 2), lambda p: array_to_string(w[p:p + n - 1], ' '))) AS x
+           FROM words, (SELECT DISTINCT n FROM wanted) WHERE doc_id IS NOT NULL AND len(w) >= n),
+found AS (SELECT doc_id, p, n, item_id FROM places JOIN wanted USING (n, x)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM found)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) WHERE words.doc_id IS NOT NULL
+"""
+
+ORACLES["op8_minhash_near_dedup"] = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda p: array_to_string(w[p:p + 2], ' '))) END AS s FROM words),
+classes AS (SELECT md5(array_to_string(list_sort(s), '|')) AS set_id, min(doc_id) AS least, any_value(s) AS s FROM sets WHERE len(s) > 0 GROUP BY set_id),
+ranked AS (SELECT least, len(s) AS n, unnest(s) AS x FROM classes),
+spread AS (SELECT x FROM ranked GROUP BY x HAVING count(*) > 1),
+shared AS (SELECT a.least AS a, b.least AS b, count(*) AS n_both, any_value(a.n) AS na, any_value(b.n) AS nb
+           FROM (SELECT * FROM ranked SEMI JOIN spread USING (x)) a JOIN (SELECT * FROM ranked SEMI JOIN spread USING (x)) b ON a.x = b.x AND a.least <> b.least
+           WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY a.least, b.least),
+links AS (SELECT a, b FROM shared WHERE 100 * n_both >= 85 * (na + nb - n_both)),
+reach AS (SELECT least AS a, least AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
+named AS (SELECT s.doc_id, root FROM sets s JOIN classes c ON md5(array_to_string(list_sort(s.s), '|')) = c.set_id JOIN roots ON roots.a = c.least WHERE len(s.s) > 0)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(root, doc_id) AS component_id, coalesce(root, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN named USING (doc_id)
+"""
