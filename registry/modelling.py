@@ -87,53 +87,85 @@ def vif(spark, sf):
     return rounded(regress.vif(rows, ["a", "b", "c"]), 7, "vif")
 
 
-NUMERIC = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
-
-
 @query("m1_feature_matrix", f"SELECT {', '.join(KEYS)}, l_quantity, {_dummies(TYPES)} FROM ({GAPS.format(s=SALES)}) g")
 def feature_matrix(spark, sf):
     rows = role(spark, sf, GAPS.format(s=SALES))
     return model.feature_matrix(rows, ["l_quantity", "blank", "absent"], ["p_type"], KEYS, leakage=["label"])[0]
 
 
-def _rows(spark, sf):
-    rows = role(spark, sf, SALES).withColumn("key", F.concat_ws("-", *KEYS))
-    design, features, _ = model.feature_matrix(rows, NUMERIC, ["p_type"], ["key", "label"], leakage=["l_extendedprice"])
+# One row per sold part, its figures rounded so that no feature has more than 128 values.
+PARTS = """
+SELECT p_partkey AS key, p_size, p_type, CAST(round(AVG(l_quantity)) AS DOUBLE) AS quantity, round(AVG(l_discount), 2) AS discount,
+       CAST(least(COUNT(*), 60) AS DOUBLE) AS sales, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE SUM(l_quantity) * (10 + p_size) END AS label
+FROM {part} JOIN {lineitem} ON l_partkey = p_partkey GROUP BY p_partkey, p_size, p_type
+"""
+BINS = 128
+FEATURES = ["p_size", "quantity", "discount", "sales"]
+
+
+def _sold(spark, sf, label="label"):
+    rows = role(spark, sf, PARTS).withColumn("label", F.expr(label))
+    design, features, _ = model.feature_matrix(rows, FEATURES, ["p_type"], ["key", "label"], leakage=["p_retailprice"])
     return design.dropna(), features
 
 
-@query("m2_split")
+SPLIT = f"CAST('0x' || substr(md5('42-' || CAST(key AS STRING)), 1, 8) AS BIGINT) % 100"
+
+
+@query("m2_split", f"SELECT key, label, CASE WHEN {SPLIT} < 80 THEN 'train' ELSE 'test' END AS part FROM ({PARTS}) p WHERE label IS NOT NULL")
 def split(spark, sf):
-    design, _ = _rows(spark, sf)
+    design, _ = _sold(spark, sf)
     train, test = model.split(design.select("key", "label"), "key")
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-# Trees and depth are arguments; a small forest keeps the check of all five queries short.
-FOREST = {"trees": 10, "max_depth": 5}
+@lru_cache(maxsize=8)
+def _fit(spark, sf, label="label"):
+    """The forest at its full size (200 trees, depth 30), fitted once for all queries."""
+    design, features = _sold(spark, sf, label)
+    train, test = model.split(design, "key")
+    return model.rf_regress(model.assemble(train, features), "label", max_bins=BINS), features, train, test
 
 
-@lru_cache(maxsize=4)
-def _fit(spark, sf):
-    design, features = _rows(spark, sf)
-    train, test = model.split(design, "key")
-    forest = model.rf_regress(model.assemble(train, features), "label", **FOREST)
-    return forest, features, train, test
+def _scored(spark, sf, label="label", logged=False):
+    forest, features, _, test = _fit(spark, sf, label)
+    return model.predict_back(forest.transform(model.assemble(test, features)), logged)
 
 
-def _scored(spark, sf):
-    forest, features, _, test = _fit(spark, sf)
-    return model.predict_back(forest.transform(model.assemble(test, features)), log_target=False)
+TEST = f"SELECT key, label FROM ({PARTS}) p WHERE label IS NOT NULL AND {SPLIT} >= 80"
 
 
-@query("m3_rf_regress")
+@query("m3_rf_regress", f"SELECT COUNT(*) AS n, true AS beats_mean, true AS explains FROM ({TEST}) t")
 def rf_regress(spark, sf):
+    _, _, train, test = _fit(spark, sf)
+    forest = model.regression_metrics(_scored(spark, sf), F.col("label"), F.col("predicted"))
+    gain = model.improvement(forest.drop("r2"), model.mean_baseline(train, test, "label"))
+    r2 = forest.select("r2").scalar()
+    return gain.select("n", (F.col("mae") < F.col("baseline_mae")).alias("beats_mean"), (r2 > 0.8).alias("explains"))
+
+
+@query("m3_rf_metrics")
+def rf_metrics(spark, sf):
     return model.regression_metrics(_scored(spark, sf), F.col("label"), F.col("predicted"))
 
 
-@query("m4_predict_back")
+@query("m4_predict_back", f"SELECT key, label, true AS on_scale FROM ({TEST}) t")
 def predict_back(spark, sf):
-    return _scored(spark, sf).select("key", "label", "raw_prediction", "predicted")
+    _, _, train, _ = _fit(spark, sf)
+    low, high = train.agg(F.min("label")).scalar(), train.agg(F.max("label")).scalar()
+    scored = _scored(spark, sf)
+    return scored.select("key", "label", (F.col("predicted") == F.col("raw_prediction")).alias("same"), F.col("predicted").between(low - 1e-6, high + 1e-6).alias("inside")).select(
+        "key", "label", (F.col("same") & F.col("inside")).alias("on_scale")
+    )
+
+
+@query("m4_predict_back_log", f"SELECT key, round(log10(label), 9) AS label, true AS on_scale FROM ({TEST}) t")
+def predict_back_log(spark, sf):
+    _, _, train, _ = _fit(spark, sf, "log10(label)")
+    low, high = train.agg(F.min("label")).scalar(), train.agg(F.max("label")).scalar()
+    scored = _scored(spark, sf, "log10(label)", True)
+    power, inside = F.abs(F.log10("predicted") - F.col("raw_prediction")) < 1e-9, F.col("raw_prediction").between(low - 1e-6, high + 1e-6)
+    return scored.select("key", F.round("label", 9).alias("label"), power.alias("p"), inside.alias("i")).select("key", "label", (F.col("p") & F.col("i")).alias("on_scale"))
 
 
 GUESS = f"SELECT {', '.join(KEYS)}, l_linestatus, label, l_quantity * 9e2 AS guess FROM ({SALES}) s"
@@ -184,19 +216,33 @@ def largest_errors(spark, sf):
     return rounded(model.largest_errors(rows, "k", "label", "guess"), 6, "label", "abs_error")
 
 
-@query("m8_importance_rank")
+@query("m8_importance_rank", "SELECT 1e0 AS total, 10 AS n_features, true AS descending, true AS main_first")
 def importance_rank(spark, sf):
     forest, features, train, _ = _fit(spark, sf)
-    return model.importance_rank(forest, features, train)
+    ranked = model.importance_rank(forest, features, train)
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "importance", "feature")))
+    return ranked.agg(F.round(F.sum("importance"), 9).alias("total"), F.count(F.lit(1)).cast("int").alias("n_features"), ordered.alias("o")).select(
+        "total", "n_features", F.aggregate("o", F.struct(F.lit(2.0).alias("x"), F.lit(True).alias("ok")), lambda a, r: F.struct(r["importance"].alias("x"), (a["ok"] & (r["importance"] <= a["x"])).alias("ok")))["ok"].alias("descending"),
+        F.array_contains(F.array(F.lit("sales"), F.lit("p_size"), F.lit("quantity")), F.col("o")[0]["feature"]).alias("main_first"),
+    )
 
 
-@query("m9_shap_values")
+@query("m9_shap_values", f"SELECT key, 0e0 AS rest FROM ({TEST}) t")
 def shap_values(spark, sf):
+    """Per row what base and attributions leave of the prediction."""
     forest, features, _, test = _fit(spark, sf)
-    return shap.shap_values(forest, test, features, "key")
+    predicted = forest.transform(model.assemble(test, features)).select("key", "raw_prediction")
+    values = shap.shap_values(forest, test, features, "key")
+    whole = sum((F.col(f"`phi_{f}`") for f in features), F.col("base"))
+    return values.join(predicted, "key").select("key", (F.round(whole - F.col("raw_prediction"), 4) + 0.0).alias("rest"))
 
 
-@query("m10_shap_rank")
+@query("m10_shap_rank", "SELECT 5 AS n, true AS descending, true AS positive")
 def shap_rank(spark, sf):
+    """Top attributions: how many, in order, and whether more sales raise the label."""
     forest, features, _, test = _fit(spark, sf)
-    return shap.shap_rank(shap.shap_values(forest, test, features, "key"), features)
+    ranked = shap.shap_rank(shap.shap_values(forest, test, features, "key"), features)
+    rows = F.collect_list(F.struct("mean_abs_shap", "feature", "direction"))
+    sales = F.exists("r", lambda r: (r["feature"] == "sales") & (r["direction"] == "positive"))
+    sizes = F.transform("r", lambda r: r["mean_abs_shap"])
+    return ranked.agg(F.count(F.lit(1)).cast("int").alias("n"), rows.alias("r")).select("n", (sizes == F.reverse(F.array_sort(sizes))).alias("descending"), sales.alias("positive"))

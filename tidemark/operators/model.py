@@ -32,8 +32,9 @@ def feature_matrix(
 
 
 def split(df: DataFrame, key: str, seed: int = SEED, train_percent: int = TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key, the same under any partitioning."""
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    """Train and test rows by a digest of key and seed, the same under any partitioning; a null key is a key."""
+    text = F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"))
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100
     return df.where(draw < train_percent), df.where(draw >= train_percent)
 
 
@@ -47,8 +48,8 @@ def rf_regress(
     train: DataFrame, target: str, features: str = "features", trees: int = TREES, max_depth: int = MAX_DEPTH,
     seed: int = SEED, max_bins: int = 64,
 ) -> RandomForestRegressionModel:
-    """Bootstrapped forest over all features per split. Splits are binned, so it agrees with an
-    exact forest in quality, not tree by tree."""
+    """Bootstrapped forest over all features per split. Where a feature has more than ``max_bins``
+    distinct values its splits are binned, and the forest agrees with an exact one in quality."""
     forest = RandomForestRegressor(
         featuresCol=features, labelCol=target, predictionCol="raw_prediction", numTrees=trees, maxDepth=max_depth,
         featureSubsetStrategy="all", subsamplingRate=1.0, seed=seed, maxBins=max_bins, minInstancesPerNode=1,

@@ -12,7 +12,6 @@ a polynomial of degree d-1 that Gauss-Legendre nodes integrate exactly.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,56 +42,67 @@ def tree_nodes(spark: SparkSession, model: RandomForestRegressionModel) -> DataF
     )
 
 
-def _leaf_games(nodes: pd.DataFrame) -> list[tuple]:
-    """Per leaf: value, features on its path, their open-closed intervals and unknown shares."""
-    games = []
-    for _, tree in nodes.groupby("tree"):
-        node = {row.id: row for row in tree.itertuples(index=False)}
-        stack = [(0, {})]
-        while stack:
-            at, path = stack.pop()
-            here = node[at]
-            if here.left < 0:
-                features = sorted(path)
-                low, high, share = (np.array([path[f][i] for f in features], dtype=float) for i in range(3))
-                games.append((here.value, np.array(features, dtype=int), low, high, share))
-                continue
-            for child, is_left in ((here.left, True), (here.right, False)):
-                low, high, share = path.get(here.feature, (-np.inf, np.inf, 1.0))
-                part = share * node[child].cover / here.cover
-                bounds = (low, min(high, here.threshold), part) if is_left else (max(low, here.threshold), high, part)
-                stack.append((child, {**path, here.feature: bounds}))
-    return games
-
-
-def _attribute(x: np.ndarray, games: list[tuple], trees: int) -> tuple[np.ndarray, float]:
-    phi, base = np.zeros(x.shape), 0.0
-    for value, features, low, high, share in games:
-        base += value * share.prod()
-        if not len(features):
-            continue
-        t, w = np.polynomial.legendre.leggauss((len(features) + 1) // 2)
-        t, w = (t + 1) / 2, w / 2
-        known = x[:, features]
-        opened = ((known > low) & (known <= high)).astype(float)
-        factor = share[None, :, None] * (1 - t) + opened[:, :, None] * t
-        whole = factor.prod(axis=1)
-        weight = ((whole * w)[:, None, :] / factor).sum(axis=2)
-        phi[:, features] += value * (opened - share) * weight
-    return phi / trees, base / trees
+class _Tree:
+    """One tree as arrays; children and features by node number, the root first."""
+
+    def __init__(self, nodes: pd.DataFrame):
+        nodes = nodes.sort_values("id")
+        self.left, self.right = nodes.left.tolist(), nodes.right.tolist()
+        self.feature, self.threshold = nodes.feature.tolist(), nodes.threshold.tolist()
+        self.value, self.cover = nodes.value.tolist(), nodes.cover.tolist()
+        leaf = (nodes.left < 0).to_numpy()
+        self.base = float((nodes.value * nodes.cover)[leaf].sum() / self.cover[0])
+        self.used = len(set(nodes.feature[~leaf]))
+
+
+def _attribute(x: np.ndarray, tree: _Tree, phi: np.ndarray) -> None:
+    """Add the attributions of one tree to ``phi``, in one walk.
+
+    On the way down a node holds the product of its path's factors at the quadrature nodes, so
+    that leaves share what their paths share. On the way up it returns the value-weighted sum of
+    its leaves' products; an edge divides its own factor out of that. Where a feature is tested
+    again below, the edge above takes back what the lower one now accounts for.
+    """
+    t, w = np.polynomial.legendre.leggauss(max(1, (tree.used + 1) // 2))
+    t, w = (t + 1) / 2, w / 2
+    path: dict[int, tuple] = {}
+
+    def walk(at: int, product: np.ndarray) -> np.ndarray:
+        if tree.left[at] < 0:
+            return tree.value[at] * product
+        f, old, total = tree.feature[at], path.get(tree.feature[at]), 0.0
+        below = x[:, f] <= tree.threshold[at]
+        for child, goes in ((tree.left[at], below), (tree.right[at], ~below)):
+            part = tree.cover[child] / tree.cover[at] * (old[1] if old else 1.0)
+            opened = (goes & old[0]) if old else goes
+            factor = part * (1 - t) + opened[:, None] * t
+            path[f] = (opened, part, factor)
+            leaves = walk(child, product * factor / old[2] if old else product * factor)
+            phi[:, f] += (opened - part) * ((leaves / factor) @ w)
+            if old:
+                phi[:, f] -= (old[0] - old[1]) * ((leaves / old[2]) @ w)
+            total = total + leaves
+        if old:
+            path[f] = old
+        else:
+            del path[f]
+        return total
+
+    walk(0, np.ones((len(x), len(t))))
 
 
 def shap_values(model: RandomForestRegressionModel, df: DataFrame, features: list[str], key: str) -> DataFrame:
     """Per row: key, features, ``phi_<feature>``, and ``base``, the forest's mean prediction.
 
-    base + sum of phi is the raw prediction.
+    base + sum of phi is the raw prediction. Rows that repeat a key keep their own. A forest over
+    MAX_NODES is scored in parts, each adding to the columns of the one before. (The library holds
+    and broadcasts the whole forest to predict with it; a part is a piece of the same forest.)
     """
     spark = df.sparkSession
     nodes = tree_nodes(spark, model)
     trees = model.getNumTrees
-    sizes = nodes.groupBy("tree").count().orderBy("tree").collect()
     parts, filled = [[]], 0
-    for row in sizes:
+    for row in nodes.groupBy("tree").count().orderBy("tree").collect():
         if parts[-1] and filled + row["count"] > MAX_NODES:
             parts.append([])
             filled = 0
@@ -100,30 +110,28 @@ def shap_values(model: RandomForestRegressionModel, df: DataFrame, features: lis
         filled += row["count"]
 
     phis = [f"phi_{f}" for f in features]
-    rows = df.select(key, *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
-    schema = ", ".join([f"`{key}` {dict(rows.dtypes)[key]}"] + [f"`{c}` double" for c in [*features, *phis, "base"]])
+    sums = [F.lit(0.0).alias(c) for c in [*phis, "base"]]
+    rows = df.select(key, *[F.col(f"`{f}`").cast("double").alias(f) for f in features], *sums)
 
-    def scored(part: list[int]) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(_leaf_games(nodes.where(F.col("tree").isin(part)).toPandas()))
+    def added(part: list[int]):
+        shipped = [_Tree(t) for _, t in nodes.where(F.col("tree").isin(part)).toPandas().groupby("tree")]
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            games = shipped.value
             for batch in batches:
                 for start in range(0, len(batch), _BLOCK):
                     block = batch.iloc[start : start + _BLOCK].reset_index(drop=True)
-                    phi, base = _attribute(block[features].to_numpy(dtype=float), games, trees)
-                    out = pd.concat([block, pd.DataFrame(phi, columns=phis)], axis=1)
-                    out["base"] = base
-                    yield out
-
-        return rows.mapInPandas(run, schema)
-
-    scores = [scored(p) for p in parts]
-    if len(scores) == 1:
-        return scores[0]
-    sums = [F.sum(F.col(f"`{c}`")).alias(c) for c in [*phis, "base"]]
-    firsts = [F.first(F.col(f"`{f}`")).alias(f) for f in features]
-    return reduce(DataFrame.unionByName, scores).groupBy(key).agg(*firsts, *sums)
+                    x, phi = block[features].to_numpy(dtype=float), np.zeros((len(block), len(features)))
+                    for tree in shipped:
+                        _attribute(x, tree, phi)
+                    block[phis] += phi / trees
+                    block["base"] += sum(tree.base for tree in shipped) / trees
+                    yield block
+
+        return run
+
+    for part in parts:
+        rows = rows.mapInPandas(added(part), rows.schema)
+    return rows
 
 
 def shap_rank(values: DataFrame, features: list[str], k: int = TOP_FEATURES) -> DataFrame:
