@@ -31,7 +31,7 @@ REGION = T.StructType([T.StructField("r_regionkey", T.LongType()), T.StructField
 def csv_scan(spark, sf):
     path = shared_dir(spark, "csv")
     writers.csv_sink(role(spark, sf, DOCS_SQL), path)
-    return readers.csv_scan(spark, path, DOCS)
+    return readers.landed(readers.csv_scan(spark, path, DOCS, multi_line=True))
 
 
 @query("s2_csv_dir_scan", """
@@ -56,7 +56,45 @@ def csv_dir_scan(spark, sf):
 def gz_csv_scan(spark, sf):
     path = shared_dir(spark, "gz")
     writers.csv_sink(role(spark, sf, DOCS_SQL), path, compression="gzip")
-    return readers.csv_scan(spark, path, DOCS)
+    return readers.landed(readers.csv_scan(spark, path, DOCS, multi_line=True))
+
+
+# Typed text as users write it: 12.0 in a whole-number column, 1.5d, a bare year, NA tokens.
+TYPED_SQL = """
+SELECT o_orderkey AS id,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'None' WHEN o_orderkey % 5 = 1 THEN '1.5d' WHEN o_orderkey % 5 = 2 THEN CAST(o_custkey AS STRING) || '.0'
+            WHEN o_orderkey % 5 = 3 THEN '9007199254740993' ELSE CAST(o_custkey AS STRING) END AS host,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'n/a' WHEN o_orderkey % 4 = 1 THEN '1.5d' WHEN o_orderkey % 4 = 2 THEN '-2.5e3' ELSE '7' END AS price,
+       CASE WHEN o_orderkey % 3 = 0 THEN '2026' WHEN o_orderkey % 3 = 1 THEN '2001-02-03' ELSE '2001-13-01' END AS day, o_orderkey % 7 AS extra FROM {orders}
+"""
+TYPED = T.StructType([
+    T.StructField("host", T.LongType()), T.StructField("id", T.LongType()), T.StructField("absent", T.StringType()),
+    T.StructField("day", T.DateType()), T.StructField("price", T.DoubleType()),
+])
+
+
+@query("s1_csv_by_name", f"""
+    SELECT CASE WHEN host IN ('None', '1.5d') THEN NULL WHEN host LIKE '%.0' THEN CAST(replace(host, '.0', '') AS BIGINT) ELSE CAST(host AS BIGINT) END AS host,
+           id, CAST(NULL AS VARCHAR) AS absent, CASE WHEN day = '2001-02-03' THEN DATE '2001-02-03' END AS day,
+           CASE WHEN price IN ('n/a', '1.5d') THEN NULL ELSE CAST(price AS DOUBLE) END AS price FROM ({TYPED_SQL}) q""")
+def csv_by_name(spark, sf):
+    """Two files with permuted columns and one more, declared in another order again, one column absent."""
+    folder = shared_dir(spark, "named")
+    rows = role(spark, sf, TYPED_SQL)
+    rows.where("id % 2 = 0").select("day", "id", "extra", "price", "host").coalesce(1).write.option("header", True).csv(folder)
+    rows.where("id % 2 = 1").select("id", "host", "price", "day").coalesce(1).write.mode("append").option("header", True).csv(folder)
+    return readers.csv_scan(spark, folder, TYPED)
+
+
+@query("s2_inferred_types", """
+    SELECT 'nation' AS stem, 'n_name' AS name, 'string' AS kind UNION ALL SELECT 'nation', 'n_nationkey', 'bigint' UNION ALL SELECT 'nation', 'n_regionkey', 'bigint'
+    UNION ALL SELECT 'customer', 'c_custkey', 'bigint' UNION ALL SELECT 'customer', 'c_acctbal', 'double'""")
+def inferred_types(spark, sf):
+    folder = shared_dir(spark, "undeclared")
+    writers.csv_sink(table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"), f"{folder}/nation.csv")
+    writers.csv_sink(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), f"{folder}/customer.csv")
+    found = readers.csv_dir_scan(spark, folder, {}, multi_line=False)
+    return spark.createDataFrame([(s, n, k) for s, df in found.items() for n, k in df.dtypes], "stem string, name string, kind string")
 
 
 @query("s4_parquet_scan", "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders}")

@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -76,3 +78,81 @@ def test_micro_batches_upsert(spark):
         stream = spark.readStream.schema("id int, v string, seen int").parquet(source)
         upsert_stream(stream, path, "id", F.col("seen"), shared_dir(spark, "cp") if i == 0 else shared_dir(spark, "cp2")).awaitTermination()
     assert content(writers.VersionedTable(spark, path)) == {1: "b", 2: "c"}
+
+
+def test_columns_by_name_and_strict_types(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a,c,d\n12.0,x,1.5d,2026\n9007199254740993.0,y,-2e3,2024-02-29\n1e3,z,inf,2024-02-30\n")
+    schema = "a string, b long, c double, d date, e long"
+    df = readers.csv_scan(spark, str(tmp_path / "a.csv"), spark.createDataFrame([], schema).schema)
+    assert [tuple(r) for r in df.collect()] == [
+        ("x", 12, None, None, None), ("y", 9007199254740993, -2000.0, date(2024, 2, 29), None), ("z", None, None, None, None),
+    ]
+
+
+def test_inferred_types(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("i,f,s,n,m\n1,1,a,NA,\n2,2.5,3,,x\nNA,-1e3,b,None,1\n")
+    df = readers.csv_dir_scan(spark, str(tmp_path), {})["t"]
+    assert dict(df.dtypes) == {"i": "bigint", "f": "double", "s": "string", "n": "string", "m": "string"}
+    assert [r.i for r in df.collect()] == [1, 2, None]
+
+
+def rows(table):
+    return sorted((r.k, r.v) for r in table.read().collect() if r.k is not None)
+
+
+def batch(spark, *pairs):
+    return spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(pairs)], "k long, v long, i long")
+
+
+def keyed(spark, path, *pairs):
+    table = writers.VersionedTable(spark, str(path / "t"), buckets=8)
+    table.upsert(batch(spark, *pairs), "k", F.col("i"))
+    return table
+
+
+def test_second_of_two_writers_starts_anew(spark, tmp_path, monkeypatch):
+    first = keyed(spark, tmp_path, (1, 1))
+    second = writers.VersionedTable(spark, str(tmp_path / "t"), buckets=8)
+    read, met = second.state, []
+
+    def stale():
+        found = read()
+        if not met:  # the other writer publishes after this one has read
+            met.append(1)
+            first.upsert(batch(spark, (2, 2)), "k", F.col("i"))
+        return found
+
+    monkeypatch.setattr(second, "state", stale)
+    second.upsert(batch(spark, (3, 3)), "k", F.col("i"))
+    assert rows(first) == [(1, 1), (2, 2), (3, 3)]
+    monkeypatch.setattr(second, "state", lambda: first.state() and {**first.state(), "number": 1})
+    with pytest.raises(writers.Conflict):
+        second.upsert(batch(spark, (4, 4)), "k", F.col("i"), attempts=2)
+
+
+def test_null_keys_are_idempotent(spark, tmp_path):
+    table = keyed(spark, tmp_path, (1, 1), (None, 5))
+    for _ in range(3):
+        table.upsert(batch(spark, (None, 6), (1, 2)), "k", F.col("i"))
+    assert sorted((r.k or 0, r.v) for r in table.read().collect()) == [(0, 6), (1, 2)]
+
+
+def test_only_touched_buckets_are_rewritten_and_old_versions_go(spark, tmp_path):
+    table = keyed(spark, tmp_path, *[(k, k) for k in range(100)])
+    before = table.state()["parts"]
+    table.upsert(batch(spark, (7, -7)), "k", F.col("i"))
+    after = table.state()["parts"]
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    table.upsert(batch(spark, (7, -8)), "k", F.col("i"))
+    assert table.vacuum(keep=1) == 2
+    assert rows(table) == sorted([(k, k) for k in range(100) if k != 7] + [(7, -8)])
+    assert table.vacuum(keep=1) == 0 and table.ensure_key("k", verify=True)
+
+
+def test_audit_does_not_wait_for_a_frame_that_never_ran(spark, tmp_path):
+    with writers.run_audit(spark, str(tmp_path / "log"), "s", "all") as run:
+        run.count_out(spark.range(3))
+        run.count_in(spark.range(4)).collect()
+        run.total = lambda side, wait=0.3: writers.StageRun.total(run, side, wait)
+    row = spark.read.parquet(str(tmp_path / "log")).first()
+    assert (row.row_count_in, row.row_count_out, row.status) == (4, None, "success")

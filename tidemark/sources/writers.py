@@ -27,69 +27,116 @@ def csv_sink(df: DataFrame, path: str, compression: str = "none") -> None:
 def upsert_rows(existing: DataFrame, batch: DataFrame, key: str, batch_order: Column) -> DataFrame:
     """Batch rows replace rows of equal key, new keys are added, other rows stay.
 
-    A whole row is replaced, so a null in the batch overwrites. The last row of the batch wins.
+    A whole row is replaced, so a null in the batch overwrites. The last row of the batch wins. A
+    null key is a key like others.
     """
     newest = pick_per_key(batch, [key], batch_order, last=True).select(*existing.columns)
-    return existing.join(newest.select(key), key, "left_anti").unionByName(newest)
+    same = F.col(f"e.`{key}`").eqNullSafe(F.col(f"b.`{key}`"))
+    return existing.alias("e").join(newest.select(key).alias("b"), same, "left_anti").unionByName(newest)
+
+
+#: Buckets that a keyed table is dealt to by a hash of its key.
+BUCKETS = 64
+
+
+class Conflict(Exception):
+    """Another writer published a version first."""
 
 
 class VersionedTable:
-    """A parquet table kept as version folders, with numbered markers naming the current one.
+    """A parquet table kept as bucket folders, with numbered manifests that name those of a version.
 
-    A reader always sees a whole version; nothing is written over a path that is being read.
-    The marker also records the key, which is what ``ensure_key`` looks at.
+    A manifest holds the key, the schema and the folder of each bucket. A writer publishes the
+    number that follows the one it read, by creating a file that must not exist: of two writers
+    that started from one version, one fails and starts anew. A reader sees a whole version; a
+    batch rewrites only the buckets that hold its keys. ``vacuum`` removes what old versions
+    alone refer to. A table without a key has one part.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
         jvm = spark.sparkContext._jvm
         self._fs_path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def state(self) -> dict | None:
-        """Content of the newest marker, or None before the first write."""
+    def _numbers(self) -> list[int]:
         folder = self._fs_path(self.path)
         if not self._fs.exists(folder):
-            return None
+            return []
         names = [f.getPath().getName() for f in self._fs.listStatus(folder)]
-        markers = sorted(n for n in names if n.startswith("_marker-"))
-        if not markers:
-            return None
-        stream = self._fs.open(self._fs_path(f"{self.path}/{markers[-1]}"))
+        return sorted(int(n.removeprefix("_manifest-")) for n in names if n.startswith("_manifest-"))
+
+    def _manifest(self, number: int) -> dict | None:
+        """A manifest, or None while its writer is at it."""
+        stream = self._fs.open(self._fs_path(f"{self.path}/_manifest-{number:09d}"))
         try:
-            found = json.loads(bytes(stream.readAllBytes()).decode())
+            text = bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
-        return {**found, "number": int(markers[-1].split("-")[1])}
+        try:
+            return {**json.loads(text), "number": number}
+        except ValueError:
+            return None
+
+    def state(self) -> dict | None:
+        """The newest whole manifest, or None before the first write."""
+        return next((m for n in reversed(self._numbers()) if (m := self._manifest(n))), None)
+
+    def _rows(self, state: dict, buckets: list[str] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(state["schema"])
+        folders = sorted({f for b, f in state["parts"].items() if buckets is None or b in buckets})
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
 
     def read(self) -> DataFrame:
         state = self.state()
         if state is None:
             raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/{state['version']}")
+        return self._rows(state)
 
-    def _publish(self, version: str, key: str | None) -> None:
-        """Name the version in the next numbered marker; a lost race fails the rename."""
-        number = (self.state() or {"number": 0})["number"] + 1
-        draft = self._fs_path(f"{self.path}/_draft-{version}")
-        stream = self._fs.create(draft, True)
+    def _publish(self, after: int, manifest: dict) -> None:
+        """Write the manifest with the number that follows; a number that is taken is a conflict."""
         try:
-            stream.write(bytearray(json.dumps({"version": version, "key": key}).encode()))
+            stream = self._fs.create(self._fs_path(f"{self.path}/_manifest-{after + 1:09d}"), False)
+        except Exception as e:
+            if "already exists" in str(e).lower() or "alreadyexists" in str(e).lower():
+                raise Conflict(self.path) from e
+            raise
+        try:
+            stream.write(bytearray(json.dumps(manifest).encode()))
         finally:
             stream.close()
-        if not self._fs.rename(draft, self._fs_path(f"{self.path}/_marker-{number:09d}")):
-            raise OSError(f"another writer published {self.path} first")
 
-    def replace(self, df: DataFrame, key: str | None = None) -> None:
+    def _bucket(self, key: str, count: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(count)).cast("int")
+
+    def _written(self, df: DataFrame, key: str | None, count: int) -> dict[str, str]:
+        """The folder of each bucket that has rows, after writing them."""
         version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
-        self._publish(version, key)
+        if key is None:
+            df.write.parquet(f"{self.path}/{version}")
+            return {"all": version}
+        df.withColumn("_bucket", self._bucket(key, count)).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{version}")
+        names = [f.getPath().getName() for f in self._fs.listStatus(self._fs_path(f"{self.path}/{version}"))]
+        return {n.removeprefix("_bucket="): f"{version}/{n}" for n in names if n.startswith("_bucket=")}
+
+    def _put(self, df: DataFrame, key: str | None, base: int) -> None:
+        parts = self._written(df, key, self.buckets)
+        self._publish(base, {"key": key, "buckets": self.buckets, "schema": df.schema.jsonValue(), "parts": parts})
+
+    def replace(self, df: DataFrame, key: str | None = None) -> None:
+        """Full replace; the last writer wins, whatever was read before."""
+        while True:
+            try:
+                return self._put(df, key, max(self._numbers(), default=0))
+            except Conflict:
+                continue
 
     def ensure_key(self, key: str, verify: bool = False) -> bool:
         """True if the stored table is keyed by ``key``.
 
-        Every write leaves one row per key, so the marker is enough; ``verify`` also counts.
+        Every write leaves one row per key, so the manifest is enough; ``verify`` also counts.
         """
         state = self.state()
         if state is None or state["key"] != key:
@@ -99,15 +146,41 @@ class VersionedTable:
         repeated = self.read().groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         return not repeated.take(1)
 
-    def upsert(self, batch: DataFrame, key: str, batch_order: Column) -> bool:
-        """Upsert a batch; a table with another key is rebuilt from the batch. True if rebuilt."""
-        rebuilt = not self.ensure_key(key)
-        if rebuilt:
-            rows = pick_per_key(batch, [key], batch_order, last=True)
-        else:
-            rows = upsert_rows(self.read(), batch, key, batch_order)
-        self.replace(rows, key)
-        return rebuilt
+    def upsert(self, batch: DataFrame, key: str, batch_order: Column, attempts: int = 5) -> bool:
+        """Upsert a batch; a table with another key is rebuilt from the batch. True if rebuilt.
+
+        Only buckets with keys of the batch are read and written. If another writer publishes in
+        between, the batch is applied anew to that version, ``attempts`` times at most.
+        """
+        for attempt in range(attempts):
+            try:
+                return self._upsert_once(batch, key, batch_order)
+            except Conflict:
+                if attempt + 1 == attempts:
+                    raise
+        raise ValueError("attempts must be positive")
+
+    def _upsert_once(self, batch: DataFrame, key: str, batch_order: Column) -> bool:
+        state = self.state()
+        if state is None or state["key"] != key:
+            self._put(pick_per_key(batch, [key], batch_order, last=True), key, max(self._numbers(), default=0))
+            return True
+        count = state["buckets"]
+        touched = [str(r[0]) for r in batch.select(self._bucket(key, count)).distinct().collect()]  # at most ``count`` numbers
+        parts = self._written(upsert_rows(self._rows(state, touched), batch, key, batch_order), key, count)
+        self._publish(state["number"], {**{k: state[k] for k in ("key", "buckets", "schema")}, "parts": {**state["parts"], **parts}})
+        return False
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Remove the folders that only manifests older than the last ``keep`` name, and these; how many folders went."""
+        manifests = [m for n in self._numbers() if (m := self._manifest(n))]
+        old, kept = manifests[:-keep], manifests[-keep:]
+        gone = {f for m in old for f in m["parts"].values()} - {f for m in kept for f in m["parts"].values()}
+        for folder in gone:
+            self._fs.delete(self._fs_path(f"{self.path}/{folder}"), True)
+        for m in old:
+            self._fs.delete(self._fs_path(f"{self.path}/_manifest-{m['number']:09d}"), False)
+        return len(gone)
 
 
 AUDIT_SCHEMA = T.StructType(
@@ -140,8 +213,17 @@ class StageRun:
     def count_out(self, df: DataFrame) -> DataFrame:
         return self._count(df, "out")
 
-    def total(self, side: str) -> int | None:
-        return sum(o.get["rows"] for o in self._seen[side]) if self._seen[side] else None
+    def total(self, side: str, wait: float = 5.0) -> int | None:
+        """Rows counted; None if nothing was counted or a counted frame was never run.
+
+        A count arrives shortly after its job, so an unfinished one is looked at again for a while.
+        """
+        seen, until = self._seen[side], time.monotonic() + wait
+        while not all(o._jo is not None and o._jo.future().isCompleted() for o in seen):
+            if time.monotonic() > until:
+                return None
+            time.sleep(0.05)
+        return sum(o.get["rows"] for o in seen) if seen else None
 
 
 @contextmanager
