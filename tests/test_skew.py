@@ -40,11 +40,27 @@ def test_spread_join_is_a_plain_join(spark, no_broadcast, hot):
         assert got == want
 
 
-def test_hot_rows_are_spread(spark, no_broadcast, hot):
-    _, df = hot
-    stats = df.groupBy("g").agg(F.count("x").alias("c"))
-    plan = spread_join(df, stats, "g")._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan and "SortMergeJoin" in plan
+def test_equal_hot_rows_and_warm_keys_are_cut_into_tasks(spark, no_broadcast):
+    """100 000 equal rows of one key, as many of null, and 500 warm keys: no task of the join gets a whole hot key."""
+    sizes = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.range(0, 100_000, 1, 20).select(F.lit("hot").alias("g"), F.lit("same text " * 5).alias("t"))
+        none = hot.select(F.lit(None).cast("string").alias("g"), "t")
+        warm = spark.range(0, 25_000, 1, 8).select(F.concat(F.lit("w"), F.col("id") % 500).alias("g"), F.lit("t").alias("t"))
+        rows = hot.unionAll(none).unionAll(warm)
+        stats = rows.where("g IS NOT NULL").groupBy("g").agg(F.count("t").alias("c"))
+        found = spread_join(rows, stats, "g").withColumn("task", F.spark_partition_id()).cache()
+        per_task = {r["task"]: r["count"] for r in found.groupBy("task").count().collect()}
+        assert sum(per_task.values()) == 225_000 and max(per_task.values()) < 50_000
+        assert found.where("g = 'hot' AND c = 100000").count() == 100_000 and found.where("g IS NULL AND c IS NULL").count() == 100_000
+        assert found.where("g LIKE 'w%' AND c = 50").count() == 25_000
+        found.unpersist()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_group_operators(spark, no_broadcast, hot):

@@ -16,8 +16,45 @@ def normal_sf(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def gamma_upper(s: float, x: float) -> float:
+    """Regularised upper incomplete gamma function: series below s + 1, continued fraction above."""
+    if x <= 0:
+        return 1.0
+    front = math.exp(s * math.log(x) - x - math.lgamma(s))
+    if x < s + 1:
+        term = total = 1 / s
+        n = s
+        while term > total * 1e-17:
+            n += 1
+            term *= x / n
+            total += term
+        return max(0.0, 1 - front * total)
+    b, c, d = x + 1 - s, 1e300, 1 / (x + 1 - s)
+    total, n = d, 0
+    while True:
+        n += 1
+        b += 2
+        d = 1 / (b - n * (n - s) * d)
+        c = b - n * (n - s) / c
+        total *= c * d
+        if abs(c * d - 1) < 1e-16 * 8:
+            return front * total
+
+
+#: Degrees of freedom from which the beta function is taken from its gamma limit, then correct to 1e-12.
+_LARGE = 1e6
+
+
 def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function by its continued fraction (modified Lentz)."""
+    """Regularised incomplete beta function by its continued fraction (modified Lentz).
+
+    With one very large parameter the logarithms of gamma functions cancel each other, and the
+    gamma function of the other parameter takes over, the argument corrected to second order.
+    """
+    if a > _LARGE > b and 0 < x < 1:
+        return gamma_upper(b, -(a + (b - 1) / 2) * math.log(x))
+    if b > _LARGE > a and 0 < x < 1:
+        return 1 - gamma_upper(a, -(b + (a - 1) / 2) * math.log1p(-x))
     if x <= 0:
         return 0.0
     if x >= 1:
@@ -34,15 +71,19 @@ def betainc(a: float, b: float, x: float) -> float:
             c = (1 + step / c) or tiny
             total *= c * d
         if abs(c * d - 1) < 1e-15:
-            break
-    return min(1.0, front * total)
+            return min(1.0, front * total)
+    raise ArithmeticError(f"no value of the incomplete beta function for {a}, {b}, {x}")
 
 
 def t_two_sided(t: float, df: float) -> float:
+    if df / 2 > _LARGE:  # the argument is too near to 1 for its logarithm
+        return gamma_upper(0.5, (df / 2 - 0.25) * math.log1p(t * t / df))
     return betainc(df / 2, 0.5, df / (df + t * t))
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
+    if f > 0 and d2 / 2 > _LARGE > d1 / 2:
+        return gamma_upper(d1 / 2, (d2 / 2 + (d1 / 2 - 1) / 2) * math.log1p(d1 * f / d2))
     return betainc(d2 / 2, d1 / 2, d2 / (d2 + d1 * f)) if f > 0 else 1.0
 
 
@@ -103,25 +144,27 @@ def studentized_range_quantile(alpha: float, k: int, df: float) -> float:
     return _once(("quantile", alpha, k, float(df)), search)
 
 
-# The exact distribution has n1*n2+1 entries; beyond this many the normal form is used.
-_EXACT_ENTRIES = 2_000_000
-
-
 def mann_whitney_exact(u: float, n1: int, n2: int) -> float:
-    """Two-sided exact p of U without ties, from the number of subsets per rank sum."""
+    """Two-sided exact p of U without ties, from the numbers of subsets for the smaller tail.
+
+    The distribution is symmetric, so that only the counts up to the smaller of U and n1*n2 - U are
+    built, from small to large: no tail is a difference of large sums. The smaller sample has at
+    most 8 values, and the counts take 16 bytes for each value of U in the tail.
+    """
     n1, n2 = sorted((int(n1), int(n2)))
-    size = n1 * n2 + 1
-    ways = np.zeros(size, dtype=object if size <= 20_000 else float)
+    last = int(math.floor(min(u, n1 * n2 - u)))
+    if last < 0:
+        return 0.0
+    ways = np.zeros(last + 1, dtype=np.longdouble)
     ways[0] = 1
     # Gaussian binomial: multiply by (1 - x^(n2+i)), divide by (1 - x^i)
     for i in range(1, n1 + 1):
-        up = ways.copy()
-        up[n2 + i :] -= ways[: max(0, size - n2 - i)]
-        for r in range(min(i, size)):
-            up[r::i] = np.cumsum(up[r::i])
-        ways = up
-    upper = int(math.ceil(max(u, n1 * n2 - u)))
-    return float(min(1.0, 2 * (ways[upper:].sum() / ways.sum())))
+        if n2 + i <= last:
+            ways[n2 + i :] -= ways[: last + 1 - n2 - i].copy()
+        for r in range(min(i, last + 1)):
+            ways[r::i] = np.cumsum(ways[r::i])
+    tail = float(np.maximum(ways, 0).sum() / np.longdouble(math.comb(n1 + n2, n1)))
+    return min(1.0, 2 * tail)
 
 
 def mann_whitney_p(u: float, n1: float, n2: float, ties: float) -> float:
@@ -129,7 +172,7 @@ def mann_whitney_p(u: float, n1: float, n2: float, ties: float) -> float:
 
     The normal form corrects the variance for ties and the distance for continuity.
     """
-    if min(n1, n2) <= 8 and ties == 0 and n1 * n2 < _EXACT_ENTRIES:
+    if min(n1, n2) <= 8 and ties == 0:
         return mann_whitney_exact(u, int(n1), int(n2))
     n = n1 + n2
     sd = math.sqrt(n1 * n2 / 12 * ((n + 1) - ties / (n * (n - 1))))

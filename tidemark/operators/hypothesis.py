@@ -57,13 +57,14 @@ def normality_moments(df: DataFrame, group: str, value: str, labels: list | None
 
 
 def shapiro(df: DataFrame, group: str, value: str, labels: list | None = None) -> DataFrame:
-    """Shapiro-Wilk W and p for every group of 3 to 5000 values; larger groups are left out.
+    """Shapiro-Wilk W and p of every group, with a status: "tested", or "too few" or "too many" values.
 
-    Sizes are counted first, so no window ever holds more than 5000 values of a group.
+    The test is for 3 to 5000 values; other groups have null W and p. Sizes are counted first, so
+    no window ever holds more than 5000 values of a group.
     """
     rows = _observations(df, group, value, labels)
-    small = rows.groupBy("g").agg(F.count("x").alias("n"), F.var_pop("x").alias("v"))
-    small = small.where(F.col("n").between(3, SHAPIRO_MAX_N)).select("g", "n", (F.col("v") * F.col("n")).alias("ss"))
+    sizes = rows.groupBy("g").agg(F.count("x").alias("n"), F.var_pop("x").alias("v"))
+    small = sizes.where(F.col("n").between(3, SHAPIRO_MAX_N)).select("g", "n", (F.col("v") * F.col("n")).alias("ss"))
     # rows of large groups are spread, so that dropping them costs no single task
     ranked = spread_join(rows, small, "g", "inner").withColumn("i", F.row_number().over(Window.partitionBy("g").orderBy("x")))
     score = F.pandas_udf(normal_scores, "double")((F.col("i") - 0.375) / (F.col("n") + 0.25))
@@ -80,7 +81,9 @@ def shapiro(df: DataFrame, group: str, value: str, labels: list | None = None) -
     )
     parts = ["n", "mm", "mx", "m_last", "m_next", "x1", "x2", "x_next", "x_last", "ss"]
     w = sums.select("g", "n", tail_udf(shapiro_w, *[F.col(c) for c in parts]).alias("w"))
-    return w.withColumn("p_value", tail_udf(shapiro_p, F.col("w"), F.col("n")))
+    tested = w.withColumn("p_value", tail_udf(shapiro_p, F.col("w"), F.col("n"))).drop("n")
+    status = F.when(F.col("n") < 3, "too few").when(F.col("n") > SHAPIRO_MAX_N, "too many").otherwise("tested")
+    return sizes.select("g", "n", status.alias("status")).join(tested, "g", "left").select("g", "n", "w", "p_value", "status")
 
 
 def normality(df: DataFrame, group: str, value: str, labels: list | None = None) -> DataFrame:

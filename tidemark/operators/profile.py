@@ -11,16 +11,14 @@ from tidemark.functions.parse import clip_text, pct, rows_of
 
 def _tall(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (column, value as text)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    text = lambda c: (F.col(c) + 0.0 if c in fractional else F.col(c)).cast("string").alias(c)  # noqa: E731 - -0.0 is 0.0
+    return df.select(*[text(c) for c in columns]).unpivot([], columns, "column", "value")
 
 
 def _identity(text: Column) -> Column:
-    """What two values are told apart by: the text, or length and digest of a long one.
-
-    Whole documents are compared but not shuffled.
-    """
-    digest = F.concat(F.length(text).cast("string"), F.lit(":"), F.sha2(text, 256))
-    return F.when(F.length(text) > 80, digest).otherwise(text)
+    """What two values are told apart by: a digest, so that whole documents are compared but not shuffled."""
+    return F.unhex(F.sha2(text, 256))
 
 
 def profile_columns(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Fixed values of the node numbering. The numbers are never null; saying so keeps joins from
 # adding null filters to one use of a subplan only, which would stop its exchange from being shared.
 _ZERO = 1 << 20
-_NODE1 = f"""coalesce(CASE WHEN v > 0 THEN CAST(floor(log2(v) * 256D) AS BIGINT) + {_ZERO}
+_INF = 1 << 40
+_NODE1 = f"""coalesce(CASE WHEN v = double('inf') THEN {_INF}L WHEN v = double('-inf') THEN -{_INF}L WHEN v > 0 THEN CAST(floor(log2(v) * 256D) AS BIGINT) + {_ZERO}
                            WHEN v < 0 THEN -CAST(floor(log2(-v) * 256D) AS BIGINT) - {_ZERO} ELSE 0L END, 0L)"""
-_NODE2 = f"""coalesce(CASE WHEN k1 = 0 THEN 0L
+_NODE2 = f"""coalesce(CASE WHEN k1 = 0 OR abs(k1) = {_INF} THEN 0L
                            ELSE CAST(floor(v / pow(2D, (abs(k1) - {_ZERO}) / 256D) * 268435456D) AS BIGINT) END, 0L)"""
 _BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
@@ -104,7 +105,8 @@ def group_quantiles(
         positions[f"{name}_hi"] = f"CAST(ceil((size - 1) * {float(p)!r}D) AS BIGINT)"
     found = order_statistics(df, by, value, positions, few)
     columns = [
-        f"`{name}_lo` + (`{name}_hi` - `{name}_lo`) * ((n - 1) * {float(p)!r}D - floor((n - 1) * {float(p)!r}D)) AS `{name}`"
+        f"CASE WHEN `{name}_lo` = `{name}_hi` THEN `{name}_lo` ELSE `{name}_lo` + (`{name}_hi` - `{name}_lo`) * "
+        f"((n - 1) * {float(p)!r}D - floor((n - 1) * {float(p)!r}D)) END AS `{name}`"
         for name, p in probs.items()
     ]
     return found.selectExpr(*_quoted(by), "n", *columns)

@@ -20,9 +20,10 @@ from tidemark.functions.parse import rows_of
 from tidemark.functions.tails import f_sf, t_two_sided
 from tidemark.operators.derive import SKEW_THRESHOLD
 
-# Fixed value of the report; a design with more levels than the bound does not fit a k x k solve.
+# Fixed value of the report.
 VIF_THRESHOLD = 5.0
-MAX_LEVELS = 2000
+#: Column pairs of one aggregate; more would be too wide to compile.
+PAIRS = 60
 
 
 def usable_columns(df: DataFrame, mapping: dict[str, str]) -> dict[str, str]:
@@ -37,27 +38,27 @@ def usable_columns(df: DataFrame, mapping: dict[str, str]) -> dict[str, str]:
 def corr_matrix(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rows (x, y, r): pairwise-complete Pearson correlation of the usable columns.
 
-    Every row is unfolded into its column pairs, which the map side combines to one row per
-    pair; a single aggregate over all pairs would be too wide to compile.
+    The pairs are aggregated PAIRS at a time, each time in one pass over the columns they need;
+    no row is copied.
     """
     usable = usable_columns(df, mapping)
     x = {label: F.col(c).cast("double") for label, c in usable.items()}
     pairs = [(a, a) for a in x] + list(combinations(x, 2))
-    cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), x[a].alias("_a"), x[b].alias("_b")) for a, b in pairs]
-    half = df.select(rows_of(*cells)).groupBy("x", "y").agg(safe_corr(F.col("_a"), F.col("_b")).alias("r"))
+    half = df.sparkSession.createDataFrame([], "x string, y string, r double")
+    for at in range(0, len(pairs), PAIRS):
+        own = pairs[at : at + PAIRS]
+        sums = df.agg(*[safe_corr(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(own)])
+        half = half.unionByName(sums.select(rows_of(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(own)])))
     both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
     return half.select(F.explode(F.array_distinct(both)).alias("_p"), "r").select("_p.x", "_p.y", "r")
 
 
 def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted non-null levels per categorical column."""
-    levels = {}
-    for c in columns:
-        found = df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).limit(MAX_LEVELS + 1).collect()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; pool the rare ones first")
-        levels[c] = [r[0] for r in found]
-    return levels
+    """Sorted non-null levels per categorical column, in one pass. Each becomes a column of the design, so
+    that pooling rare levels first is advised where there are thousands."""
+    tall = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "level") if columns else None
+    found = tall.where("level IS NOT NULL").distinct().collect() if columns else []
+    return {c: sorted(r.level for r in found if r.column == c) for c in columns}
 
 
 def encode(df: DataFrame, predictors: list[str], drop_first: bool, keep: list[str] = ()) -> tuple[DataFrame, list[str], list[str]]:

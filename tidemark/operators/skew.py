@@ -4,27 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key with more than 1/200 of the rows is always among the 200 most frequent ones.
-HOT_KEYS = 200
-SALTS = 256
+#: Copies of the statistics, and tasks that the rows of one key are dealt to at least. With more than
+#: one, what follows can't rely on a whole key lying in one task, so that adaptive execution is free
+#: to split a partition further wherever it is large.
+SALTS = 8
 
 
 def spread_join(rows: DataFrame, stats: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join rows with statistics that have one row per ``key``.
 
-    The rows of the most frequent keys, and of a null key, are spread over salts by a hash of
-    the whole row, and the statistics of those keys are copied per salt. The hot keys are found
-    by a map-side combined count and travel as one short array, so the copies are bounded by
-    HOT_KEYS x SALTS rows. Statistics that turn out small are still broadcast by Spark itself.
+    Rows are dealt by key and a salt that changes from row to row, equal rows included. A key of
+    any weight, null included, goes to SALTS partitions, which the adaptive skew join cuts on into
+    tasks of the advised size; it needs no list of hot keys and no pass that counts them. Statistics that turn out small are broadcast by Spark itself.
     """
-    frequent = (
-        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), key).limit(HOT_KEYS)
-    )
-    hot = frequent.agg(F.collect_list(key)).scalar()
-    is_hot = F.array_contains("_hot", F.col(key))
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    salted = rows.withColumn("_hot", hot).withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(0))
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = stats.withColumn("_hot", hot).withColumn("_salt", F.explode(salts))
-    return salted.drop("_hot").join(copies.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
