@@ -8,12 +8,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import clean, derive, star
-from tidemark.sources.writers import VersionedTable
+from tidemark.sources.readers import parquet_scan
+from tidemark.sources.writers import VersionedTable, parquet_sink, run_audit
 
 
 @dataclass(frozen=True)
 class Columns:
-    """Which columns of the entity table play which part."""
+    """Which columns of the entity table play which part; the defaults are fixed names of the input."""
 
     price: str = "price"
     dates: tuple[str, ...] = ("host_since", "first_review", "last_review")
@@ -55,9 +56,30 @@ def clean_reviews(reviews: DataFrame, date_column: str = "date") -> DataFrame:
     return clean.parse_dates(reviews, [date_column])
 
 
+def clean_run(
+    spark: SparkSession, folder: str, raw: DataFrame, daily: DataFrame, reviews: DataFrame, lookup: DataFrame, c: Columns = Columns(),
+    scope: str = "all",
+) -> dict[str, DataFrame]:
+    """The whole cleaning stage: three cleaned tables written, its reports, and a row in the audit log.
+
+    ``lookup`` holds the known areas in its first column. Returns the tables as stored, the
+    validation report (rows, dropped, failures per rule), the unknown areas and the log.
+    """
+    known = lookup.select(F.col(lookup.columns[0]).alias(c.area))
+    with run_audit(spark, f"{folder}/audit", "clean", scope) as run:
+        parsed = parse_entities(raw, c)
+        kept = run.count_out(clean.validate_keep(run.count_in(parsed), validation_rules(c)))
+        parquet_sink(kept, f"{folder}/entities")
+        parquet_sink(clean_daily(daily), f"{folder}/daily")
+        parquet_sink(clean_reviews(reviews), f"{folder}/reviews")
+    stored = {name: parquet_scan(spark, f"{folder}/{name}") for name in ("entities", "daily", "reviews")}
+    unknown = parsed.select(c.area).where(F.col(c.area).isNotNull()).join(known, c.area, "left_anti").groupBy(c.area).agg(F.count(F.lit(1)).alias("n"))
+    return {**stored, "validation": clean.validate_report(parsed, validation_rules(c)), "unknown_areas": unknown, "audit": spark.read.parquet(f"{folder}/audit")}
+
+
 @dataclass(frozen=True)
 class EnrichColumns:
-    """Columns of the cleaned tables that the derived columns are made from."""
+    """Columns of the cleaned tables that the derived columns are made from; fixed names of the input."""
 
     key: str = "id"
     price: str = "price"
@@ -86,6 +108,7 @@ def enrich(entities: DataFrame, daily: DataFrame, as_of: date, c: EnrichColumns
     return derive.group_context(df, c.area, c.key, c.price, c.rating, names)
 
 
+# Fixed names of the input and of the star schema, and fixed labels of its reports.
 FACT_COLUMNS = {
     "id": "listing_id", "host_id": "host_id", "neighbourhood_cleansed": "neighbourhood", "room_type": "room_type",
     "property_type": "property_type", "price": "price", "occupancy_rate_365": "occupancy_rate_365",
@@ -94,7 +117,8 @@ FACT_COLUMNS = {
     "price_per_bedroom": "price_per_bedroom",
 }
 HOST_COLUMNS = {
-    c: c for c in ("host_id", "host_since", "host_tenure_years", "host_is_superhost", "host_total_listings_count")
+    "host_id": "host_id", "host_since": "host_since", "host_tenure_years": "host_tenure_years",
+    "host_is_superhost": "host_is_superhost", "host_total_listings_count": "host_total_listings_count",
 }
 AREA_COLUMNS = {
     "neighbourhood_cleansed": "neighbourhood", "neighbourhood_group_cleansed": "neighbourhood_group",
@@ -103,27 +127,41 @@ AREA_COLUMNS = {
 }
 
 
-def load_star(spark: SparkSession, master: DataFrame, folder: str, row_key: str = "id") -> dict[str, DataFrame]:
-    """Upsert the fact by its key, replace both dimensions, and return the stored tables."""
+FLAG_LABELS = ("Superhost", "Non-superhost")
+TENURE_BUCKETS = [(1, "<1yr"), (3, "1-3yr"), (5, "3-5yr")]
+LONGEST_TENURE = "5yr+"
+
+
+def load_star(
+    spark: SparkSession, master: DataFrame, folder: str, row_key: str = "id", fact_columns: dict[str, str] = FACT_COLUMNS,
+    host_columns: dict[str, str] = HOST_COLUMNS, area_columns: dict[str, str] = AREA_COLUMNS, host: str = "host_id",
+    area: str = "neighbourhood_cleansed",
+) -> dict[str, DataFrame]:
+    """Upsert the fact by its key, replace both dimensions, and return the stored tables.
+
+    The mappings name columns of the master and what they are called in the star schema.
+    """
     fact = VersionedTable(spark, f"{folder}/fact_listing_performance")
     hosts = VersionedTable(spark, f"{folder}/dim_host")
     areas = VersionedTable(spark, f"{folder}/dim_neighbourhood")
-    fact.upsert(star.build_fact(master, FACT_COLUMNS), "listing_id", F.col("listing_id"))
-    hosts.replace(star.build_dim(master, HOST_COLUMNS, "host_id", row_key))
-    areas.replace(star.build_dim(master, AREA_COLUMNS, "neighbourhood_cleansed", row_key))
+    fact.upsert(star.build_fact(master, fact_columns), "listing_id", F.col("listing_id"))
+    hosts.replace(star.build_dim(master, host_columns, host, row_key))
+    areas.replace(star.build_dim(master, area_columns, area, row_key))
     return {"fact_listing_performance": fact.read(), "dim_host": hosts.read(), "dim_neighbourhood": areas.read()}
 
 
-def star_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def star_reports(
+    tables: dict[str, DataFrame], flag_labels: tuple[str, str] = FLAG_LABELS, buckets: list[tuple[float, str]] = TENURE_BUCKETS,
+    longest: str = LONGEST_TENURE,
+) -> dict[str, DataFrame]:
     """The four analytical queries over the star schema."""
     fact, hosts, areas = (tables[n] for n in ("fact_listing_performance", "dim_host", "dim_neighbourhood"))
     averages = {"occupancy_rate_365": "avg_occupancy_rate", "estimated_annual_revenue": "avg_estimated_annual_revenue"}
-    tenure = [(1, "<1yr"), (3, "1-3yr"), (5, "3-5yr")]
     return {
         "top_areas": star.top_groups(areas, "neighbourhood", "median_price", ["listing_density", "avg_rating"]),
-        "by_host_type": star.agg_by_flag(fact, hosts, "host_id", "host_is_superhost", ("Superhost", "Non-superhost"), averages),
+        "by_host_type": star.agg_by_flag(fact, hosts, "host_id", "host_is_superhost", flag_labels, averages),
         "by_tenure": star.agg_by_bucket(
-            fact, hosts, "host_id", "host_tenure_years", tenure, "5yr+", {"avg_review_score": "avg_review_score"}
+            fact, hosts, "host_id", "host_tenure_years", buckets, longest, {"avg_review_score": "avg_review_score"}
         ),
         "by_room_type": star.agg_by_category(fact, "room_type", "estimated_annual_revenue", "avg_estimated_annual_revenue"),
     }
