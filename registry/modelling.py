@@ -69,9 +69,22 @@ def ols_summary(spark, sf):
     return rounded(s.select("target", "n_obs", "dropped_rows", "r_squared", "r_squared_adj", "f_pvalue"), 8, "r_squared", "r_squared_adj", "f_pvalue")
 
 
-@query("r4_ols_full")
+TERMS = ["l_quantity", "l_discount", "l_tax", "p_size", *(f"p_type_{t}" for t in TYPES[1:])]
+
+
+@query("r4_ols_full", " UNION ALL ".join(f"SELECT '{t}' AS term, 0e0 AS rest, true AS bounded" for t in ["const", *TERMS]))
 def ols_full(spark, sf):
-    return regress.price_regression(role(spark, sf, SALES), ["l_quantity", "l_discount", "l_tax", "p_size", "p_type"], "label").coefficients
+    """What the residuals leave of each normal equation, relative to the label's size, and whether p and interval fit the coefficient."""
+    rows = role(spark, sf, SALES)
+    fit = regress.price_regression(rows, ["l_quantity", "l_discount", "l_tax", "p_size", "p_type"], "label").coefficients
+    found = {r.term: r for r in fit.collect()}  # one row per term
+    design, names, _ = regress.design_matrix(rows, ["l_quantity", "l_discount", "l_tax", "p_size", "p_type"], ["label"])
+    design = design.dropna()
+    fitted = sum((F.col(f"`{n}`") * found[n].coefficient for n in names), F.lit(found["const"].coefficient))
+    e, scale = F.col("label") - fitted, F.avg(F.abs("label"))
+    sums = design.agg(*[(F.avg(e * (F.lit(1.0) if t == "const" else F.col(f"`{t}`"))) / scale).alias(f"s{i}") for i, t in enumerate(["const", *names])])
+    terms = [F.struct(F.lit(t).alias("term"), (F.round(F.col(f"s{i}"), 6) + 0.0).alias("rest"), F.lit(bool(found[t].std_error > 0 and 0 <= found[t].p_value <= 1)).alias("bounded")) for i, t in enumerate(["const", *names])]
+    return sums.select(F.inline(F.array(*terms)))
 
 
 @query("r5_vif", """

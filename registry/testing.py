@@ -56,14 +56,32 @@ def normality_moments(spark, sf):
     return rounded(both, 6, "skewness", "excess_kurtosis")
 
 
-@query("h1_normality")
+# W and its p follow published approximations; their bounds and the method of each group are what SQL says.
+@query("h1_normality", """
+    SELECT event_type AS g, COUNT(value) AS n, CASE WHEN COUNT(value) > 5000 THEN 'skew_kurtosis' ELSE 'shapiro' END AS method,
+           COUNT(value) BETWEEN 3 AND 5000 AS tested, true AS bounded FROM {events} GROUP BY event_type""")
 def normality(spark, sf):
-    return h.normality(table(spark, sf, "events"), "event_type", "value")
+    out = h.normality(table(spark, sf, "events"), "event_type", "value")
+    bounded = F.col("w").isNull() | (F.col("w").between(0, 1) & F.col("p_value").between(0, 1) & ((F.col("p_value") > h.ALPHA) == F.col("is_normal")))
+    return out.select("g", "n", "method", F.col("w").isNotNull().alias("tested"), bounded.alias("bounded"))
 
 
-@query("h2_shapiro_wilk")
+@query("h2_shapiro_wilk", """
+    SELECT CAST(o_custkey AS VARCHAR) AS g, COUNT(o_totalprice) AS n,
+           CASE WHEN COUNT(o_totalprice) < 3 THEN 'too few' WHEN COUNT(o_totalprice) > 5000 THEN 'too many' ELSE 'tested' END AS status, true AS bounded
+    FROM {orders} GROUP BY o_custkey""")
 def shapiro_wilk(spark, sf):
-    return h.shapiro(table(spark, sf, "orders"), "o_custkey", "o_totalprice")
+    out = h.shapiro(table(spark, sf, "orders"), "o_custkey", "o_totalprice")
+    bounded = F.when(F.col("status") == "tested", F.col("w").between(0, 1) & F.col("p_value").between(0, 1)).otherwise(F.col("w").isNull())
+    return out.select("g", "n", "status", F.coalesce(bounded, F.lit(False)).alias("bounded"))
+
+
+# For three values W has a closed form: half the squared range over the sum of squares.
+@query("h2_shapiro_of_three", """
+    SELECT CAST(o_custkey AS VARCHAR) AS g, round(power(MAX(o_totalprice) - MIN(o_totalprice), 2) / 2 / (var_pop(o_totalprice) * 3), 8) AS w
+    FROM {orders} GROUP BY o_custkey HAVING COUNT(*) = 3""")
+def shapiro_of_three(spark, sf):
+    return rounded(h.shapiro(table(spark, sf, "orders"), "o_custkey", "o_totalprice").where("n = 3").select("g", "w"), 8, "w")
 
 
 @query("h3_mann_whitney_u", f"""
@@ -118,9 +136,22 @@ def rank_biserial(spark, sf):
     return rounded(h.mann_whitney_u(table(spark, sf, "lineitem"), "l_linestatus", "l_extendedprice", "F", "O").select("effect_size"), 9, "effect_size")
 
 
-@query("h8_bootstrap_median_ci")
+MEDIAN_GAP = f"(SELECT median(x) FILTER (WHERE g = 'click') - median(x) FILTER (WHERE g = 'view') FROM ({PAIR}) p)"
+
+
+@query("h8_bootstrap_median_ci", f"SELECT round({MEDIAN_GAP}, 6) AS gap, true AS brackets, true AS ordered, true AS stable")
 def bootstrap_median_ci(spark, sf):
-    return h.bootstrap_median_ci(table(spark, sf, "events"), *ARGS)
+    """The interval holds the difference of the medians, and another seed's interval overlaps it by most of its width."""
+    events = table(spark, sf, "events")
+    one, two = (h.bootstrap_median_ci(events, *ARGS, seed=s) for s in (h.BOOTSTRAP_SEED, 7))
+    mid = events.where("event_type IN ('click', 'view')").agg((F.median(F.when(F.col("event_type") == "click", F.col("value"))) - F.median(F.when(F.col("event_type") == "view", F.col("value"))))).scalar()
+    other = two.select(F.struct("ci_low", "ci_high")).scalar()
+    out = one.withColumns({"gap": mid, "_o": other})
+    common = F.least("ci_high", "_o.ci_high") - F.greatest("ci_low", "_o.ci_low")
+    return out.select(
+        F.round("gap", 6).alias("gap"), F.col("gap").between(F.col("ci_low"), F.col("ci_high")).alias("brackets"), (F.col("ci_low") <= F.col("ci_high")).alias("ordered"),
+        (common >= 0.7 * (F.col("ci_high") - F.col("ci_low"))).alias("stable"),
+    )
 
 
 @query("h9_effect_label", f"SELECT l_orderkey, l_linenumber, l_partkey, {label('l_tax * 10 - l_discount', 0.1, 0.3, 0.5)} AS magnitude FROM {{lineitem}}")
@@ -129,9 +160,21 @@ def effect_label(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", size.alias("magnitude"))
 
 
-@query("h10_two_group_test")
+@query("h10_two_group_test", f"""
+    SELECT n1 AS n_a, n2 AS n_b, round(m1, 6) AS mean_a, round(m2, 6) AS mean_b, (SELECT round(median(x), 6) FROM ({PAIR}) p WHERE g = 'click') AS median_a,
+           (SELECT round(median(x), 6) FROM ({PAIR}) p WHERE g = 'view') AS median_b,
+           CASE WHEN (SELECT median(x) FROM ({PAIR}) p WHERE g = 'click') > (SELECT median(x) FROM ({PAIR}) p WHERE g = 'view') THEN 'click' ELSE 'view' END AS higher_group,
+           true AS consistent FROM ({MOMENTS}) m""")
 def two_group_test(spark, sf):
-    return h.two_group_test(table(spark, sf, "events"), *ARGS)
+    """Summaries, and that test, effect, significance and interval agree with each other."""
+    out = h.two_group_test(table(spark, sf, "events"), *ARGS)
+    both = F.col("normality_a.is_normal") & F.col("normality_b.is_normal")
+    consistent = (
+        ((F.col("test_used") == "Mann-Whitney U") == ~both) & ((F.col("effect_size_type") == "cohens_d") == both) & (F.col("significant") == (F.col("p_value") < h.ALPHA))
+        & F.col("p_value").between(0, 1) & (F.col("higher_ci_low") <= F.col("higher_ci_high")) & (F.col("median_a") - F.col("median_b")).between(F.col("ci_low"), F.col("ci_high"))
+    )
+    out = out.select("n_a", "n_b", "mean_a", "mean_b", "median_a", "median_b", "higher_group", consistent.alias("consistent"))
+    return rounded(out, 6, "mean_a", "mean_b", "median_a", "median_b")
 
 
 # Quantity bands of a price that depends on them: the significant branch.
@@ -161,9 +204,15 @@ def group_summary(spark, sf):
     return rounded(h.group_summary(role(spark, sf, BANDS), "band", "x"), 5, "mean", "median")
 
 
-@query("h12_tukey_hsd")
+@query("h12_tukey_hsd", f"""
+    WITH m AS (SELECT band AS g, AVG(x) AS m FROM ({BANDS}) b WHERE x IS NOT NULL GROUP BY band HAVING COUNT(x) >= 2)
+    SELECT p.g AS group1, q.g AS group2, round(q.m - p.m, 4) AS meandiff, true AS consistent FROM m p JOIN m q ON p.g < q.g""")
 def tukey_hsd(spark, sf):
-    return h.tukey_hsd(role(spark, sf, BANDS), "band", "x")
+    """Every pair; rejection, adjusted p and interval say the same."""
+    out = h.tukey_hsd(role(spark, sf, BANDS), "band", "x")
+    inside, p = F.col("lower").between(-1e300, 0) & F.col("upper").between(0, 1e300), F.col("p_adj")
+    consistent = p.between(0, 1) & (F.col("reject") == ~inside) & ((F.col("reject") == (p < h.ALPHA)) | (F.abs(p - h.ALPHA) < 1e-6))
+    return rounded(out.select("group1", "group2", "meandiff", consistent.alias("consistent")), 4, "meandiff")
 
 
 @query("h12_tukey_statistic", f"""
@@ -183,9 +232,18 @@ def posthoc_digest(spark, sf):
     return rounded(out.select("n_groups", "highest_group", "highest_mean", "lowest_group", "lowest_mean"), 5, "highest_mean", "lowest_mean")
 
 
-@query("h13_posthoc_pairs")
+@query("h13_posthoc_pairs", f"""
+    WITH m AS (SELECT band AS g, AVG(x) AS m FROM ({BANDS}) b WHERE x IS NOT NULL GROUP BY band HAVING COUNT(x) >= 2)
+    SELECT COUNT(*) AS n_groups, true AS same_count, (SELECT arg_min(g, m) FROM m) || ' ' || (SELECT arg_max(g, m) FROM m) AS extreme FROM m""")
 def posthoc_pairs(spark, sf):
-    return h.posthoc_digest(role(spark, sf, BANDS), "band", "x")
+    """Significant pairs as many as the pairwise table rejects; the extreme pair is that of the lowest and highest mean."""
+    rows = role(spark, sf, BANDS)
+    rejected = h.tukey_hsd(rows, "band", "x").agg(F.count_if("reject")).scalar()
+    names = F.array("most_extreme_pair.group1", "most_extreme_pair.group2")
+    up = F.col("most_extreme_pair.meandiff") > 0
+    return h.posthoc_digest(rows, "band", "x").select(
+        "n_groups", (F.col("significant_pairs") == rejected).alias("same_count"), F.concat_ws(" ", F.when(up, names).otherwise(F.reverse(names))).alias("extreme")
+    )
 
 
 @query("j6_group_pairs", "SELECT a.event_type AS group1, b.event_type AS group2 FROM (SELECT DISTINCT event_type FROM {events}) a JOIN (SELECT DISTINCT event_type FROM {events}) b ON a.event_type < b.event_type")

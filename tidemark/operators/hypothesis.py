@@ -297,10 +297,8 @@ def two_group_test(df: DataFrame, group: str, value: str, a, b) -> DataFrame:
     rows = df.where(F.col(group).isin([a, b]))
     normal = normality(rows, group, value, [a, b])
 
-    def normality_of(label) -> Column:
-        one = normal.where(F.col("g") == str(label))
-        return one.select(F.struct("method", "w", "p_value", "skewness", "excess_kurtosis", "is_normal")).scalar()
-
+    facts = F.struct("method", "w", "p_value", "skewness", "excess_kurtosis", "is_normal")
+    checked = normal.agg(F.struct(*[F.max(F.when(F.col("g") == str(v), facts)).alias(s) for s, v in (("a", a), ("b", b))])).scalar()
     med = group_quantiles(_observations(rows, group, value, [a, b]), ["g"], "x", {"median": 0.5}, few=True)
     medians = med.agg(
         F.struct(*[F.max(F.when(F.col("g") == str(v), F.col("median"))).alias(s) for s, v in (("a", a), ("b", b))])
@@ -309,8 +307,8 @@ def two_group_test(df: DataFrame, group: str, value: str, a, b) -> DataFrame:
     mw = mann_whitney_u(rows, group, value, a, b).select(F.struct("u", "p_value", "effect_size")).scalar()
     ci = bootstrap_median_ci(rows, group, value, a, b).select(F.struct("ci_low", "ci_high")).scalar()
     base = _t_columns(two_sample_moments(rows, group, value, a, b)).withColumns(
-        {"levene": lev, "normality_a": normality_of(a), "normality_b": normality_of(b), "_med": medians, "_mw": mw, "_ci": ci}
-    )
+        {"levene": lev, "_checked": checked, "_med": medians, "_mw": mw, "_ci": ci}
+    ).withColumns({"normality_a": F.col("_checked.a"), "normality_b": F.col("_checked.b")})
     even = F.col("levene.equal_variance")
     base = base.withColumns(
         {
