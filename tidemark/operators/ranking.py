@@ -105,7 +105,7 @@ def group_quantiles(
         positions[f"{name}_hi"] = f"CAST(ceil((size - 1) * {float(p)!r}D) AS BIGINT)"
     found = order_statistics(df, by, value, positions, few)
     columns = [
-        f"CASE WHEN `{name}_lo` = `{name}_hi` THEN `{name}_lo` ELSE `{name}_lo` + (`{name}_hi` - `{name}_lo`) * "
+        f"CASE WHEN `{name}_lo` = `{name}_hi` OR `{name}_lo` = double('-inf') AND `{name}_hi` < double('inf') THEN `{name}_lo` ELSE `{name}_lo` + (`{name}_hi` - `{name}_lo`) * "
         f"((n - 1) * {float(p)!r}D - floor((n - 1) * {float(p)!r}D)) END AS `{name}`"
         for name, p in probs.items()
     ]
