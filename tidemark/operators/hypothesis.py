@@ -444,11 +444,15 @@ def posthoc_digest(df: DataFrame, group: str, value: str) -> DataFrame:
         F.min_by("g", F.struct((-F.col("mean")).alias("m"), "g")).alias("highest_group"), F.max("mean").alias("highest_mean"),
         F.min_by("g", F.struct("mean", "g")).alias("lowest_group"), F.min("mean").alias("lowest_mean"),
     )
-    extreme = F.max_by(F.struct("group1", "group2", "meandiff", "p_adj"), F.struct(F.abs("meandiff").alias("d"), "group1", "group2"))
+    # the critical value counts the pairs; an adjusted p is integrated for the most extreme one alone
+    extreme = F.max_by(F.struct("group1", "group2", "meandiff"), F.struct(F.abs("meandiff").alias("d"), "group1", "group2"))
     digest = pairs.agg(F.struct(F.count(F.lit(1)).alias("n"), extreme.alias("pair"))).scalar()
+    widest = pairs.agg(extreme).scalar()
+    p = pairs.where((F.col("group1") == widest["group1"]) & (F.col("group2") == widest["group2"])).agg(F.max("p_adj")).scalar()
     many = F.col("n_groups") > DIGEST_GROUPS
-    return top.withColumn("_d", digest).select(
+    whole = F.when(F.col("_d.pair").isNotNull(), F.struct("_d.pair.group1", "_d.pair.group2", "_d.pair.meandiff", F.col("_p").alias("p_adj")))
+    return top.withColumns({"_d": digest, "_p": p}).select(
         "n_groups", "highest_group", "highest_mean", "lowest_group", "lowest_mean",
         F.col("_d.n").alias("significant_pairs"),
-        F.when(many, F.col("_d.pair")).alias("most_extreme_pair"),
+        F.when(many, whole).alias("most_extreme_pair"),
     )
