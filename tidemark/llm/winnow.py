@@ -67,7 +67,8 @@ def repeated_runs(docs: DataFrame, least: int = 50) -> DataFrame:
     extended to both ends of its window by a digest of the lines. The first place of each content,
     by doc_id and line, stays. Windows that overlap or touch join up to runs, so that a run
     reaches as far as the lines agree with earlier places. Counts and first places are
-    pre-aggregated; a line or passage that a third of the documents have is one group row.
+    pre-aggregated and written, so that the join with them can split the rows of a passage that a
+    third of the documents have.
 
     Blank lines are not compared, and belong to a run inside of which they lie. White space at the
     ends of a line doesn't count. Rows equal in doc_id and text are one place: neither repeats the
@@ -77,9 +78,9 @@ def repeated_runs(docs: DataFrame, least: int = 50) -> DataFrame:
     where = {"null": F.col("doc_id").isNull().cast("int"), "id": F.coalesce("doc_id", F.lit(0)), "mark": F.col("mark"), "at": F.col("place")}
     ends = [f(c).alias(f"{k}{n}") for k, c in where.items() for n, f in ((0, F.min), (1, F.max))]
     repeated = windows.groupBy("print").agg(*ends).where(" OR ".join(f"{k}0 <> {k}1" for k in where))
-    candidates = windows.join(repeated.select("print"), "print", "left_semi")
+    candidates = staged(windows.join(repeated.select("print"), "print", "left_semi"), "candidates")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "first")
-    firsts = candidates.groupBy("content").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most")
+    firsts = staged(candidates.groupBy("content").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most"), "firsts")
     later = candidates.join(firsts.select("content", "least"), "content").where(place > F.col("least"))
     per_doc = Window.partitionBy("doc_id", "mark").orderBy("first", "last")
     reached = F.max("last").over(per_doc.rowsBetween(Window.unboundedPreceding, -1))
