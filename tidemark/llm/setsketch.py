@@ -17,9 +17,9 @@ from tidemark.llm.text import WordHashes, bounded_batches, chained, mixed, piece
 BANDS, ROWS = 25, 5
 #: Sketch parameters: the base of the exponential spacing, the rate, and the last register value.
 BASE, RATE, LAST = 1.001, 20.0, 65535
-#: Candidates go on to the exact test unless their estimate is this many deviations below the limit.
+#: Pairs go on to the exact test unless their estimate is this many deviations below the limit.
 DEVIATIONS = 5.0
-#: Buckets of so many classes are compared pair by pair, and shingles that so many candidates have are rare.
+#: Buckets of so many classes are small, and shingles that so many classes of a group have are rare.
 FEW = 32
 
 SKETCH = "doc_id long, mark long, n int, set_id binary, registers binary, bands array<long>"
@@ -114,18 +114,6 @@ def _sketched(size: int):
     return run
 
 
-def _sets(size: int):
-    """(node, shingles) of texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in pieces(batches, "text", 1 << 20):
-            sets = [shingles(t, size, hashes).view(np.int64) for t in raw(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    return run
-
-
 def _likely(limit: float):
     """Pairs whose estimate doesn't rule out the limit."""
     lowest = limit - DEVIATIONS * (limit * (1 - limit) / (BANDS * ROWS)) ** 0.5
@@ -160,10 +148,26 @@ def _linked(size: int, percent: int):
     return run
 
 
-def _possible(percent: int, na="na", ua="ua", nb="nb", ub="ub"):
-    """Whether two sets that have no rare shingle in common can reach the limit, by their sizes without the rare ones."""
-    shared = F.least(F.col(na) - F.col(ua), F.col(nb) - F.col(ub))
-    return 100 * shared >= percent * (F.col(na) + F.col(nb) - shared)
+def _compared(size: int):
+    """Pairs with the sizes of both sets and of what they share, and the shingles that only b has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, last, kept = WordHashes(), None, None
+        for batch in pieces(batches, "ta", 4 << 20):
+            both, outside = [], []
+            for node, x, y in zip(batch.column("a").to_pylist(), raw(batch, "ta"), raw(batch, "tb")):
+                if node != last:
+                    last, kept = node, shingles(x, size, hashes)
+                other = shingles(y, size, hashes)
+                alone = np.setdiff1d(other, kept, assume_unique=True)
+                both.append(len(other) - len(alone))
+                outside.append(alone.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("group", "a", "b", "na", "nb")] + [pa.array(both, pa.int32()), pa.array(outside, pa.list_(pa.int64()))],
+                names=["group", "a", "b", "na", "nb", "both", "outside"],
+            )
+
+    return run
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -182,15 +186,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     ``percent`` of the union of their sets is shared.
 
     1. Equal sets form one class; the classes are numbered in a written table.
-    2. Classes that agree in a band of registers share a bucket. In each bucket one class is
-       compared with all others, a star: of a large bucket the one with the smallest part of rare
-       shingles, which is nearest to what the others were made from.
-    3. What a star left outside is compared with the bucket's members of other components: in
-       small buckets with all; in large ones with those that share a rare shingle, found by a join
-       on these (FEW classes each at most), and with those that can reach the limit without one,
-       which their sizes less their rare shingles tell. So each pair of a bucket is joined, ruled
-       out exactly or compared, and the copies of one text cost a few pairs each.
-    4. The estimate from the registers goes before each comparison of full sets.
+    2. Classes that agree in a band of registers share a bucket. In a small bucket one class is
+       compared with all others, a star, and what lies in different components after that is
+       compared pair by pair, FEW partners each at most.
+    3. Large buckets that share classes form a group, with the class that lies in most of them as
+       its centre; the others are compared with the centre, which also tells what each has besides
+       it. What two classes of different components share is at most what both share with the
+       centre, the rare shingles outside it that a join finds them to share (FEW classes each at
+       most), and the smaller number of other shingles outside it: they are compared if that is
+       enough for the limit. So each pair of a bucket is
+       joined, ruled out exactly or compared, and the copies of one text cost a few pairs each.
+    4. Pairs of small buckets are estimated from the registers before their full sets are compared.
 
     Null and word-free texts have an empty set and are linked with nothing. Null ids never name a
     component; a component of null ids only has a null one, and its rows are kept. Rows that
@@ -210,41 +216,59 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = staged(banded.join(shared, "band"), "buckets")
     texts = _texts(docs, sketches, classes.join(buckets.select("node").distinct(), "node", "left_semi"))
-    crowded = texts.join(buckets.where(F.col("size") > FEW).select("node").distinct(), "node", "left_semi")
-    postings = staged(
-        crowded.select("node", "text").mapInArrow(_sets(size), "node long, shingles array<long>").select("node", F.explode("shingles").alias("shingle")),
-        "postings",
-    )
-    scarce = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= FEW)
-    rare = staged(postings.join(scarce, "shingle"), "rare")
-    u = F.when(F.col("size") > FEW, F.coalesce("u", F.lit(0))).otherwise(0).cast("int").alias("u")
-    members = staged(
-        buckets.join(rare.groupBy("node").agg(F.count(F.lit(1)).alias("u")), "node", "left").select("band", "size", "node", "n", u), "members"
-    )
-    centre = members.groupBy("band").agg(
-        F.min(F.struct((F.col("u") / F.col("n")).alias("part"), F.col("node").alias("a"))).alias("c"),
-        F.min("n").alias("least_n"), F.max(F.col("n") - F.col("u")).alias("most"),
-    ).select("band", "c.a", "least_n", F.col("most").alias("n_most"), F.lit(0).alias("u_most"))
-    stars = staged(
-        members.join(centre, "band").where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "stars"
-    )
+    small, large = buckets.where(F.col("size") <= FEW), buckets.where(F.col("size") > FEW)
+    text = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}"))
+
+    heads = small.groupBy("band").agg(F.min("node").alias("a"))
+    stars = staged(small.join(heads, "band").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "stars")
     first = _confirmed(stars, classes, texts, size, percent)
-    roots = staged(components(first), "roots")
 
+    pull = staged(large.groupBy("node").agg(F.sum("size").alias("pull"), F.first("n").alias("n")), "pull")
+    top = F.min(F.struct((-F.col("pull")).alias("p"), F.col("node").alias("c"), F.col("n").alias("na"))).alias("t")
+    heads = large.select("band", "node").join(pull, "node").groupBy("band").agg(top).select("band", F.col("t.c").alias("head"))
+    touching = staged(large.select("band", "node").join(heads, "band").select("node", "head").distinct(), "touching")
+    merged = components(touching.join(touching.groupBy("node").agg(F.min("head").alias("b")), "node").select(F.col("head").alias("a"), "b"))
+    merged = merged.select(F.col("node").alias("head"), "root")
+    grouped = staged(touching.join(merged, "head", "left").select("node", F.coalesce("root", "head").alias("group")).distinct(), "grouped")
+    centre = staged(grouped.join(pull, "node").groupBy("group").agg(top).select("group", F.col("t.c").alias("a"), "t.na"), "centres")
+    others = grouped.join(pull, "node").join(centre, "group").where("a <> node").select("group", "a", F.col("node").alias("b"), "na", F.col("n").alias("nb"))
+    compared = others.join(text("b"), "b").join(text("a"), "a").mapInArrow(_compared(size), "group long, a long, b long, na int, nb int, both int, outside array<long>")
+    compared = staged(compared, "compared")
+    close = compared.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+    roots = staged(components(first.unionAll(close)), "roots")
     root = lambda df, node, name: df.join(roots.select(F.col("node").alias(node), F.col("root").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
-    inside = root(centre, "a", "root_c").drop("a")
-    shared = F.least(F.col("n") - F.col("u"), F.col("n_most"))
-    hopeful = 100 * shared >= percent * (F.col("n") + F.col("least_n") - shared)
-    rooted = staged(root(members, "node", "root").join(inside, "band").where((F.col("size") <= FEW) | hopeful).drop("least_n", "n_most", "u_most"), "rooted")
-    side = lambda x: rooted.select("band", *(F.col(c).alias(c + x) for c in ("size", "node", "n", "u", "root", "root_c")))
-    within = side("a").where("roota <> root_ca").join(side("b"), "band").where("roota <> rootb").where((F.col("sizea") <= FEW) | _possible(percent))
+
+    apart = root(small.select("band", "node"), "node", "root").join(root(small.groupBy("band").agg(F.min("node").alias("a")), "a", "root_c").drop("a"), "band")
+    apart = staged(apart, "apart")
+    side = lambda df, x: df.select(*(F.col(c).alias(c + x if c not in ("band", "group", "shingle") else c) for c in df.columns))
     ends = lambda df: df.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
-    again = root(rare.where("c > 1"), "node", "root").select("shingle", "node", "root")
-    stray = root(members.select("band", "node"), "node", "root").join(inside, "band").where("root <> root_c").select("node").distinct()
-    post = lambda df, x: df.select("shingle", F.col("node").alias(f"node{x}"), F.col("root").alias(f"root{x}"))
-    across = post(again.join(stray, "node", "left_semi"), "a").join(post(again, "b"), "shingle").where("roota <> rootb")
-    left = ends(within).unionAll(ends(across)).distinct()
-    second = _confirmed(left.join(stars, ["a", "b"], "left_anti"), classes, texts, size, percent)
+    near = ends(side(apart.where("root <> root_c"), "a").join(side(apart.drop("root_c"), "b"), "band").where("roota <> rootb"))
+
+    postings = staged(compared.select("group", F.col("b").alias("node"), F.explode("outside").alias("shingle")), "postings")
+    scarce = postings.groupBy("group", "shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= FEW)
+    rare = staged(postings.join(scarce, ["group", "shingle"]), "rare")
+    counted = rare.groupBy("node").agg(F.count(F.lit(1)).alias("u"))
+    free = compared.join(counted, compared.b == counted.node, "left").select(
+        "group", F.col("b").alias("node"), F.col("nb").alias("n"), "both", (F.size("outside") - F.coalesce("u", F.lit(0))).alias("free")
+    )
+    inside = root(centre, "a", "root_c").select("group", "root_c")
+    held = staged(root(free.unionAll(centre.select("group", "a", "na", "na", F.lit(0))), "node", "root").join(inside, "group"), "held")
+    limit = lambda n, m, shared: 100 * shared >= percent * (n + m - shared)
+    best = held.groupBy("group").agg(F.min("n").alias("n0"), F.max("both").alias("both0"), F.max("free").alias("free0"))
+    hopeful = limit(F.col("n"), F.col("n0"), F.least("n", F.least("both", "both0") + F.least("free", "free0")))
+    hoping = held.join(best, "group").where(hopeful).select(held.columns)
+    apart_of = (F.least("botha", "bothb") + F.least("freea", "freeb"), F.col("roota") != F.col("rootb"))
+    met = side(hoping.where("root <> root_c"), "a").join(side(hoping.drop("root_c"), "b"), "group")
+    within = ends(met.where(apart_of[1] & limit(F.col("na"), F.col("nb"), apart_of[0])))
+    shared = rare.where("c > 1").select("group", "node", "shingle").join(held, ["group", "node"])
+    met = side(shared.where("root <> root_c"), "a").join(side(shared.drop("root_c"), "b"), ["group", "shingle"]).where(apart_of[1])
+    firsts = [F.first(c).alias(c) for c in ("na", "nb", "botha", "bothb", "freea", "freeb")]
+    common = met.groupBy("group", "nodea", "nodeb").agg(F.count(F.lit(1)).alias("rare"), *firsts)
+    across = ends(common.where(limit(F.col("na"), F.col("nb"), apart_of[0] + F.col("rare"))))
+
+    left = near.unionAll(within).unionAll(across).distinct()
+    tested = stars.unionAll(compared.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = _confirmed(left.join(tested, ["a", "b"], "left_anti"), classes, texts, size, percent)
     whole = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(second))
 
     named = classes.join(whole, "node", "left").select("set_id", "least", F.coalesce("root", "node").alias("root"))
