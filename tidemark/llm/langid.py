@@ -99,9 +99,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     """A model from ``text`` and ``lang`` of all rows where neither is null.
 
     Document frequencies count every row. The centroids come from about ``sample`` rows of each
-    language, those whose hash is small enough, clustered in one task per language. What is sent
-    to the driver are the frequencies and the centroids, whose size follows the number of
-    languages alone.
+    language, those whose hash is small enough, clustered in one task per language; the counts that
+    the draw needs, a number per language, are broadcast, so that only drawn texts are shuffled.
+    What is sent to the driver are the frequencies and the centroids, whose size, thousands of
+    times that of the counts, follows the number of languages alone.
     """
     bounded_batches(labelled.sparkSession)
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
@@ -115,7 +116,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
         least = float(np.quantile((points @ found.T).max(1), 0.005)) * REJECT
         return pd.DataFrame({"lang": pdf.lang.iloc[0], "least": least, "c": [c.tolist() for c in found]})
 
-    near = rows.join(counts, "lang").where(drawn).select("lang", "text")
+    near = rows.join(F.broadcast(counts), "lang").where(drawn).select("lang", "text")
     found = sorted(near.groupBy("lang").applyInPandas(centres, "lang string, least double, c array<float>").collect(), key=lambda r: (r.lang, r.c))
     return Model(idf, [r.lang for r in found], np.array([r.c for r in found], np.float32), np.array([r.least for r in found]))
 
