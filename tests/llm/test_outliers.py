@@ -100,3 +100,30 @@ def test_small_cells_are_pooled(spark):
     assert found[("s1", "de")] == found[("s2", "de")] != found[("big", "en")]
     assert found[("s3", "fr")] == found[(None, None)] == "[]"
     assert cells.groupBy("cell").agg(F.count("*")).count() == 3
+
+
+def test_two_fifths_of_junk_and_a_hot_junk_text_go(spark):
+    """A cell with 33 % copies of one junk text and 12 % other junk, and one with 42 % different junk."""
+    rng = random.Random(4)
+    spoilt = lambda words: [w + rng.choice(["%%%", "$$$", " |", "***"]) for w in words]
+    rows, junk = [], set()
+    copied = " ".join(spoilt(prose(1, 200, 900)))
+    for source, hot, other in (("copies", 300, 108), ("mixed", 0, 378)):
+        for k in range(900):
+            words = prose(9000 + len(rows), 60 + rng.randint(0, 400), 900)
+            if k < hot + other:
+                junk.add(len(rows))
+                words = spoilt(words)
+            rows.append((len(rows), copied if k < hot else " ".join(words), "en", source, 0))
+    kept = {r.doc_id for r in outliers.judged(spark.createDataFrame(rows, SCHEMA)).where("kept").collect()}
+    assert kept == set(range(len(rows))) - junk
+
+
+def test_floors_are_least_deviations():
+    """A variance over its floor stays, one under it becomes the floor's."""
+    wide = 4 * np.square(outliers.FLOORS)
+    for variance, wanted in ((wide, wide), (wide / 100, wide / 4)):
+        second = np.array([variance[i] if i == j else 0.0 for i, j in outliers._PAIRS])
+        _, p, _ = outliers._estimate(1, np.zeros(5), second, np.zeros(5), 1.0)
+        assert np.allclose([1 / v for v, (i, j) in zip(p, outliers._PAIRS) if i == j], wanted)
+    assert abs(outliers._consistency(0.5) - 1.9) < 0.05

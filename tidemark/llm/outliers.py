@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
@@ -102,10 +103,11 @@ def _vector() -> list[Column]:
     ]
 
 
-#: Rows that a cell needs for estimates of its own; smaller ones are pooled per language, then over all.
+#: Distinct texts that a cell needs for estimates of its own; smaller ones are pooled per language, then over all.
 LEAST_ROWS = 200
-#: Part of the rows that determines the estimates, and steps for all starts and for the best one.
-SHARE, STEPS, MORE_STEPS = 0.75, 4, 6
+#: Part of the texts that determines the estimates (with (p + 1) / 2 more, for the highest breakdown
+#: point), and steps for all starts and for the best one.
+SHARE, STEPS, MORE_STEPS = 0.5, 4, 6
 #: Chi-square quantile 0.975 with five degrees of freedom, for the reweighted estimates.
 INNER = 12.83
 #: Squared distance beyond which a text is rejected; a clean text stays under 10.
@@ -115,10 +117,10 @@ _PAIRS = list(combinations_with_replacement(range(len(VECTOR)), 2))
 _PARAMS = "cell string, start int, m array<double>, p array<double>, size double"
 
 
-def _cells(vectors: DataFrame) -> DataFrame:
-    """The rows with the cell each belongs to: language and source, or a pool of small ones."""
+def _cells(vectors: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """The rows with the cell each belongs to: language and source, or a pool of small ones; ``texts`` has the rows that count."""
     label = lambda *c: F.to_json(F.array(*(F.coalesce(F.concat(F.lit("="), x), F.lit("null")) for x in c)))
-    counts = vectors.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    counts = (vectors if texts is None else texts).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     small = counts.where(F.col("n") < LEAST_ROWS).groupBy(F.col("lang").alias("l")).agg(F.sum("n").alias("pool"))
     named = counts.join(small, F.col("lang").eqNullSafe(F.col("l")), "left").select(
         F.col("lang").alias("l"), F.col("source").alias("s"),
@@ -128,35 +130,68 @@ def _cells(vectors: DataFrame) -> DataFrame:
     return vectors.join(named, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))).drop("l", "s")
 
 
-def _estimate(n: float, first: np.ndarray, second: np.ndarray, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Mean, precision (upper triangle, off-diagonal entries doubled) and log-determinant from sums about an origin."""
+def _chi_square(x: float, k: int) -> float:
+    """Distribution function of chi-square with an odd number of degrees of freedom."""
+    out = math.erf(math.sqrt(x / 2))
+    for d in range(1, k, 2):
+        out -= (x / 2) ** (d / 2) * math.exp(-x / 2) / math.gamma(d / 2 + 1)
+    return out
+
+
+def _consistency(share: float) -> float:
+    """What makes the scatter of the nearest ``share`` of normal rows that of all of them."""
+    if share >= 1:
+        return 1.0
+    low, high, k = 0.0, 200.0, len(VECTOR)
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if _chi_square(mid, k) < share else (low, mid)
+    return share / _chi_square(high, k + 2)
+
+
+def _estimate(n: float, first: np.ndarray, second: np.ndarray, origin: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Mean, precision (upper triangle, off-diagonal entries doubled) and log-determinant from sums about an origin.
+
+    On scales where each floor is 1, no direction has a standard deviation under 1.
+    """
     mean, cov = first / n, np.zeros((len(VECTOR),) * 2)
     for (i, j), v in zip(_PAIRS, second):
         cov[i, j] = cov[j, i] = v / n - mean[i] * mean[j]
-    cov += np.diag(np.square(FLOORS))
-    inverse = np.linalg.inv(cov)
-    return origin + mean, np.array([inverse[i, j] * (1 if i == j else 2) for i, j in _PAIRS]), float(np.linalg.slogdet(cov)[1])
+    values, axes = np.linalg.eigh(factor * cov / np.outer(FLOORS, FLOORS))
+    values = np.maximum(values, 1)
+    inverse = (axes / values) @ axes.T / np.outer(FLOORS, FLOORS)
+    return origin + mean, np.array([inverse[i, j] * (1 if i == j else 2) for i, j in _PAIRS]), float(np.log(values).sum())
 
 
 def _starts(cells: DataFrame) -> DataFrame:
-    """Three starts per cell: medians with quartile ranges, all rows, and rows drawn in to the medians."""
+    """Four starts per cell: medians with quartile ranges, all rows, rows drawn in to the medians, and shortest halves.
+
+    With over a quarter of junk on one side a quartile lies in the junk; the shortest half does not.
+    """
     grid = 256.0
     parts = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.floor(F.col(c) * grid).alias("bin")) for k, c in enumerate(VECTOR))))
     bins = cells.select("cell", parts.alias("v")).groupBy("cell", "v.k", "v.bin").agg(F.count(F.lit(1)).alias("n"))
 
     def quartiles(pdf: pd.DataFrame) -> pd.DataFrame:
-        middle, width = [], []
+        middle, width, centre, narrow = [], [], [], []
         for k in range(len(VECTOR)):
             own = pdf[pdf.k == k].sort_values("bin")
             upto = own.n.cumsum().to_numpy()
             low, mid, high = ((own.bin.to_numpy()[np.searchsorted(upto, q * upto[-1])] + 0.5) / grid for q in (0.25, 0.5, 0.75))
             middle.append(mid)
             width.append(max((high - low) / 1.349, FLOORS[k]))
-        p = [1 / width[i] ** 2 if i == j else 0.0 for i, j in _PAIRS]
-        return pd.DataFrame({"cell": [pdf.cell.iloc[0]], "start": [0], "m": [middle], "p": [p], "size": [0.0]})
+            at, before = own.bin.to_numpy(), upto - own.n.to_numpy()
+            froms = np.flatnonzero(before <= upto[-1] / 2)
+            tos = np.searchsorted(upto, before[froms] + upto[-1] / 2)
+            best = np.argmin(at[tos] - at[froms])
+            low, high = at[froms[best]] / grid, (at[tos[best]] + 1) / grid
+            centre.append((low + high) / 2)
+            narrow.append(max((high - low) / 1.349, FLOORS[k]))
+        p, q = ([1 / w[i] ** 2 if i == j else 0.0 for i, j in _PAIRS] for w in (width, narrow))
+        return pd.DataFrame({"cell": [pdf.cell.iloc[0]] * 2, "start": [0, 3], "m": [middle, centre], "p": [p, q], "size": [0.0] * 2})
 
     first = staged(bins.groupBy("cell").applyInPandas(quartiles, _PARAMS), "start")
-    near = cells.join(first, "cell")
+    near = cells.join(first.where("start = 0").drop("start"), "cell")
     y = [F.col(c) - F.col("m")[k] for k, c in enumerate(VECTOR)]
     wide = [2 / F.sqrt(F.col("p")[k]) for k in (_PAIRS.index((i, i)) for i in range(len(VECTOR)))]
     both = near.select("cell", "m", F.explode(F.array(
@@ -179,14 +214,22 @@ _FINE = 16
 
 
 def _updated(sums: DataFrame, share: float, limit: float | None) -> DataFrame:
-    """New estimates per cell and start from the nearest bins: those of ``share`` of the rows, or under ``limit``."""
+    """New estimates per cell and start from the nearest bins: those of ``share`` of the rows, or under ``limit``.
+
+    Of the last bin for ``share`` only the part that is needed counts, so that copies in one bin do not raise the share.
+    """
 
     def update(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bin")
         upto = pdf.n.cumsum().to_numpy()
-        last = np.searchsorted(upto, share * upto[-1] - 1e-9) if limit is None else max(0, (pdf.bin <= np.log2(limit) * _FINE).sum() - 1)
-        own = pdf.iloc[: last + 1]
-        m, p, size = _estimate(own.n.sum(), np.sum(own["first"].tolist(), axis=0), np.sum(own["second"].tolist(), axis=0), np.array(own.m.iloc[0]))
+        n = upto[-1]
+        rows = min(n, share * n + (len(VECTOR) + 1) / 2)
+        last = np.searchsorted(upto, rows - 1e-9) if limit is None else max(0, (pdf.bin <= np.log2(limit) * _FINE).sum() - 1)
+        own, weight = pdf.iloc[: last + 1], np.ones(last + 1)
+        if limit is None:
+            weight[-1] -= (upto[last] - rows) / own.n.iloc[-1]
+        total = lambda c: weight @ np.array(own[c].tolist())
+        m, p, size = _estimate(total("n"), total("first"), total("second"), np.array(own.m.iloc[0]), _consistency(rows / n) if limit is None else 1.0)
         return pd.DataFrame({"cell": [pdf.cell.iloc[0]], "start": [int(pdf.start.iloc[0])], "m": [m], "p": [p], "size": [size]})
 
     return sums.groupBy("cell", "start").applyInPandas(update, _PARAMS)
@@ -205,7 +248,11 @@ def _step(cells: DataFrame, params: DataFrame, limit: float | None = None) -> Da
 
 
 def estimates(cells: DataFrame) -> DataFrame:
-    """Reweighted minimum-covariance-determinant estimates per cell: location ``m`` and precision ``p``."""
+    """Reweighted minimum-covariance-determinant estimates per cell: location ``m`` and precision ``p``.
+
+    Rows with equal statistics (copies) count once: else a text copied for a third of the rows is the tightest half.
+    """
+    cells = staged(cells.select("cell", *VECTOR).distinct(), "texts")
     params = staged(_starts(cells), "starts")
     for _ in range(STEPS):
         params = _step(cells, params)
@@ -221,18 +268,20 @@ def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
 
     A text fails the base rules with under 50 words or with more than half of its words in 3-word
     windows found twice. Of the others, the statistics of VECTOR are compared within language and
-    source. Estimates come from all rows of a cell: concentration steps from three starts, each a
-    pre-aggregated sum per cell and bin of distance, keep the three quarters of the rows with the
-    smallest covariance determinant, and one step reweights. A row goes if its squared Mahalanobis
-    distance is over ``cutoff``. Cells under LEAST_ROWS are pooled per language, then over all.
+    source. Estimates come from all distinct texts of a cell: concentration steps from four starts,
+    each a pre-aggregated sum per cell and bin of distance, keep the half of the texts with the
+    smallest covariance determinant, scaled to the scatter of all, and one step reweights. A row goes
+    if its squared Mahalanobis distance is over ``cutoff``. Cells under LEAST_ROWS texts are pooled
+    per language, then over all.
 
     Null texts have no words, and fail. Null languages and sources are cells of their own. Repeated
-    rows each count. The distance is null where the base rules fail. Extra columns are ignored; an
+    rows are each judged, and count once in the estimates. The distance is null where the base rules fail. Extra columns are ignored; an
     empty table gives no rows.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), "text")
     stats = staged(with_counts(rows, ["doc_id", "mark", "lang", "source"]).withColumn("base_failed", base_failed()).select("*", *_vector()), "statistics")
-    cells = staged(_cells(stats.where("NOT base_failed")), "cells")
+    passed = stats.where("NOT base_failed")
+    cells = staged(_cells(passed, passed.select("lang", "source", *VECTOR).distinct()), "cells")
     distances = cells.join(estimates(cells), "cell").select(*stats.columns, _distance().alias("distance"))
     failed = stats.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
     return distances.unionAll(failed).select("doc_id", "mark", *COUNTS, "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= cutoff)).alias("kept"))
