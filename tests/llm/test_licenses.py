@@ -41,3 +41,18 @@ def test_hard_known_tables(spark):
     found = licenses.scanned(frame(spark, [(1, "one text"), (2, None), (3, "")]), shared).collect()
     assert {r.doc_id: r.licenses for r in found} == {1: "a,b", 2: None, 3: None}
     assert licenses.scanned(frame(spark, []), shared).collect() == []
+
+
+def test_headed_texts_and_a_folder_of_licences(spark, tmp_path):
+    own = "Redistribution and use in source and binary forms are permitted.\nIN NO EVENT SHALL THE\nCOPYRIGHT HOLDERS BE LIABLE."
+    (tmp_path / "BSD like+1.txt").write_text("BSD 3-Clause License\n\n" + own)
+    mit, isc = licenses.KNOWN["MIT"], licenses.KNOWN["ISC"]
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 Some One\n\n" + mit), (2, "# The MIT License (MIT)\nCopyright The X Authors\n" + mit), (3, "Copyright Acme Inc.\n\nISC License\n" + isc),
+        (4, 'BSD 3-Clause "New" or "Revised" License\nCopyright Acme Inc.\n' + own), (5, "MIT License"), (6, "MIT License\nmore words\n" + mit), (7, None), (8, mit.replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS")),
+        (9, own.replace("COPYRIGHT HOLDERS ", "")), (10, "MIT License\n" + own.replace("Redistribution", "Use")), (11, mit),
+    ]
+    found = {r.doc_id: r for r in licenses.scanned(frame(spark, rows), licenses.known_texts(spark, str(tmp_path)), headed=True).collect()}
+    assert [found[k].licenses for k in (1, 2, 3, 4, 8, 11)] == ["MIT", "MIT", "ISC", "BSD like+1", "MIT", "MIT"]
+    assert all(found[k].licenses is None for k in (5, 6, 7, 9, 10))
+    assert found[5].digest is not None and found[7].digest is None

@@ -50,6 +50,17 @@ KNOWN = {
 
 # fixed values: a line that only states a copyright, and spellings that count as one
 COPYRIGHT = r"(?m)^[^\n\p{L}\p{N}]*(copyright[ \t]*(\(c\)|©|[0-9<\[])|\(c\)[ \t]|©|all rights reserved)[^\n]*$"
+#: A line that states a copyright by a name alone, which a wrapped line of a licence ("copyright holders ...") does not.
+NAMED = (
+    r"(?m)^[^\n\p{L}\p{N}]*([Cc]opyright|COPYRIGHT)[ \t]+(?!(?i:holder|owner|notice|law|licen[sc]e|statement|act\b|and\b|or\b|in\b|is\b|treat|interest|"
+    r"protect|infring|disclaim|claim|right|permission))\p{Lu}[^\n]*$"
+)
+#: Title lines ahead of a text, in lower case, as long as something follows them.
+TITLE = (
+    r"^([^\p{L}\p{N}]*((the )?(mit|expat|x11|isc|zlib|apache|0bsd|(bsd )?zero[ -]clause( bsd)?|bsd|(new|simplified|revised|modified) bsd|bsd[ -][0-4][ -]clause|"
+    r"[0-4][ -]clause bsd)( [\"“'(]*(new|simplified|revised|original|modified)[\"”')]*( or [\"“'(]*(new|revised|simplified)[\"”')]*)?)?( licen[cs]e)?([ \t]*\([^()\n]{1,20}\))?|licen[cs]e)"
+    r"[^\n\p{L}\p{N}]*\n(?=[\s\S]*[\p{L}\p{N}]))+"
+)
 OTHER = r"[^\p{L}\p{N}]+"
 SPELLINGS = {
     "licence": "license", "copyright owner": "copyright holder", "organisation": "organization", "acknowledgement": "acknowledgment", "favour": "favor",
@@ -57,34 +68,43 @@ SPELLINGS = {
 }
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines, one space for all that is no letter or digit, one spelling; null without any word."""
-    out = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, ""), OTHER, " ")
+def canonical(text: Column, headed: bool = False) -> Column:
+    """Lower case, without copyright lines, one space for all that is no letter or digit, one spelling; null without any word.
+
+    ``headed`` also leaves out title lines ahead of the text and copyrights of a name without year or sign.
+    """
+    out = F.regexp_replace(F.lower(F.regexp_replace(text, NAMED, "") if headed else text), COPYRIGHT, "")
+    out = F.regexp_replace(F.regexp_replace(out, TITLE, "") if headed else out, OTHER, " ")
     for other, one in SPELLINGS.items():
         out = F.replace(out, F.lit(other), F.lit(one))
     return F.nullif(F.btrim(out), F.lit(""))
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+def digest(text: Column, headed: bool = False) -> Column:
+    return F.sha2(canonical(text, headed), 256)
 
 
-def known_texts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(KNOWN.items()), "license string, text string")
+def known_texts(spark: SparkSession, folder: str | None = None) -> DataFrame:
+    """(license, text) of KNOWN, and of a folder that Spark can read with one full text a file, named by the licence."""
+    known = spark.createDataFrame(sorted(KNOWN.items()), "license string, text string")
+    if not folder:
+        return known
+    name = F.regexp_replace(F.url_decode(F.replace(F.regexp_extract(F.input_file_name(), r"([^/]*)$", 1), F.lit("+"), F.lit("%2B"))), r"(?i)\.(txt|md)$", "")
+    return known.unionByName(spark.read.text(folder, wholetext=True).select(name.alias("license"), F.col("value").alias("text")))
 
 
-def scanned(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFrame:
+def scanned(docs: DataFrame, known: DataFrame, key: str = "doc_id", headed: bool = False) -> DataFrame:
     """(key, digest, licenses) of every row: the SHA-256 of the canonical whole text, and the known licences that have it.
 
     ``known`` holds license and text; texts that share a canonical form give a sorted list.
     Licences are joined by digest; as many documents as there are may have one, since Spark
     broadcasts a small list and splits hot keys of a large one. Null texts and texts without a
     letter or digit have a null digest and no licence, and such known texts match nothing.
-    Repeated rows each keep their result; extra columns are ignored.
+    Repeated rows each keep their result; extra columns are ignored. ``headed``: see canonical().
     """
-    names = known.select(digest(F.col("text")).alias("digest"), F.col("license")).where("digest IS NOT NULL AND license IS NOT NULL")
+    names = known.select(digest(F.col("text"), headed).alias("digest"), F.col("license")).where("digest IS NOT NULL AND license IS NOT NULL")
     names = names.groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"))
-    return docs.select(F.col(key), digest(F.col("text")).alias("digest")).join(names, "digest", "left").select(key, "digest", "licenses")
+    return docs.select(F.col(key), digest(F.col("text"), headed).alias("digest")).join(names, "digest", "left").select(key, "digest", "licenses")
 
 
 def oracle() -> str:

@@ -35,6 +35,15 @@ def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLES["op1_license_scan"] = licenses.oracle()
 
+#: A folder with further full licence texts, one a file, by a path that Spark can read.
+LICENSES = os.environ.get("TIDEMARK_LICENSES")
+
+
+@query
+def op1_license_files(spark: SparkSession, sf: str) -> DataFrame:
+    """As op1_license_scan, also past title lines and copyrights of a name alone, with the texts of LICENSES."""
+    return licenses.scanned(table(spark, sf, "documents"), licenses.known_texts(spark, LICENSES), headed=True)
+
 
 @query
 def op2_token_packing(spark: SparkSession, sf: str) -> DataFrame:
