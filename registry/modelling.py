@@ -259,3 +259,55 @@ def shap_rank(spark, sf):
     sales = F.exists("r", lambda r: (r["feature"] == "sales") & (r["direction"] == "positive"))
     sizes = F.transform("r", lambda r: r["mean_abs_shap"])
     return ranked.agg(F.count(F.lit(1)).cast("int").alias("n"), rows.alias("r")).select("n", (sizes == F.reverse(F.array_sort(sizes))).alias("descending"), sales.alias("positive"))
+
+
+# The same results in full, of a forest on every line with a label; features as they are. These have no SQL.
+LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
+LINE_FOREST = {}  # the operator's 200 trees of depth 30
+
+
+@lru_cache(maxsize=4)
+def _fit_lines(spark, sf, label="label"):
+    rows = role(spark, sf, SALES).withColumn("key", F.concat_ws("-", *KEYS)).withColumn("label", F.expr(label))
+    design, features, _ = model.feature_matrix(rows, LINE_FEATURES, ["p_type"], ["key", "label"], leakage=["l_extendedprice"])
+    train, test = model.split(design.dropna(), "key")
+    return model.rf_regress(model.assemble(train, features), "label", max_bins=BINS, **LINE_FOREST), features, train, test
+
+
+def _scored_lines(spark, sf, label="label", logged=False):
+    forest, features, _, test = _fit_lines(spark, sf, label)
+    scored = model.predict_back(forest.transform(model.assemble(test, features)), logged)
+    return scored.select("key", "label", "raw_prediction", "predicted")
+
+
+@query("m3_rf_lines_metrics")
+def rf_lines_metrics(spark, sf):
+    return model.regression_metrics(_scored_lines(spark, sf), F.col("label"), F.col("predicted"))
+
+
+@query("m4_predict_back_lines")
+def predict_back_lines(spark, sf):
+    return _scored_lines(spark, sf)
+
+
+@query("m4_predict_back_log_lines")
+def predict_back_log_lines(spark, sf):
+    return _scored_lines(spark, sf, "log10(label)", True)
+
+
+@query("m8_importance_rank_lines")
+def importance_rank_lines(spark, sf):
+    forest, features, train, _ = _fit_lines(spark, sf)
+    return model.importance_rank(forest, features, train)
+
+
+@query("m9_shap_values_lines")
+def shap_values_lines(spark, sf):
+    forest, features, _, test = _fit_lines(spark, sf)
+    return shap.shap_values(forest, test, features, "key")
+
+
+@query("m10_shap_rank_lines")
+def shap_rank_lines(spark, sf):
+    forest, features, _, test = _fit_lines(spark, sf)
+    return shap.shap_rank(shap.shap_values(forest, test, features, "key"), features)

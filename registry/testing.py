@@ -249,3 +249,34 @@ def posthoc_pairs(spark, sf):
 @query("j6_group_pairs", "SELECT a.event_type AS group1, b.event_type AS group2 FROM (SELECT DISTINCT event_type FROM {events}) a JOIN (SELECT DISTINCT event_type FROM {events}) b ON a.event_type < b.event_type")
 def group_pairs(spark, sf):
     return h.tukey_hsd(table(spark, sf, "events"), "event_type", "value", only_if_significant=False).select("group1", "group2")
+
+
+# The full results behind the invariant queries above; these have no SQL.
+@query("h1_normality_rows")
+def normality_rows(spark, sf):
+    return h.normality(table(spark, sf, "events"), "event_type", "value")
+
+
+@query("h2_shapiro_wilk_rows")
+def shapiro_wilk_rows(spark, sf):
+    return h.shapiro(table(spark, sf, "orders"), "o_custkey", "o_totalprice")
+
+
+@query("h8_bootstrap_median_ci_rows")
+def bootstrap_median_ci_rows(spark, sf):
+    return h.bootstrap_median_ci(table(spark, sf, "events"), *ARGS, seed=h.BOOTSTRAP_SEED)
+
+
+@query("h10_two_group_test_rows")
+def two_group_test_rows(spark, sf):
+    return h.two_group_test(table(spark, sf, "events"), *ARGS)
+
+
+@query("h12_tukey_hsd_rows")
+def tukey_hsd_rows(spark, sf):
+    return h.tukey_hsd(role(spark, sf, BANDS), "band", "x")
+
+
+@query("h13_posthoc_digest_rows")
+def posthoc_digest_rows(spark, sf):
+    return h.posthoc_digest(role(spark, sf, BANDS), "band", "x")

@@ -139,3 +139,34 @@ def test_price_study(spark):
     assert study.improvement.first()["mae_improvement_pct"] > 30
     assert study.top_features.first()["feature"] == "a"
     assert study.largest_errors.count() == 5
+
+
+def test_registered_full_results_on_lines(spark, sf, monkeypatch):
+    from registry import QUERIES, modelling
+
+    monkeypatch.setattr(modelling, "LINE_FOREST", {"trees": 3, "max_depth": 4})
+    modelling._fit_lines.cache_clear()
+    run = lambda name: QUERIES[name](spark, sf)
+    scored = run("m4_predict_back_lines").collect()
+    n = run("m3_rf_lines_metrics").collect()[0].n
+    sold = modelling.role(spark, sf, modelling.SALES)
+    assert n == len(scored) > 0.15 * sold.where("label IS NOT NULL").count()
+    phi = run("m9_shap_values_lines").collect()
+    whole = sorted((r.key, r.base + sum(v for c, v in r.asDict().items() if c.startswith("phi_"))) for r in phi)  # keys repeat
+    wanted = sorted((r.key, r.raw_prediction) for r in scored)
+    assert [k for k, _ in whole] == [k for k, _ in wanted]
+    assert np.allclose([v for _, v in whole], [v for _, v in wanted], rtol=1e-6)
+    assert run("m8_importance_rank_lines").collect()[0].feature == "l_quantity"
+    assert run("m10_shap_rank_lines").count() == 5
+    assert all(r.predicted == pytest.approx(10**r.raw_prediction) for r in run("m4_predict_back_log_lines").collect())
+    modelling._fit_lines.cache_clear()
+
+
+def test_registered_full_results_of_tests(spark, sf):
+    from registry import QUERIES
+
+    for name, columns in {"h1_normality_rows": {"w", "p_value"}, "h2_shapiro_wilk_rows": {"w", "p_value"}, "h8_bootstrap_median_ci_rows": {"ci_low", "ci_high"},
+                          "h10_two_group_test_rows": {"p_value", "effect_size"}, "h12_tukey_hsd_rows": {"q", "p_adj", "lower", "upper"}, "h13_posthoc_digest_rows": {"most_extreme_pair"}}.items():
+        found = QUERIES[name](spark, sf)
+        assert columns <= set(found.columns)
+    assert QUERIES["h12_tukey_hsd_rows"](spark, sf).where("p_adj IS NULL").count() == 0
