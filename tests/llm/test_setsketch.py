@@ -92,3 +92,10 @@ def test_components_of_long_paths_and_stars(spark):
     found = {r.node: r.root for r in rows}
     assert len(rows) == len(found) == 61 + 61 + 2
     assert {found[k] for k in range(100, 161)} == {100} and {found[k] for k in range(200, 260)} == {7} and found[4] == found[3] == 3
+
+
+def test_keep_one_with_an_id_on_two_texts(spark):
+    a, b = prose(11, 80), prose(12, 80)
+    rows = [(1, " ".join(a)), (7, " ".join(changed(a, 1, 1))), (7, " ".join(b)), (9, " ".join(b)), (9, None), (8, None)]
+    kept = setsketch.keep_one(clashing(frame(spark, rows)), 3, 85)
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted((k, t or "") for k, t in (rows[0], rows[2], rows[4], rows[5]))

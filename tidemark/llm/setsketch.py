@@ -202,6 +202,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     component; a component of null ids only has a null one, and its rows are kept. Rows that
     repeat an id are rows of one document. Extra columns are ignored; an empty table gives no rows.
     """
+    return _marked(docs, size, percent).drop("mark")
+
+
+def _marked(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """near_duplicates() with the hash of each row's text, as ``mark``."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
@@ -276,8 +281,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     names = named.groupBy("root").agg(F.min("least").alias("name"))
     named = named.join(names, "root").select("set_id", "name")
     return (
-        sketches.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")).join(named, "set_id", "left")
-        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"))
+        sketches.select("doc_id", "mark", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")).join(named, "set_id", "left")
+        .select("doc_id", "mark", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
@@ -291,6 +296,7 @@ def _texts(docs: DataFrame, sketches: DataFrame, wanted: DataFrame) -> DataFrame
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are the smallest id of their component; columns as they were."""
-    gone = near_duplicates(docs, size, percent).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """The documents that are the smallest id of their component; columns as they were. Rows of one id are told apart by text."""
+    gone = _marked(docs, size, percent).where("NOT kept AND doc_id IS NOT NULL").select("doc_id", "mark").distinct()
+    same = (F.col("d.doc_id").cast("long") == F.col("g.doc_id")) & (F.xxhash64(F.col("d.text")) == F.col("g.mark"))
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti")
