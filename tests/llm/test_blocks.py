@@ -70,3 +70,12 @@ def test_gradients_of_the_network():
             low = loss(wx, wh, b)
             w[at] = keep
             assert abs((high - low) / 2e-3 - g[at]) < 2e-2 * max(1, abs(g[at]))
+
+
+def test_a_head_that_is_not_closed():
+    texts = lambda page: [b.text for b in blocks.blocks_of(page)]
+    inside = "<meta charset=utf-8><title>t</title><link rel=x><style>p{}</style><script>1</script><template><p>u</p></template>\n"
+    for start in ("<body>", "<div>", "", "<img src=x>", "<p>"):
+        assert texts(f"<html><head>{inside}{start}one<p>two</p></html>") == ["one", "two"]
+    assert texts(f"<html><head>{inside}</head><body>one<p>two</p>") == ["one", "two"]
+    assert texts(f"<head><head><!-- c -->{inside}<body>one") == ["one"]

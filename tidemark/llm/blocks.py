@@ -27,6 +27,7 @@ PATH, WORDS, FIGURES, UNITS = 64, 32, 8, 16
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template head svg iframe object canvas select option textarea button".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split()
 )
@@ -99,10 +100,17 @@ def blocks_of(page: str) -> list[Block]:
             hidden -= name in HIDDEN
             links -= name == "a"
 
+    def leave_head() -> None:
+        """An open head ends with text or an element that cannot stand in it."""
+        while stack and stack[-1][0] == "head":
+            pop(len(stack) - 1)
+
     for m in _TOKEN.finditer(page):
         name = m[2]
         if name is None:
             piece = m[0]
+            if not raw and hidden and not piece.isspace() and not piece.startswith(("<!", "<?")):
+                leave_head()
             if raw or hidden or piece.startswith(("<!", "<?")):
                 continue
             if path is None and not piece.isspace():
@@ -125,6 +133,8 @@ def blocks_of(page: str) -> list[Block]:
             if at is not None:
                 pop(at)
             continue
+        if hidden and name not in HEAD:
+            leave_head()
         if name in CLOSES or name in SCOPE:
             ends = CLOSES.get(name, {"p"})
             for k in range(len(stack) - 1, -1, -1):
