@@ -59,3 +59,21 @@ def test_nothing_to_learn_and_empty_tables(spark):
     found = langid.predicted(spark.createDataFrame(corpus()[:3], SCHEMA), model).collect()
     assert [r.lang_pred for r in found] == ["und"] * 3
     assert langid.predicted(spark.createDataFrame([], SCHEMA), model).collect() == []
+
+
+def test_copies_of_one_text_are_drawn_once(spark, monkeypatch):
+    """All rows of a language but a few are one text; what is clustered are distinct texts, at most as many as stated."""
+    sizes = spark.sparkContext.accumulator(0)
+    plain = langid.term_counts
+
+    def counted(texts, *rest):
+        sizes.add(len(texts))
+        return plain(texts, *rest)
+
+    monkeypatch.setattr(langid, "_document_frequencies", lambda rows, f=langid._document_frequencies: (f(rows), monkeypatch.setattr(langid, "term_counts", counted))[0])
+    for copies, different, sample in ((900, 60, 40), (0, 400, 40)):
+        rows = [("one text that is copied everywhere", "en")] * copies + [(f"words {k} of {k * 7} letters", "en") for k in range(different)]
+        before = sizes.value
+        langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample)
+        assert 0 < sizes.value - before <= sample
+        monkeypatch.setattr(langid, "term_counts", plain)

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.text import bounded_batches, pieces, raw, staged
 
@@ -98,17 +98,19 @@ class Model:
 def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
     """A model from ``text`` and ``lang`` of all rows where neither is null.
 
-    Document frequencies count every row. The centroids come from about ``sample`` rows of each
-    language, those whose hash is small enough, clustered in one task per language; the counts that
-    the draw needs, a number per language, are broadcast, so that only drawn texts are shuffled.
+    Document frequencies count every row. The centroids come from at most ``sample`` distinct texts
+    of each language, those whose hash is small enough, clustered in one task per language; the counts
+    that the draw needs, a number per language, are broadcast, so that only drawn texts are shuffled,
+    copies of one text as one.
     What is sent to the driver are the frequencies and the centroids, whose size, thousands of
     times that of the counts, follows the number of languages alone.
     """
     bounded_batches(labelled.sparkSession)
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
     idf = _document_frequencies(rows)
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    drawn = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1 << 32)) * F.col("n") < F.lit(sample) * F.lit(1 << 32)
+    rows = rows.withColumn("h", F.xxhash64(F.lit("langid"), "text"))
+    counts = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    drawn = F.pmod("h", F.lit(1 << 32)) * F.col("n") < F.lit(sample) * F.lit(1 << 32)
 
     def centres(pdf: pd.DataFrame) -> pd.DataFrame:
         points = vectors(term_counts([t.encode() for t in sorted(pdf.text)]), idf)
@@ -116,7 +118,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
         least = float(np.quantile((points @ found.T).max(1), 0.005)) * REJECT
         return pd.DataFrame({"lang": pdf.lang.iloc[0], "least": least, "c": [c.tolist() for c in found]})
 
-    near = rows.join(F.broadcast(counts), "lang").where(drawn).select("lang", "text")
+    near = rows.join(F.broadcast(counts), "lang").where(drawn).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 32)), "h")
+    near = near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).select("lang", "text")
     found = sorted(near.groupBy("lang").applyInPandas(centres, "lang string, least double, c array<float>").collect(), key=lambda r: (r.lang, r.c))
     return Model(idf, [r.lang for r in found], np.array([r.c for r in found], np.float32), np.array([r.least for r in found]))
 
