@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import blocks, decontaminate, langid, lattice, licenses, outliers, packing, setsketch, toxicity, winnow
+from tidemark.llm import blocks, codes, decontaminate, langid, lattice, licenses, outliers, packing, rotation, setsketch, toxicity, variants, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
@@ -124,6 +124,24 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return lattice.encoded(docs, corpus_pipeline.MODEL).select("doc_id", "n_ids", "ids", "lossless")
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word of all documents with its near words, form and root."""
+    return variants.grouped(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """The code of every vector after four rounds, and its errors."""
+    return codes.compressed(table(spark, sf, "embeddings"))
+
+
+@query
+def op13_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9."""
+    return rotation.near_vectors(table(spark, sf, "embeddings"))
+
+
 ORACLES["op9_line_dedup"] = """
 WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
                FROM documents),
@@ -186,3 +204,68 @@ named AS (SELECT s.doc_id, root FROM sets s JOIN classes c ON md5(array_to_strin
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(root, doc_id) AS component_id, coalesce(root, doc_id) = doc_id AS kept
 FROM sets LEFT JOIN named USING (doc_id)
 """
+
+ORACLES["op11_spelling_variants"] = rf"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+runs AS (SELECT row_number() OVER () AS id, run, c, CAST(doc_id AS VARCHAR) || ':' || run AS named
+         FROM (SELECT doc_id, run, count(*) AS c FROM found GROUP BY ALL) WHERE length(run) >= 5),
+bytes AS (SELECT id, hex(encode(named)) AS h FROM runs),
+polynomial AS (SELECT i, list_reduce([CAST(i AS BIGINT)] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(i)),
+crc AS (
+  SELECT id, h, 0 AS pos, CAST(4294967295 AS BIGINT) AS c FROM bytes
+  UNION ALL
+  SELECT id, h, pos + 1, xor(v, c >> 8) FROM crc JOIN polynomial
+    ON i = xor(c & 255, CAST('0x' || substr(h, 2 * pos + 1, 2) AS BIGINT)) WHERE 2 * pos < length(h)),
+hashes AS (SELECT id, xor(c, 4294967295) AS h FROM crc WHERE 2 * pos = length(h)),
+changed AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, c FROM runs JOIN hashes USING (id)),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, n, length(word) AS m, p, left(word, CAST(p AS INT)) || substr(word, CAST(p AS INT) + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS n_other FROM cut a JOIN cut b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n_other DESC, other) AS form, max(n_other) AS form_n FROM pairs GROUP BY word),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+led AS (SELECT word, word AS root FROM forms UNION ALL SELECT led.word, f.form FROM led JOIN forms f ON led.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, led.root, f.n, f.n_near, f.form_n FROM forms f JOIN led ON f.word = led.word JOIN forms r ON led.root = r.word AND r.form IS NULL
+"""
+
+
+def _codes_sql() -> str:
+    """Rounds of assignment and floor(sum / count), each a step of common table expressions."""
+    steps = []
+    for r in range(codes.ROUNDS + 1):
+        steps.append(f"""gaps{r} AS MATERIALIZED (SELECT a.vec_id, a.part, b.entry, CAST(sum((a.x - b.x) * (a.x - b.x)) AS BIGINT) AS d FROM parts a JOIN book{r} b ON a.part = b.part AND a.pos = b.pos GROUP BY ALL),
+near{r} AS MATERIALIZED (SELECT vec_id, part, first(entry ORDER BY d, entry) AS entry, min(d) AS d FROM gaps{r} GROUP BY ALL)""")
+        if r < codes.ROUNDS:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM book{r} b LEFT JOIN
+  (SELECT part, entry, pos, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM near{r} JOIN parts USING (vec_id, part) GROUP BY ALL) m USING (part, entry, pos))""")
+    last = codes.ROUNDS
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(floor(CAST(v AS DOUBLE) * {codes.SCALE}) AS BIGINT)) AS v FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, (i - 1) // w AS part, (i - 1) % w AS pos, x
+  FROM (SELECT vec_id, len(v) // {codes.PARTS} AS w, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM kept)),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {codes.ENTRIES}),
+book0 AS MATERIALIZED (SELECT part, entry, pos, x FROM parts JOIN seeds USING (vec_id)),
+{(","+chr(10)).join(steps)},
+sums AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{last} GROUP BY vec_id),
+sha AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN sums USING (vec_id), sha
+"""
+
+
+ORACLES["op12_vector_codes"] = _codes_sql()
+
+ORACLES["op13_embedding_near_dedup"] = """
+WITH RECURSIVE kept AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0 AS good
+  FROM embeddings),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM kept a JOIN kept b ON a.vec_id <> b.vec_id AND a.good AND b.good AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM kept UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM roots
+"""
