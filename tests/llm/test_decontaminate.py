@@ -48,6 +48,7 @@ def corpus():
             w[len(w) // 2 : len(w) // 2] = item[at : at + rng.randint(5, 40)]
         docs.append((k, (rng.choice([" ", "\n", "-", ". "])).join(w).title()))
     docs += [(60, None), (61, ""), (62, "SHORT, one x"), (63, "a b " * 5000), (64, items[3][1] + "é"), (64, items[3][1] + "é"), (None, items[5][1])]
+    items += [(3, items[3][1]), (3, items[6][1]), (6, items[6][1]), (6, items[6][1])]  # rows that repeat an id, with the same and with other texts
     docs += [(65, "é" + items[2][1].upper()), (66, " ".join(prose(9, 40000, 30)))]
     return docs, items
 
@@ -99,6 +100,32 @@ def test_longest_matches(spark):
     assert [tuple(r) for r in found.collect()] == [(1, "7", 5, 2, 20)]
 
 
+def longest(doc, items, window):
+    """The longest common run of words by trying all pairs of places."""
+    a, best = words(doc), (0,)
+    for name, text in items:
+        b = words(text)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                    n += 1
+                if b and n >= min(window, len(b)):
+                    best = min(best, (-n, i, str(name), j))
+    return None if best == (0,) else best
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1000])
+def test_longest_match_of_a_document(spark, monkeypatch, block_bytes):
+    docs, items = corpus()
+    docs = [d for d in docs[::4] if d[1] is None or len(d[1]) < 1000] + docs[62:63] + [(77, "q short one q " + " ".join(words(items[4][1])[3:]))]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+    found = decontaminate.with_scan(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    got = [r["scan"]["longest"] for r in found.orderBy("doc_id").collect()]
+    wanted = [longest(t, items, 13) for _, t in sorted(docs)]
+    assert [None if g is None else (-g.n, g.doc_start, g.item_id, g.item_start) for g in got] == wanted and any(wanted)
+
+
 def test_removal_keeps_rows_and_columns(spark):
     docs, items = corpus()
     df = clashing(frame(spark, docs))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import repeat
+from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,13 @@ SCAN = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType())]))),
     T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("longest", T.StructType([
+        T.StructField("n", T.LongType()), T.StructField("doc_start", T.IntegerType()), T.StructField("item_id", T.StringType()), T.StructField("item_start", T.IntegerType())
+    ])),
+])
+KIND = pa.struct([
+    ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))), ("items", pa.list_(pa.string())),
+    ("longest", pa.struct([("n", pa.int64()), ("doc_start", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32())])),
 ])
 MATCHES = T.ArrayType(T.StructType([
     T.StructField("item_id", T.StringType()), T.StructField("item_start", T.IntegerType()),
@@ -38,18 +46,20 @@ def folded_words(text: bytes) -> list[bytes]:
 
 
 class TestSet:
-    """Test items as word numbers (0: between items), with the distinct windows that are searched."""
+    """Test items as word numbers (0: between items), with the distinct windows that are searched.
+
+    Rows of one name are one item, of several texts; equal rows count once.
+    """
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.vocabulary: dict[bytes, int] = {}
         words, owners, starts, lengths, seen = [0], [-1], [], [], {}
-        self.names = []
-        for name, text in sorted(items):
+        numbers: dict[str, int] = {}
+        for name, text in sorted(set(items)):
             item = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in folded_words(text)]
             if not item:
                 continue
-            base, size, k = len(words), min(window, len(item)), len(self.names)
-            self.names.append(name)
+            base, size, k = len(words), min(window, len(item)), numbers.setdefault(name, len(numbers))
             words += [*item, 0]
             owners += [k] * (len(item) + 1)
             for at in range(len(item) - size + 1):
@@ -59,6 +69,7 @@ class TestSet:
                     starts.append([])
                     lengths.append(size)
                 starts[seen[key]].append(base + at)
+        self.names = list(numbers)
         self.words = np.array(words, np.int32)
         self.owners = np.array(owners, np.int32)
         self.lengths = np.array(lengths, np.int32)
@@ -183,6 +194,33 @@ def _shard(texts: list[bytes], tests: TestSet) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.int32), starts
 
 
+def _extended(words: np.ndarray, tests: TestSet, windows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, test place, words) of the longest verbatim matches: those that can't begin a word earlier."""
+    row, at = _spread(tests, windows)
+    places = places[row]
+    first = (tests.words[at - 1] == 0) | (places == 0) | (words[places - 1] != tests.words[at - 1])
+    places, at = places[first], at[first]
+    n, left, k = np.zeros(len(at), np.int64), np.arange(len(at)), 0
+    while len(left):
+        a = words[np.minimum(places[left] + k, len(words) - 1)]
+        left = left[(a == tests.words[at[left] + k]) & (a != 0)]
+        k += 1
+        n[left] = k
+    return places, at, n
+
+
+def _named(tests: TestSet, starts: np.ndarray, places: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, dict]]:
+    """Each match with its document, the item's name and both first words."""
+    opens = np.flatnonzero(tests.words == 0)
+    doc, begins = np.searchsorted(starts, places, "right") - 1, opens[np.searchsorted(opens, at) - 1] + 1
+    for d, p, t, b, size in zip(doc.tolist(), places.tolist(), at.tolist(), begins.tolist(), n.tolist()):
+        yield d, {"item_id": tests.names[tests.owners[t]], "item_start": t - b, "doc_start": p - int(starts[d]), "n": size}
+
+
+def _rank(match: dict | None) -> tuple:
+    return (0,) if match is None else (-match["n"], match["doc_start"], match["item_id"].encode(), match["item_start"])
+
+
 def _scan(texts: list[bytes], tests: TestSet) -> list[dict]:
     words, starts = _shard(texts, tests)
     windows, places = search(words, tests) if len(tests.query) else (np.zeros(0, int), np.zeros(0, np.int64))
@@ -197,35 +235,30 @@ def _scan(texts: list[bytes], tests: TestSet) -> list[dict]:
     pairs = np.unique(doc * (len(tests.query) + 1) + windows) if len(doc) else np.zeros(0, np.int64)
     row, at = _spread(tests, pairs % (len(tests.query) + 1))
     owned = np.unique(np.stack([pairs[row] // (len(tests.query) + 1), tests.owners[at]]), axis=1) if len(row) else np.zeros((2, 0), int)
-    out = [{"n_words": int(starts[k + 1] - starts[k] - 1), "spans": [], "items": []} for k in range(len(texts))]
+    out = [{"n_words": int(starts[k + 1] - starts[k] - 1), "spans": [], "items": [], "longest": None} for k in range(len(texts))]
     for k, b, e in zip(of_span, begin, stop):
         out[k]["spans"].append({"start": int(b - starts[k]), "n": int(e - b)})
     for k, i in owned.T:
         out[k]["items"].append(tests.names[i])
+    if len(places):
+        found = _extended(words, tests, windows, places)
+        size = found[2]
+        most = np.zeros(len(texts), np.int64)
+        held = np.searchsorted(starts, found[0], "right") - 1
+        np.maximum.at(most, held, size)
+        for k, match in _named(tests, starts, *(v[size == most[held]] for v in found)):
+            out[k]["longest"] = min(match, out[k]["longest"], key=_rank)
     return out
 
 
 def _longest(texts: list[bytes], tests: TestSet) -> list[list[dict]]:
     words, starts = _shard(texts, tests)
     out: list[list[dict]] = [[] for _ in texts]
-    if not len(tests.query):
-        return out
-    windows, places = search(words, tests)
-    row, at = _spread(tests, windows)
-    places = places[row]
-    first = (tests.words[at - 1] == 0) | (places == 0) | (words[places - 1] != tests.words[at - 1])
-    places, at = places[first], at[first]
-    n, left, k = np.zeros(len(at), np.int64), np.arange(len(at)), 0
-    while len(left):
-        a = words[np.minimum(places[left] + k, len(words) - 1)]
-        left = left[(a == tests.words[at[left] + k]) & (a != 0)]
-        k += 1
-        n[left] = k
-    opens = np.flatnonzero(tests.words == 0)
-    for p, t, size in sorted(zip(places.tolist(), at.tolist(), n.tolist())):
-        d = int(np.searchsorted(starts, p, "right") - 1)
-        begins = int(opens[np.searchsorted(opens, t) - 1]) + 1
-        out[d].append({"item_id": tests.names[tests.owners[t]], "item_start": t - begins, "doc_start": p - int(starts[d]), "n": size})
+    if len(tests.query):
+        places, at, n = _extended(words, tests, *search(words, tests))
+        order = np.lexsort((n, at, places))
+        for k, match in _named(tests, starts, places[order], at[order], n[order]):
+            out[k].append(match)
     return out
 
 
@@ -236,7 +269,7 @@ def _merged(a: dict, b: dict) -> dict:
             spans[-1]["n"] = max(spans[-1]["n"], s["start"] + s["n"] - spans[-1]["start"])
         else:
             spans.append(dict(s))
-    return {"n_words": b["n_words"], "spans": spans, "items": sorted({*a["items"], *b["items"]})}
+    return {"n_words": b["n_words"], "spans": spans, "items": sorted({*a["items"], *b["items"]}), "longest": min(a["longest"], b["longest"], key=_rank)}
 
 
 def _blocks(tests: DataFrame, item: str, text: str, window: int) -> Iterator[TestSet]:
@@ -256,35 +289,52 @@ def with_scan(docs: DataFrame, tests: DataFrame, window: int = 13, text: str = "
     window is ``window`` consecutive words of an item, or the whole of a shorter item. Every task
     builds suffix arrays over shards of its texts; every test suffix that starts a window is
     located by binary search, and all its occurrences count. A document lies in one shard whole,
-    so nothing is shuffled. Test sets over BLOCK_BYTES are searched block after block, each pass
-    written to the shared folder; a block travels with its function, and Spark broadcasts that.
+    so nothing is shuffled. ``longest`` is the document's longest verbatim match with an item (ties: the
+    first in the document, then by item), null without one.
+
+    A block travels with its function, and Spark broadcasts that. Test sets over BLOCK_BYTES are
+    searched block after block over a numbered copy of the documents; a pass writes only the documents
+    it has hit, and these are joined with the copy once.
 
     Null texts and texts without words have 0 words and no spans; null ids and null texts of items
-    are left out; repeated rows each keep their own result; a column named ``into`` is replaced.
-    With no test items every document has no spans.
+    are left out, rows of one id are one item; repeated documents each keep their own result; a column
+    named ``into`` is replaced. With no test items every document has no spans.
     """
     bounded_batches(docs.sparkSession)
-    schema = plus(docs.schema, T.StructField(into, SCAN))
+    docs = docs.drop(into)
 
-    def over(block: TestSet, merge: bool):
+    def over(block: TestSet, kept: list[str] | None = None):
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            kind = pa.struct([
-                ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))), ("items", pa.list_(pa.string()))
-            ])
             for batch in pieces(batches, text, SHARD_BYTES):
                 found = _scan(raw(batch, text), block)
-                if merge:
-                    found = [_merged(a, b) for a, b in zip(batch.column(into).to_pylist(), found)]
-                yield appended(batch, {into: pa.array(found, kind)})
+                if kept is None:
+                    yield appended(batch, {into: pa.array(found, KIND)})
+                else:
+                    hit = pa.array([bool(f["spans"]) for f in found], pa.bool_())
+                    yield appended(batch.select(kept), {into: pa.array(found, KIND)}).filter(hit)
 
         return scan
 
-    out = docs.drop(into)
-    for k, block in enumerate(_blocks(tests, item, test_text, window)):
-        out = (staged(out, "decontaminate") if k else out).mapInArrow(over(block, k > 0), schema)
-    if out.columns == docs.drop(into).columns:  # no test items
-        out = out.mapInArrow(over(TestSet([], window), False), schema)
-    return out
+    blocks = _blocks(tests, item, test_text, window)
+    first = next(blocks, TestSet([], window))
+    second = next(blocks, None)
+    if second is None:
+        return docs.mapInArrow(over(first), plus(docs.schema, T.StructField(into, SCAN)))
+    row = "_" + max(["row", *docs.columns], key=len)
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate")
+    rows = numbered.select(row, text)
+    hits = [staged(rows.mapInArrow(over(block, [row]), plus(rows.select(row).schema, T.StructField(into, SCAN))), "hits") for block in chain([first, second], blocks)]
+    lists = reduce(DataFrame.unionAll, hits).groupBy(row).agg(F.collect_list(into).alias(into))  # one entry a block at most
+
+    names = docs.columns
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text, SHARD_BYTES):
+            plain = _scan(raw(batch, text), TestSet([], window))
+            whole = [reduce(_merged, h or [], p) for h, p in zip(batch.column(into).to_pylist(), plain)]
+            yield appended(batch.select(names), {into: pa.array(whole, KIND)})
+
+    return numbered.join(lists, row, "left").drop(row).mapInArrow(merged, plus(docs.schema, T.StructField(into, SCAN)))
 
 
 def n_hit(into: str = "scan"):

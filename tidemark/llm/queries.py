@@ -62,6 +62,7 @@ def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.size("scan.items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("scan.items"), ","), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
+        F.coalesce("scan.longest.n", F.lit(0)).cast("long").alias("longest_words"), F.col("scan.longest.doc_start").cast("long").alias("longest_start"), F.col("scan.longest.item_id").alias("longest_item"),
     )
 
 
@@ -173,18 +174,24 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLES["op4_benchmark_decontamination"] = rf"""
 WITH texts AS (SELECT doc_id, NULL AS item_id, text FROM documents UNION ALL SELECT NULL, item_id, text FROM benchmark),
 words AS (SELECT doc_id, item_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM texts),
-items AS (SELECT item_id, w, least(13, len(w)) AS n FROM words WHERE item_id IS NOT NULL AND len(w) > 0),
-wanted AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda p: array_to_string(w[p:p + n - 1], ' '))) AS x FROM items),
+items AS (SELECT item_id, row_number() OVER () AS item, w, least(13, len(w)) AS n FROM words WHERE item_id IS NOT NULL AND len(w) > 0),
+standing AS (SELECT item_id, item, n, unnest(range(1, len(w) - n + 2)) AS q, unnest(list_transform(range(1, len(w) - n + 2), lambda p: array_to_string(w[p:p + n - 1], ' '))) AS x FROM items),
+wanted AS (SELECT DISTINCT item_id, n, x FROM standing),
 places AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p,
                   unnest(list_transform(range(1, len(w) - n + 2), lambda p: array_to_string(w[p:p + n - 1], ' '))) AS x
            FROM words, (SELECT DISTINCT n FROM wanted) WHERE doc_id IS NOT NULL AND len(w) >= n),
 found AS (SELECT doc_id, p, n, item_id FROM places JOIN wanted USING (n, x)),
 hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM found)) GROUP BY doc_id),
+steps AS (SELECT doc_id, p, n, item, item_id, p - q AS slant FROM places JOIN standing USING (n, x)),
+runs AS (SELECT doc_id, item_id, min(p) - 1 AS first, n + count(*) - 1 AS long
+         FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item, slant ORDER BY p) AS run FROM steps) GROUP BY doc_id, item, item_id, slant, run, n),
+longest AS (SELECT doc_id, first, long, CAST(item_id AS VARCHAR) AS item FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY long DESC, first, CAST(item_id AS VARCHAR)) = 1),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) WHERE words.doc_id IS NOT NULL
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       CAST(coalesce(long, 0) AS BIGINT) AS longest_words, CAST(first AS BIGINT) AS longest_start, longest.item AS longest_item
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN longest USING (doc_id) WHERE words.doc_id IS NOT NULL
 """
 
 ORACLES["op8_minhash_near_dedup"] = rf"""
