@@ -79,3 +79,49 @@ def test_a_head_that_is_not_closed():
         assert texts(f"<html><head>{inside}{start}one<p>two</p></html>") == ["one", "two"]
     assert texts(f"<html><head>{inside}</head><body>one<p>two</p>") == ["one", "two"]
     assert texts(f"<head><head><!-- c -->{inside}<body>one") == ["one"]
+
+
+def test_quotes_in_a_tag():
+    """A quote opens a string after = alone; markup never becomes text."""
+    texts = lambda page: [b.text for b in blocks.blocks_of(page)]
+    assert texts("<a title=it's href=x>hello</a> there") == ["hello there"]
+    assert texts("""<p title="a > b" x='>' y = "1>2">one<p "odd" '>two<p a=">three""") == ["one", "two", "three"]
+    assert texts("<p b=\"it's\">two</p>") == ["two"]
+    assert blocks.blocks_of("<div class=it's id='Post \"x\"'>t</div>")[0].path == ("div", ".it", ".post", ".x")
+
+
+NEUTRAL = {"article": "div", "main": "div", "nav": "div", "header": "div", "footer": "div", "aside": "div", "section": "div", "form": "div"}
+
+
+def neutral(html):
+    """The page with containers that say nothing: all are plain divisions without class, id or role."""
+    import re
+
+    html = re.sub(r"""\s(?:class|id|role)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""", "", html)
+    return re.sub(r"(</?)(\w+)", lambda m: m[1] + NEUTRAL.get(m[2].lower(), m[2]), html)
+
+
+def test_pages_whose_containers_say_nothing(spark, sf):
+    """The given pages, half of them to learn from; of the other half the names are taken away before labelling."""
+    pages = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/pages.parquet")
+    fitted = blocks.fit(pages.where("page_id % 2 = 0"))
+    held = [(r.page_id, r.html) for r in pages.where("page_id % 2 = 1").collect()]
+    main = kept_main = other = kept_other = 0
+    for _, html in held:
+        named, bare = blocks.blocks_of(html), blocks.blocks_of(neutral(html))
+        if [b.text for b in named] != [b.text for b in bare]:
+            continue
+        marks = [blocks.marked(b.path) for b in named]
+        assert all(blocks.marked(b.path) == -1 for b in bare)
+        kept = fitted.probabilities([blocks.inputs(bare)])[0] >= 0.5
+        main, kept_main = main + sum(m == 1 for m in marks), kept_main + sum(k for k, m in zip(kept, marks) if m == 1)
+        other, kept_other = other + sum(m == 0 for m in marks), kept_other + sum(k for k, m in zip(kept, marks) if m == 0)
+    assert main > 300 and other > 300
+    assert kept_main >= 0.97 * main and kept_other <= 0.03 * other
+
+
+def test_a_copied_page_is_drawn_once(spark):
+    rows = [(k, "u", page(0)[0]) for k in range(400)] + [(k, "u", page(k)[0]) for k in range(1, 40)]
+    fitted = blocks.fit(spark.createDataFrame(rows, "page_id long, url string, html string"), 30)
+    again = blocks.fit(spark.createDataFrame(rows[399:], "page_id long, url string, html string"), 30)
+    assert all(np.array_equal(a, b) for a, b in zip(fitted.weights, again.weights))

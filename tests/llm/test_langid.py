@@ -77,3 +77,30 @@ def test_copies_of_one_text_are_drawn_once(spark, monkeypatch):
         langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample)
         assert 0 < sizes.value - before <= sample
         monkeypatch.setattr(langid, "term_counts", plain)
+
+
+def test_texts_without_a_letter_are_undetermined(spark):
+    """Digits, powers, fractions and other numerals are no letters; letters of any script are."""
+    model = langid.fit(spark.createDataFrame(corpus()[:200], SCHEMA), sample=50)
+    rows = [(k, t, None, "s", 0) for k, t in enumerate(["²", "½ ³", "① Ⅷ 7", "_-_", "\u0301", "ª", "日", "7 é", "a²"])]
+    found = {r.doc_id: r.lang_pred for r in langid.predicted(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    assert [found[k] == "und" for k in range(9)] == [True, True, True, True, True, False, False, False, False]
+
+
+def test_predictions_against_plain_python(spark):
+    """The nearest of all centroids by cosine of damped, weighted counts, text by text."""
+    import math
+    from collections import Counter
+
+    rows = corpus()
+    model = langid.fit(spark.createDataFrame(rows[:300], SCHEMA), sample=60)
+    for r in langid.predicted(spark.createDataFrame(rows[300:400], SCHEMA), model).collect():
+        text = b" " + rows[r.doc_id][1].encode() + b" "
+        folded = [c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in text]
+        grams = Counter(((a << 16 | b << 8 | c) * 2654435761 % 2**32) >> 20 for a, b, c in zip(folded, folded[1:], folded[2:]) if (a, b, c) != (32, 32, 32))
+        weight = {t: (1 + math.log(n)) * model.idf[t] for t, n in grams.items()}
+        norm = math.sqrt(sum(w * w for w in weight.values()))
+        cosines = [sum(w * float(centre[t]) for t, w in weight.items()) / norm for centre in model.centres]
+        best = max(range(len(cosines)), key=lambda k: (cosines[k], -k))
+        assert abs(r.score - cosines[best]) < 1e-4 and r.rejected == (r.score < model.least[best])
+        assert r.lang_pred == model.languages[best]

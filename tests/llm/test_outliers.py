@@ -92,14 +92,46 @@ def test_estimates_resist_a_fifth_of_outliers(spark):
     assert sum(v * far[i] * far[j] for (i, j), v in p.items()) > 100
 
 
-def test_small_cells_are_pooled(spark):
-    rows = [(f"x{k}", s, lang) for k, (s, lang) in enumerate([("big", "en")] * 250 + [("s1", "de")] * 150 + [("s2", "de")] * 150 + [("s3", "fr")] * 9 + [(None, None)] * 5)]
-    cells = outliers._cells(spark.createDataFrame(rows, "id string, source string, lang string"))
-    found = {(r.source, r.lang): r.cell for r in cells.distinct().collect()}
-    assert cells.count() == len(rows)
-    assert found[("s1", "de")] == found[("s2", "de")] != found[("big", "en")]
-    assert found[("s3", "fr")] == found[(None, None)] == "[]"
-    assert cells.groupBy("cell").agg(F.count("*")).count() == 3
+def test_every_language_and_source_has_estimates_of_its_own(spark, sf):
+    """On the given tables, and in cells of 1 to 60 texts, which lean the more to their language the fewer they are."""
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet").where("text IS NOT NULL")
+    stats = outliers.with_counts(docs.withColumn("mark", F.xxhash64("text")), ["doc_id", "lang", "source"]).where(~outliers.base_failed())
+    named = outliers._named(stats.select("*", *outliers._vector()))
+    cells = outliers.cell_estimates(named).collect()
+    assert len(cells) == len({tuple(r.m) for r in cells}) == named.select("lang", "source").distinct().count() > 40
+
+    rng = np.random.default_rng(1)
+    sizes = {"one": 1, "few": 8, "some": 60, "many": 2000}
+    places = {"one": 0.9, "few": 0.9, "some": 0.9, "many": 0.0}
+    rows = [("en", s, *map(float, rng.normal(places[s], 0.1, 5))) for s, n in sizes.items() for _ in range(n)]
+    found = {r.own: r for r in outliers.cell_estimates(outliers._named(spark.createDataFrame(rows, ["lang", "source", *outliers.VECTOR]))).collect()}
+    at = {s: found[f'["=en","={s}"]'].m[0] for s in sizes}
+    assert 0 < at["one"] < at["few"] < at["some"] < 0.9 and abs(at["many"]) < 0.05
+    assert at["some"] > 0.6 and at["one"] < 0.15
+
+
+def test_leaning_is_the_mixture_of_both():
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(0, 1, (400, 5)) @ rng.normal(0, 1, (5, 5)), rng.normal(0.5, 1, (20, 5))
+    upper = lambda x: np.array([v[i, j] * (1 if i == j else 2) for v in [np.linalg.inv(np.cov(x.T, bias=True))] for i, j in outliers._PAIRS])
+    m, p = outliers.leaning(400, a.mean(0), upper(a), b.mean(0), upper(b))
+    both = np.concatenate([a, b])
+    assert outliers.PRIOR == len(b) and np.allclose(m, both.mean(0)) and np.allclose(p, upper(both))
+
+
+def test_repeats_alone_can_reject(spark):
+    """Texts of which nearly half are repeated phrases, below what the base rules reject."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(300):
+        words = prose(100 + k, 400, 900)
+        if k < 12:
+            phrase = prose(7000 + k, 6, 900)
+            words = words[:220] + phrase * 30
+        rows.append((k, " ".join(words), "en", rng.choice("ab"), 0))
+    found = {r.doc_id: r for r in outliers.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(found[k].base_failed for k in range(300))
+    assert [k for k in range(300) if not found[k].kept] == list(range(12))
 
 
 def test_two_fifths_of_junk_and_a_hot_junk_text_go(spark):

@@ -17,7 +17,7 @@ from tidemark.llm.text import bounded_batches, pieces
 #: Pages that the model is fitted on, at most, and layouts drawn for each.
 SAMPLE, LAYOUTS = 300, 3
 #: Blocks of a sequence that the model is fitted on.
-LONGEST = 200
+LONGEST, CHARACTERS = 200, 2000
 #: Bound of the cells, which keeps the states of long pages among those of the fitted ones.
 CELL = 3.0
 #: Entries of the tag-path vector and of the word vector; further figures; units in either direction.
@@ -52,7 +52,7 @@ LAYOUT_BOILERPLATE = [
     "div .promo", "div .pagination",
 ]
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|[^<]+|<", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)>?|[^<]+|<", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
@@ -355,19 +355,28 @@ def layouts(blocks: list[Block], rng: np.random.Generator, n: int) -> list[tuple
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
-    """A labeller from a bounded sample of pages, those with the smallest hash of their html.
+    """A labeller from a bounded sample of different pages, those with the smallest hash of their html.
 
     Container names of a page that tell main text from boilerplate are its labels; further
     sequences set its texts into layouts drawn from lists of usual names, some without any, where
-    only words, figures and neighbours tell. Sequences are cut to LONGEST blocks for fitting alone.
-    One task fits the model.
+    only words, figures and neighbours tell. Sequences are cut to LONGEST blocks of CHARACTERS
+    characters for fitting alone, by the tasks that read the pages. One task fits the model.
     """
-    chosen = pages.where("html IS NOT NULL AND html <> ''").select(F.xxhash64("html").alias("h"), "html").orderBy("h", "html").limit(sample)
+    filled = pages.where("html IS NOT NULL AND html <> ''").select(F.xxhash64("html").alias("h"), "html")
+    first = filled.select("h").distinct().orderBy("h").limit(sample)
+    chosen = filled.join(F.broadcast(first), "h").dropDuplicates(["h"])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[{"path": b.path, "text": b.text[:CHARACTERS], "linked": b.linked} for b in blocks_of(page)[:LONGEST]] for page in batch.column("html").to_pylist()]
+            kind = pa.list_(pa.struct([("path", pa.list_(pa.string())), ("text", pa.string()), ("linked", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(found, kind)], names=["h", "blocks"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng, sequences, labels = np.random.default_rng(1), [], []
-        for page in sorted(page for batch in batches for page in batch.column("html").to_pylist()):
-            blocks = blocks_of(page)[:LONGEST]
+        rows = [r for batch in batches for r in zip(batch.column("h").to_pylist(), batch.column("blocks").to_pylist())]
+        for _, held in sorted(rows, key=lambda r: r[0]):
+            blocks = [Block(tuple(b["path"]), b["text"], b["linked"]) for b in held]
             for found, marks in layouts(blocks, rng, LAYOUTS) if blocks else []:
                 sequences.append(inputs(found[:LONGEST]))
                 labels.append(marks[:LONGEST])
@@ -375,7 +384,8 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in fitted], pa.binary())], names=["weights"])
 
     labeller = Labeller()
-    found = [r.weights for r in chosen.select("html").coalesce(1).mapInArrow(train, "weights binary").collect()]
+    parsed = chosen.mapInArrow(parse, "h long, blocks array<struct<path:array<string>,text:string,linked:int>>")
+    found = [r.weights for r in parsed.coalesce(1).mapInArrow(train, "weights binary").collect()]
     labeller.weights = [np.frombuffer(f, np.float32).reshape(w.shape) for f, w in zip(found, labeller.weights)] or labeller.weights
     return labeller
 

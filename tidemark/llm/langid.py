@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,6 @@ CLUSTERS, SAMPLE = 4, 1000
 REJECT = 0.5
 
 _FOLD = np.array([c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x61 <= c <= 0x7A else 0x20 for c in range(256)], np.uint8)
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def term_counts(texts: list[bytes]) -> np.ndarray:
@@ -88,7 +86,7 @@ class Model:
         near = vectors(term_counts(texts), self.idf) @ self.centres.T
         best = near.argmax(1)
         score = np.clip(near[np.arange(len(texts)), best].astype(float), 0, 1)
-        lettered = np.array([bool(_LETTER.search(t.decode("utf-8", "ignore"))) for t in texts], bool)
+        lettered = np.array([any(map(str.isalpha, t.decode("utf-8", "ignore"))) for t in texts], bool)
         return (
             [self.languages[b] if ok else "und" for b, ok in zip(best, lettered)], np.where(lettered, score, 0.0),
             ~lettered | (score < self.least[best]),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,28 +71,30 @@ class Vocabulary:
         return b"".join(self.bytes[i] for i in ids).decode()[1:]
 
 
+#: A run of spaces with the word behind it, or a line end with the word behind it.
+_SEGMENT = re.compile(r" +[^ \n]*|\n[^ \n]*")
+
+
 def segments(text: str) -> list[str]:
-    """The text cut before each space and line end; spaces are left away, line ends stay.
+    """The text, a space before it, cut before each run of spaces and each line end.
 
-    Pieces have the space mark at their front only, so that no piece crosses a cut and the lattice
-    of a text is a chain of lattices of its segments.
+    A piece has space marks at its front only, one or a run of them, so that no piece crosses a cut and
+    the lattice of a text is a chain of lattices of its segments.
     """
-    return text.replace("\n", " \n").split(" ") if text else []
+    return _SEGMENT.findall(" " + text) if text else []
 
 
 class Lattices:
     """Forward-filtered lattices of distinct segments, as edges sorted by the node where they end."""
 
     def __init__(self, words: list[str], vocabulary: Vocabulary):
-        marked = [w if w[:1] == "\n" else chr(SPACE) + w for w in words]
-        codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.int32).copy()
-        sizes = np.array([len(w) for w in marked], np.int32)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.int32).copy()
+        sizes = np.array([len(w) for w in words], np.int32)
         stops = np.cumsum(sizes, dtype=np.int32)
         begins = stops - sizes
         of = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
-        inner = np.ones(len(codes), bool)
-        inner[begins] = False
-        codes[inner & (codes == SPACE)] = PLAIN
+        codes[codes == SPACE] = PLAIN
+        codes[codes == 0x20] = SPACE
 
         # edges: walks in the trie from every place, all in step; longer ones come first
         letters, room = vocabulary.letter[codes], stops[of] - np.arange(len(codes), dtype=np.int32)

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.llm.text import WordHashes, bounded_batches, chained, pieces, raw, staged
+from tidemark.operators.skew import spread_join
 
 #: Counts of a text, in the order of the columns.
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks"]
@@ -19,7 +20,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 VECTOR = ["x_length", "x_symbols", "x_repeats", "x_upper", "x_marks"]
 #: Least standard deviation of each statistic, so that one which hardly varies in a cell does not
 #: turn a single symbol or repeated phrase into an outlier.
-FLOORS = [0.06, 0.04, 0.2, 0.08, 0.08]
+FLOORS = [0.06, 0.04, 0.12, 0.08, 0.08]
 
 _WHITE, _SYMBOL, _UPPER, _LETTER, _MARK, _REST, _LATER = range(7)
 
@@ -103,8 +104,8 @@ def _vector() -> list[Column]:
     ]
 
 
-#: Distinct texts that a cell needs for estimates of its own; smaller ones are pooled per language, then over all.
-LEAST_ROWS = 200
+#: Distinct texts that the estimates of all texts count for in those of a language, and these in those of a language and source.
+PRIOR = 20
 #: Part of the texts that determines the estimates (with (p + 1) / 2 more, for the highest breakdown
 #: point), and steps for all starts and for the best one.
 SHARE, STEPS, MORE_STEPS = 0.5, 4, 6
@@ -117,17 +118,10 @@ _PAIRS = list(combinations_with_replacement(range(len(VECTOR)), 2))
 _PARAMS = "cell string, start int, m array<double>, p array<double>, size double"
 
 
-def _cells(vectors: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-    """The rows with the cell each belongs to: language and source, or a pool of small ones; ``texts`` has the rows that count."""
+def _named(vectors: DataFrame) -> DataFrame:
+    """The rows with the names of their cells, one of language and source within one of the language within one of all."""
     label = lambda *c: F.to_json(F.array(*(F.coalesce(F.concat(F.lit("="), x), F.lit("null")) for x in c)))
-    counts = (vectors if texts is None else texts).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    small = counts.where(F.col("n") < LEAST_ROWS).groupBy(F.col("lang").alias("l")).agg(F.sum("n").alias("pool"))
-    named = counts.join(small, F.col("lang").eqNullSafe(F.col("l")), "left").select(
-        F.col("lang").alias("l"), F.col("source").alias("s"),
-        F.when(F.col("n") >= LEAST_ROWS, label(F.col("lang"), F.col("source")))
-        .when(F.col("pool") >= LEAST_ROWS, label(F.col("lang"))).otherwise("[]").alias("cell"),
-    )
-    return vectors.join(named, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))).drop("l", "s")
+    return vectors.withColumns({"own": label(F.col("lang"), F.col("source")), "of_lang": label(F.col("lang")), "of_all": F.lit("[]")})
 
 
 def _chi_square(x: float, k: int) -> float:
@@ -263,6 +257,42 @@ def estimates(cells: DataFrame) -> DataFrame:
     return _step(cells, params, INNER).select("cell", "m", "p")
 
 
+def _matrix(p: np.ndarray) -> np.ndarray:
+    """The symmetric matrix of an upper triangle whose off-diagonal entries are doubled."""
+    out = np.zeros((len(VECTOR),) * 2)
+    for (i, j), v in zip(_PAIRS, p):
+        out[i, j] = out[j, i] = v if i == j else v / 2
+    return out
+
+
+def leaning(n: float, m: np.ndarray, p: np.ndarray, m0: np.ndarray, p0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The estimates of ``n`` texts drawn to those of their pool, which count for PRIOR texts: of the mixture of both."""
+    w, d = n / (n + PRIOR), m - m0
+    scatter = w * np.linalg.inv(_matrix(p)) + (1 - w) * np.linalg.inv(_matrix(p0)) + w * (1 - w) * np.outer(d, d)
+    inverse = np.linalg.inv(scatter)
+    return m0 + w * d, np.array([inverse[i, j] * (1 if i == j else 2) for i, j in _PAIRS])
+
+
+def cell_estimates(named: DataFrame) -> DataFrame:
+    """(own, m, p) of each language and source: its estimates, drawn to those of the language, and these to those of all texts."""
+    distinct = staged(named.select("own", "of_lang", "of_all", *VECTOR).distinct(), "vectors")
+    found = staged(estimates(distinct.select(F.explode(F.array("own", "of_lang", "of_all")).alias("cell"), *VECTOR)), "estimates")
+    sizes = distinct.groupBy("own", "of_lang", "of_all").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.join(sizes.groupBy("of_lang").agg(F.sum("n").alias("n_lang")), "of_lang")
+    for k, cell in enumerate(("own", "of_lang", "of_all")):
+        sizes = sizes.join(found.select(F.col("cell").alias(cell), F.col("m").alias(f"m{k}"), F.col("p").alias(f"p{k}")), cell)
+
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples():
+                m, p = leaning(r.n_lang, np.array(r.m1), np.array(r.p1), np.array(r.m2), np.array(r.p2))
+                rows.append((r.own, *leaning(r.n, np.array(r.m0), np.array(r.p0), m, p)))
+            yield pd.DataFrame(rows, columns=["own", "m", "p"])
+
+    return staged(sizes.mapInPandas(drawn, "own string, m array<double>, p array<double>"), "cells")
+
+
 def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """One row per document: doc_id, mark (hash of the text), COUNTS, base_failed, distance, kept.
 
@@ -271,8 +301,9 @@ def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     source. Estimates come from all distinct texts of a cell: concentration steps from four starts,
     each a pre-aggregated sum per cell and bin of distance, keep the half of the texts with the
     smallest covariance determinant, scaled to the scatter of all, and one step reweights. A row goes
-    if its squared Mahalanobis distance is over ``cutoff``. Cells under LEAST_ROWS texts are pooled
-    per language, then over all.
+    if its squared Mahalanobis distance is over ``cutoff``. However small a cell is, it has estimates of
+    its own; they are mixed with those of its language, which count for PRIOR texts, and these
+    with those of all texts, so that a few texts do not judge each other alone.
 
     Null texts have no words, and fail. Null languages and sources are cells of their own. Repeated
     rows are each judged, and count once in the estimates. The distance is null where the base rules fail. Extra columns are ignored; an
@@ -280,9 +311,8 @@ def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), "text")
     stats = staged(with_counts(rows, ["doc_id", "mark", "lang", "source"]).withColumn("base_failed", base_failed()).select("*", *_vector()), "statistics")
-    passed = stats.where("NOT base_failed")
-    cells = staged(_cells(passed, passed.select("lang", "source", *VECTOR).distinct()), "cells")
-    distances = cells.join(estimates(cells), "cell").select(*stats.columns, _distance().alias("distance"))
+    passed = _named(stats.where("NOT base_failed"))
+    distances = spread_join(passed, cell_estimates(passed), "own").select(*stats.columns, _distance().alias("distance"))
     failed = stats.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
     return distances.unionAll(failed).select("doc_id", "mark", *COUNTS, "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= cutoff)).alias("kept"))
 
