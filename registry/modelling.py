@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import functions as F
 
 from registry.common import SALES, query, role, rounded, table
 from registry.testing import f_tail
 from tidemark.operators import model, regress, shap
+from tidemark.operators.forest import importances
+from tidemark.session import written
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -106,55 +108,76 @@ def feature_matrix(spark, sf):
     return model.feature_matrix(rows, ["l_quantity", "blank", "absent"], ["p_type"], KEYS, leakage=["label"])[0]
 
 
-# One row per sold part, its figures rounded so that no feature has more than 128 values.
+# One row per sold part.
 PARTS = """
-SELECT p_partkey AS key, p_size, p_type, CAST(round(AVG(l_quantity)) AS DOUBLE) AS quantity, round(AVG(l_discount), 2) AS discount,
-       CAST(least(COUNT(*), 60) AS DOUBLE) AS sales, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE SUM(l_quantity) * (10 + p_size) END AS label
+SELECT p_partkey AS key, p_size, p_type, AVG(l_quantity) AS quantity, AVG(l_discount) AS discount,
+       CAST(COUNT(*) AS DOUBLE) AS sales, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE SUM(l_quantity) * (10 + p_size) END AS label
 FROM {part} JOIN {lineitem} ON l_partkey = p_partkey GROUP BY p_partkey, p_size, p_type
 """
-BINS = 128
 FEATURES = ["p_size", "quantity", "discount", "sales"]
+# Every line with a label, keyed by all that names a line; features as they are.
+LINES = f"SELECT concat_ws('-', {', '.join(KEYS)}) AS key, l_quantity, l_discount, l_tax, p_size, p_retailprice, p_type, label FROM ({SALES}) s"
+LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
+#: Attributions cost rows x nodes: those of the lines explain a forest whose leaves hold so many rows at least.
+EXPLAINED_ROWS = 100
 
-
-def _sold(spark, sf, label="label"):
-    rows = role(spark, sf, PARTS).withColumn("label", F.expr(label))
-    design, features, _ = model.feature_matrix(rows, FEATURES, ["p_type"], ["key", "label"], leakage=["p_retailprice"])
-    return design.dropna(), features
+SPLIT = "CAST('0x' || substr(md5('42-' || CAST(key AS STRING)), 1, 8) AS BIGINT) % 100"
 
 
-SPLIT = f"CAST('0x' || substr(md5('42-' || CAST(key AS STRING)), 1, 8) AS BIGINT) % 100"
+def _design(spark, sf, rows, numeric, label="label"):
+    df = role(spark, sf, rows).withColumn("label", F.expr(label))
+    design, features, _ = model.feature_matrix(df, numeric, ["p_type"], ["key", "label"], leakage=["l_extendedprice"])
+    return design.dropna(), features
 
 
 @query("m2_split", f"SELECT key, label, CASE WHEN {SPLIT} < 80 THEN 'train' ELSE 'test' END AS part FROM ({PARTS}) p WHERE label IS NOT NULL")
 def split(spark, sf):
-    design, _ = _sold(spark, sf)
+    design, _ = _design(spark, sf, PARTS, FEATURES)
     train, test = model.split(design.select("key", "label"), "key")
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 @lru_cache(maxsize=8)
-def _fit(spark, sf, label="label"):
-    """The forest at its full size (200 trees, depth 30), fitted once for all queries."""
-    design, features = _sold(spark, sf, label)
+def _fit(spark, sf, rows=PARTS, label="label", min_rows=1):
+    """The forest at its full size (200 trees to pure leaves), fitted once for all queries of a session."""
+    design, features = _design(spark, sf, rows, FEATURES if rows is PARTS else LINE_FEATURES, label)
     train, test = model.split(design, "key")
-    return model.rf_regress(model.assemble(train, features), "label", max_bins=BINS), features, train, test
+    return model.rf_regress(train, features, "label", min_rows=min_rows), train, test
+
 
+def _scored(spark, sf, rows=PARTS, label="label", logged=False):
+    forest, _, test = _fit(spark, sf, rows, label)
+    return written(model.predict_back(model.predict(forest, test), logged), "scored")
 
-def _scored(spark, sf, label="label", logged=False):
-    forest, features, _, test = _fit(spark, sf, label)
-    return model.predict_back(forest.transform(model.assemble(test, features)), logged)
 
+def _test(rows: str) -> str:
+    return f"(SELECT key, label FROM ({rows}) p WHERE label IS NOT NULL AND {SPLIT} >= 80)"
 
-TEST = f"SELECT key, label FROM ({PARTS}) p WHERE label IS NOT NULL AND {SPLIT} >= 80"
 
+def _gain(rows: str) -> str:
+    """What predicting the training mean costs; the forest's own errors are only compared with it."""
+    mean = f"(SELECT AVG(label) FROM ({rows}) p WHERE {SPLIT} < 80)"
+    return f"""SELECT COUNT(*) AS n, round(AVG(abs(label - base)), 4) AS baseline_mae, round(sqrt(AVG(pow(label - base, 2))), 4) AS baseline_rmse,
+               true AS beats_mean, true AS explains FROM (SELECT label, {mean} AS base FROM {_test(rows)} t) t"""
 
-@query("m3_rf_regress", f"SELECT COUNT(*) AS n, true AS beats_mean, true AS explains FROM ({TEST}) t")
+
+def _judged(spark, sf, rows, least):
+    _, train, test = _fit(spark, sf, rows)
+    found = model.regression_metrics(_scored(spark, sf, rows), F.col("label"), F.col("predicted"))
+    gain = model.improvement(found, model.mean_baseline(train, test, "label")).withColumn("r2", found.select("r2").scalar())
+    gain = gain.select("n", "baseline_mae", "baseline_rmse", (F.col("mae") < F.col("baseline_mae")).alias("beats_mean"), (F.col("r2") > least).alias("explains"))
+    return rounded(gain, 4, "baseline_mae", "baseline_rmse")
+
+
+@query("m3_rf_regress", _gain(PARTS))
 def rf_regress(spark, sf):
-    _, _, train, test = _fit(spark, sf)
-    forest = model.regression_metrics(_scored(spark, sf), F.col("label"), F.col("predicted"))
-    gain = model.improvement(forest.drop("r2"), model.mean_baseline(train, test, "label"))
-    r2 = forest.select("r2").scalar()
-    return gain.select("n", (F.col("mae") < F.col("baseline_mae")).alias("beats_mean"), (r2 > 0.8).alias("explains"))
+    return _judged(spark, sf, PARTS, 0.8)
+
+
+@query("m3_rf_lines", _gain(LINES))
+def rf_lines(spark, sf):
+    """The forest on every line."""
+    return _judged(spark, sf, LINES, 0.95)
 
 
 @query("m3_rf_metrics")
@@ -162,23 +185,58 @@ def rf_metrics(spark, sf):
     return model.regression_metrics(_scored(spark, sf), F.col("label"), F.col("predicted"))
 
 
-@query("m4_predict_back", f"SELECT key, label, true AS on_scale FROM ({TEST}) t")
-def predict_back(spark, sf):
-    _, _, train, _ = _fit(spark, sf)
+@query("m3_rf_lines_metrics")
+def rf_lines_metrics(spark, sf):
+    return model.regression_metrics(_scored(spark, sf, LINES), F.col("label"), F.col("predicted"))
+
+
+@query("m3_whole_tree", f"SELECT key, round(label, 4) AS label, round(AVG(label) OVER (PARTITION BY {', '.join(LINE_FEATURES)}, p_type), 4) AS predicted FROM ({LINES}) l WHERE label IS NOT NULL")
+def whole_tree(spark, sf):
+    """One tree that draws every line once and splits as long as lines differ: each line gets the mean of its like."""
+    design, features = _design(spark, sf, LINES, LINE_FEATURES)
+    forest = model.rf_regress(design, features, "label", trees=1, bootstrap=False)
+    return rounded(model.predict(forest, design, "predicted").select("key", "label", "predicted"), 4, "label", "predicted")
+
+
+def _stump() -> str:
+    """The split of all lines that lowers the squared error most, by trying every value of every feature."""
+    one = "SELECT '{f}' AS feature, {k} AS k, v, SUM(c) OVER up AS lw, SUM(s) OVER up AS ls, SUM(c) OVER () AS w, SUM(s) OVER () AS s, LEAD(v) OVER (ORDER BY v) AS next FROM (SELECT v, COUNT(*) AS c, SUM(label) AS s FROM (SELECT {x} AS v, label FROM ({rows}) l WHERE label IS NOT NULL) a GROUP BY v) g WINDOW up AS (ORDER BY v)"
+    features = {f: f for f in LINE_FEATURES} | {f"p_type_{t}": f"CASE WHEN p_type = '{t}' THEN 1e0 ELSE 0e0 END" for t in TYPES}
+    every = " UNION ALL ".join(one.format(f=f, k=k, x=f"CAST({x} AS DOUBLE)", rows=LINES) for k, (f, x) in enumerate(features.items()))
+    return f"""SELECT feature, round((v + next) / 2, 8) AS threshold, round(ls / lw, 4) AS left_value, round((s - ls) / (w - lw), 4) AS right_value, CAST(lw AS DOUBLE) AS left_rows
+               FROM ({every}) e WHERE next IS NOT NULL ORDER BY ls * ls / lw + (s - ls) * (s - ls) / (w - lw) DESC, k, v LIMIT 1"""
+
+
+@query("m3_first_split", _stump())
+def first_split(spark, sf):
+    """Feature, threshold and both means of a tree of one split."""
+    design, features = _design(spark, sf, LINES, LINE_FEATURES)
+    nodes = model.rf_regress(design, features, "label", trees=1, bootstrap=False, max_depth=1).nodes()
+    value = lambda k: F.max(F.when(F.col("id") == k, F.col("value")))
+    names = F.array(*map(F.lit, features))
+    root = lambda c: F.max(F.when(F.col("id") == 0, F.col(c)))
+    found = nodes.agg(root("feature").alias("f"), root("threshold").alias("threshold"), value(1).alias("left_value"), value(2).alias("right_value"), F.max(F.when(F.col("id") == 1, F.col("cover"))).alias("left_rows"))
+    return rounded(rounded(found.select(names[F.col("f")].alias("feature"), "threshold", "left_value", "right_value", "left_rows"), 4, "left_value", "right_value"), 8, "threshold")
+
+
+def _scale(spark, sf, rows):
+    """Whether predictions are on the label's scale: inside the training labels, and unchanged."""
+    _, train, _ = _fit(spark, sf, rows)
     low, high = train.agg(F.min("label")).scalar(), train.agg(F.max("label")).scalar()
-    scored = _scored(spark, sf)
-    return scored.select("key", "label", (F.col("predicted") == F.col("raw_prediction")).alias("same"), F.col("predicted").between(low - 1e-6, high + 1e-6).alias("inside")).select(
-        "key", "label", (F.col("same") & F.col("inside")).alias("on_scale")
-    )
+    fits = (F.col("predicted") == F.col("raw_prediction")) & F.col("predicted").between(low - 1e-6, high + 1e-6)
+    return rounded(_scored(spark, sf, rows).select("key", "label", fits.alias("on_scale")), 6, "label")
 
 
-@query("m4_predict_back_log", f"SELECT key, round(log10(label), 9) AS label, true AS on_scale FROM ({TEST}) t")
-def predict_back_log(spark, sf):
-    _, _, train, _ = _fit(spark, sf, "log10(label)")
+def _log_scale(spark, sf, rows):
+    _, train, _ = _fit(spark, sf, rows, "log10(label)")
     low, high = train.agg(F.min("label")).scalar(), train.agg(F.max("label")).scalar()
-    scored = _scored(spark, sf, "log10(label)", True)
-    power, inside = F.abs(F.log10("predicted") - F.col("raw_prediction")) < 1e-9, F.col("raw_prediction").between(low - 1e-6, high + 1e-6)
-    return scored.select("key", F.round("label", 9).alias("label"), power.alias("p"), inside.alias("i")).select("key", "label", (F.col("p") & F.col("i")).alias("on_scale"))
+    fits = (F.abs(F.log10("predicted") - F.col("raw_prediction")) < 1e-9) & F.col("raw_prediction").between(low - 1e-6, high + 1e-6)
+    return _scored(spark, sf, rows, "log10(label)", True).select("key", F.round("label", 9).alias("label"), fits.alias("on_scale"))
+
+
+for _name, _rows in (("", PARTS), ("_lines", LINES)):
+    query(f"m4_predict_back{_name}", f"SELECT key, round(label, 6) AS label, true AS on_scale FROM {_test(_rows)} t")(partial(_scale, rows=_rows))
+    query(f"m4_predict_back_log{_name}", f"SELECT key, round(log10(label), 9) AS label, true AS on_scale FROM {_test(_rows)} t")(partial(_log_scale, rows=_rows))
 
 
 GUESS = f"SELECT {', '.join(KEYS)}, l_linestatus, label, l_quantity * 9e2 AS guess FROM ({SALES}) s"
@@ -229,85 +287,45 @@ def largest_errors(spark, sf):
     return rounded(model.largest_errors(rows, "k", "label", "guess"), 6, "label", "abs_error")
 
 
-@query("m8_importance_rank", "SELECT 1e0 AS total, 10 AS n_features, true AS descending, true AS main_first")
-def importance_rank(spark, sf):
-    forest, features, train, _ = _fit(spark, sf)
-    ranked = model.importance_rank(forest, features, train)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "importance", "feature")))
-    return ranked.agg(F.round(F.sum("importance"), 9).alias("total"), F.count(F.lit(1)).cast("int").alias("n_features"), ordered.alias("o")).select(
-        "total", "n_features", F.aggregate("o", F.struct(F.lit(2.0).alias("x"), F.lit(True).alias("ok")), lambda a, r: F.struct(r["importance"].alias("x"), (a["ok"] & (r["importance"] <= a["x"])).alias("ok")))["ok"].alias("descending"),
-        F.array_contains(F.array(F.lit("sales"), F.lit("p_size"), F.lit("quantity")), F.col("o")[0]["feature"]).alias("main_first"),
-    )
-
-
-@query("m9_shap_values", f"SELECT key, 0e0 AS rest FROM ({TEST}) t")
-def shap_values(spark, sf):
-    """Per row what base and attributions leave of the prediction."""
-    forest, features, _, test = _fit(spark, sf)
-    predicted = forest.transform(model.assemble(test, features)).select("key", "raw_prediction")
-    values = shap.shap_values(forest, test, features, "key")
-    whole = sum((F.col(f"`phi_{f}`") for f in features), F.col("base"))
-    return values.join(predicted, "key").select("key", (F.round(whole - F.col("raw_prediction"), 4) + 0.0).alias("rest"))
-
-
-@query("m10_shap_rank", "SELECT 5 AS n, true AS descending, true AS positive")
-def shap_rank(spark, sf):
-    """Top attributions: how many, in order, and whether more sales raise the label."""
-    forest, features, _, test = _fit(spark, sf)
-    ranked = shap.shap_rank(shap.shap_values(forest, test, features, "key"), features)
-    rows = F.collect_list(F.struct("mean_abs_shap", "feature", "direction"))
-    sales = F.exists("r", lambda r: (r["feature"] == "sales") & (r["direction"] == "positive"))
-    sizes = F.transform("r", lambda r: r["mean_abs_shap"])
-    return ranked.agg(F.count(F.lit(1)).cast("int").alias("n"), rows.alias("r")).select("n", (sizes == F.reverse(F.array_sort(sizes))).alias("descending"), sales.alias("positive"))
+def _ranked(spark, sf, rows, main):
+    """Ten features in order of importance: what all importances add up to, and whether a main one leads."""
+    forest, _, _ = _fit(spark, sf, rows)
+    ranked = model.importance_rank(forest)
+    whole = importances(forest).agg(F.round(F.sum("importance"), 9)).scalar()
+    order = F.transform(F.array_sort(F.collect_list(F.struct("rank", "importance"))), lambda r: r["importance"])
+    return ranked.agg(
+        F.count(F.lit(1)).cast("int").alias("n_features"), (order == F.sort_array(order, asc=False)).alias("descending"), F.min_by("feature", "rank").isin(*main).alias("main_first")
+    ).select(whole.alias("total"), "*")
 
 
-# The same results in full, of a forest on every line with a label; features as they are. These have no SQL.
-LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
-LINE_FOREST = {}  # the operator's 200 trees of depth 30
-
+for _name, _rows, _main in (("", PARTS, ["sales", "p_size", "quantity"]), ("_lines", LINES, ["l_quantity"])):
+    query(f"m8_importance_rank{_name}", "SELECT 1e0 AS total, 10 AS n_features, true AS descending, true AS main_first")(partial(_ranked, rows=_rows, main=_main))
 
-@lru_cache(maxsize=4)
-def _fit_lines(spark, sf, label="label"):
-    rows = role(spark, sf, SALES).withColumn("key", F.concat_ws("-", *KEYS)).withColumn("label", F.expr(label))
-    design, features, _ = model.feature_matrix(rows, LINE_FEATURES, ["p_type"], ["key", "label"], leakage=["l_extendedprice"])
-    train, test = model.split(design.dropna(), "key")
-    return model.rf_regress(model.assemble(train, features), "label", max_bins=BINS, **LINE_FOREST), features, train, test
 
+def _least(rows):
+    return 1 if rows is PARTS else EXPLAINED_ROWS
 
-def _scored_lines(spark, sf, label="label", logged=False):
-    forest, features, _, test = _fit_lines(spark, sf, label)
-    scored = model.predict_back(forest.transform(model.assemble(test, features)), logged)
-    return scored.select("key", "label", "raw_prediction", "predicted")
 
+def _rest(spark, sf, rows):
+    """Per row what base and attributions leave of the prediction, relative to it."""
+    forest, _, test = _fit(spark, sf, rows, min_rows=_least(rows))
+    raw = model.predict(forest, test).groupBy("key").agg(F.sum("raw_prediction").alias("raw"), F.count(F.lit(1)).alias("n"))
+    values = shap.shap_values(forest, test, "key")
+    whole = sum((F.col(f"`phi_{f}`") for f in forest.features), F.col("base"))
+    sums = values.groupBy("key").agg(F.sum(whole).alias("whole"), F.count(F.lit(1)).alias("m"))
+    return sums.join(raw, "key").select("key", "m", (F.round((F.col("whole") - F.col("raw")) / F.col("raw"), 8) + 0.0).alias("rest"))
 
-@query("m3_rf_lines_metrics")
-def rf_lines_metrics(spark, sf):
-    return model.regression_metrics(_scored_lines(spark, sf), F.col("label"), F.col("predicted"))
 
-
-@query("m4_predict_back_lines")
-def predict_back_lines(spark, sf):
-    return _scored_lines(spark, sf)
-
-
-@query("m4_predict_back_log_lines")
-def predict_back_log_lines(spark, sf):
-    return _scored_lines(spark, sf, "log10(label)", True)
-
-
-@query("m8_importance_rank_lines")
-def importance_rank_lines(spark, sf):
-    forest, features, train, _ = _fit_lines(spark, sf)
-    return model.importance_rank(forest, features, train)
-
-
-@query("m9_shap_values_lines")
-def shap_values_lines(spark, sf):
-    forest, features, _, test = _fit_lines(spark, sf)
-    return shap.shap_values(forest, test, features, "key")
+def _drivers(spark, sf, rows, main):
+    """Top attributions: how many, in order, and whether more of the main feature raises the label."""
+    forest, _, test = _fit(spark, sf, rows, min_rows=_least(rows))
+    ranked = shap.shap_rank(shap.shap_values(forest, test, "key"), forest.features)
+    listed = F.collect_list(F.struct("mean_abs_shap", "feature", "direction"))
+    raises = F.exists("r", lambda r: (r["feature"] == main) & (r["direction"] == "positive"))
+    sizes = F.transform("r", lambda r: r["mean_abs_shap"])
+    return ranked.agg(F.count(F.lit(1)).cast("int").alias("n"), listed.alias("r")).select("n", (sizes == F.reverse(F.array_sort(sizes))).alias("descending"), raises.alias("positive"))
 
 
-@query("m10_shap_rank_lines")
-def shap_rank_lines(spark, sf):
-    forest, features, _, test = _fit_lines(spark, sf)
-    return shap.shap_rank(shap.shap_values(forest, test, features, "key"), features)
+for _name, _rows, _main in (("", PARTS, "sales"), ("_lines", LINES, "l_quantity")):
+    query(f"m9_shap_values{_name}", f"SELECT key, COUNT(*) AS m, 0e0 AS rest FROM {_test(_rows)} t GROUP BY key")(partial(_rest, rows=_rows))
+    query(f"m10_shap_rank{_name}", "SELECT 5 AS n, true AS descending, true AS positive")(partial(_drivers, rows=_rows, main=_main))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import tails
-from tidemark.operators import hypothesis, model, profile, quality, ranking, regress, shap
+from tidemark.operators import forest as trees, hypothesis, model, profile, quality, ranking, regress, shap
 from tidemark.sources import readers
 
 
@@ -98,15 +98,15 @@ def test_attributions_of_repeated_keys_and_parts(spark, monkeypatch):
     y = x[:, 0] * x[:, 1] + 3 * x[:, 2]
     df = spark.createDataFrame([(int(k % 7), *map(float, r), float(t)) for k, (r, t) in enumerate(zip(x, y))], "key long, a double, b double, c double, d double, y double")
     names = ["a", "b", "c", "d"]
-    forest = model.rf_regress(model.assemble(df, names), "y", trees=6, max_depth=8)
+    forest = model.rf_regress(df, names, "y", trees=6, max_depth=8)
     whole = sum((F.col(f"phi_{n}") for n in names), F.col("base"))
 
     def rows():
-        out = shap.shap_values(forest, df, names, "key").withColumn("sum", whole)
+        out = shap.shap_values(forest, df, "key").withColumn("sum", whole)
         return sorted(tuple(round(v, 8) for v in r) for r in out.collect())
 
     one = rows()
-    monkeypatch.setattr(shap, "MAX_NODES", 50)
+    monkeypatch.setattr(trees, "SLOT", 50)
     assert len(one) == 300 and rows() == one
-    predicted = sorted(round(r.raw_prediction, 6) for r in forest.transform(model.assemble(df, names)).collect())
+    predicted = sorted(round(r.raw_prediction, 6) for r in model.predict(forest, df).collect())
     assert predicted == pytest.approx(sorted(r[-1] for r in one), abs=1e-6)

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.parse import pow10
+from tidemark.operators import forest as trees_of
+from tidemark.operators.forest import Forest
 from tidemark.operators.regress import encode
 
 # Fixed values of the model.
 SEED = 42
 TRAIN_PERCENT = 80
 TREES = 200
-MAX_DEPTH = 30
 TOP_IMPORTANCES = 10
 TOP_ERRORS = 5
 
@@ -38,23 +37,17 @@ def split(df: DataFrame, key: str, seed: int = SEED, train_percent: int = TRAIN_
     return df.where(draw < train_percent), df.where(draw >= train_percent)
 
 
-def assemble(df: DataFrame, features: list[str], name: str = "features") -> DataFrame:
-    plain = {f: f"_f{i}" for i, f in enumerate(features)}
-    wide = df.withColumns({p: F.col(f"`{f}`") for f, p in plain.items()})
-    return VectorAssembler(inputCols=list(plain.values()), outputCol=name).transform(wide).drop(*plain.values())
+def rf_regress(
+    train: DataFrame, features: list[str], target: str, trees: int = TREES, max_depth: int | None = None, seed: int = SEED,
+    min_rows: int = 1, bootstrap: bool = True,
+) -> Forest:
+    """Bootstrapped forest over all features per split, whose trees grow until their leaves are pure or can't be split."""
+    return trees_of.grow(train, features, target, trees, max_depth, seed, min_rows, bootstrap)
 
 
-def rf_regress(
-    train: DataFrame, target: str, features: str = "features", trees: int = TREES, max_depth: int = MAX_DEPTH,
-    seed: int = SEED, max_bins: int = 64,
-) -> RandomForestRegressionModel:
-    """Bootstrapped forest over all features per split. Where a feature has more than ``max_bins``
-    distinct values its splits are binned, and the forest agrees with an exact one in quality."""
-    forest = RandomForestRegressor(
-        featuresCol=features, labelCol=target, predictionCol="raw_prediction", numTrees=trees, maxDepth=max_depth,
-        featureSubsetStrategy="all", subsamplingRate=1.0, seed=seed, maxBins=max_bins, minInstancesPerNode=1,
-    )
-    return forest.fit(train)
+def predict(forest: Forest, df: DataFrame, raw: str = "raw_prediction") -> DataFrame:
+    """The rows with the forest's mean prediction."""
+    return trees_of.predicted(forest, df, raw)
 
 
 def predict_back(df: DataFrame, log_target: bool, raw: str = "raw_prediction", name: str = "predicted") -> DataFrame:
@@ -93,9 +86,9 @@ def largest_errors(df: DataFrame, key: str, actual: str, predicted: str, k: int
     return errors.orderBy(F.desc_nulls_last("abs_error"), key).limit(k)
 
 
-def importance_rank(model: RandomForestRegressionModel, features: list[str], df: DataFrame, k: int = TOP_IMPORTANCES) -> DataFrame:
+def importance_rank(forest: Forest, k: int = TOP_IMPORTANCES) -> DataFrame:
     """Impurity importances in descending order."""
-    weights = model.featureImportances.toArray()
-    rows = sorted(zip(features, map(float, weights)), key=lambda r: (-r[1], r[0]))[:k]
-    ranked = [(i, f, w) for i, (f, w) in enumerate(rows, start=1)]
-    return df.sparkSession.createDataFrame(ranked, "rank long, feature string, importance double")
+    best = trees_of.importances(forest).orderBy(F.desc("importance"), "feature").limit(k)
+    return best.agg(F.collect_list(F.struct((-F.col("importance")).alias("minus"), "feature", "importance")).alias("all")).select(
+        F.posexplode(F.array_sort("all")).alias("at", "r")
+    ).select((F.col("at") + 1).cast("long").alias("rank"), "r.feature", "r.importance")

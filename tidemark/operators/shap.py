@@ -11,127 +11,97 @@ a polynomial of degree d-1 that Gauss-Legendre nodes integrate exactly.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.regression import RandomForestRegressionModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.moments import safe_corr
 from tidemark.functions.parse import rows_of
-from tidemark.session import shared_dir
+from tidemark.operators.forest import Forest, scored_parts
 
-# Largest number of tree nodes sent to tasks at once; a larger forest is scored in several parts.
-MAX_NODES = 1_000_000
 TOP_FEATURES = 5
 _BLOCK = 4096
 
 
-def tree_nodes(spark: SparkSession, model: RandomForestRegressionModel) -> DataFrame:
-    """Nodes of a saved forest: tree, id, children, split feature and threshold, value, cover."""
-    path = shared_dir(spark, "forest")
-    model.write().save(path)
-    n = "nodeData"
-    return spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").cast("int").alias("tree"), F.col(f"{n}.id").alias("id"),
-        F.col(f"{n}.leftChild").alias("left"), F.col(f"{n}.rightChild").alias("right"),
-        F.col(f"{n}.split.featureIndex").alias("feature"),
-        F.try_element_at(F.col(f"{n}.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"),
-        F.col(f"{n}.prediction").alias("value"), F.col(f"{n}.rawCount").cast("double").alias("cover"),
-    )
-
-
-class _Tree:
-    """One tree as arrays; children and features by node number, the root first."""
-
-    def __init__(self, nodes: pd.DataFrame):
-        nodes = nodes.sort_values("id")
-        self.left, self.right = nodes.left.tolist(), nodes.right.tolist()
-        self.feature, self.threshold = nodes.feature.tolist(), nodes.threshold.tolist()
-        self.value, self.cover = nodes.value.tolist(), nodes.cover.tolist()
-        leaf = (nodes.left < 0).to_numpy()
-        self.base = float((nodes.value * nodes.cover)[leaf].sum() / self.cover[0])
-        self.used = len(set(nodes.feature[~leaf]))
-
-
-def _attribute(x: np.ndarray, tree: _Tree, phi: np.ndarray) -> None:
-    """Add the attributions of one tree to ``phi``, in one walk.
+def _attributed(x: np.ndarray, path: list[tuple[int, float, bool, float]], nodes: dict[str, np.ndarray]) -> np.ndarray:
+    """Attributions of the rows by the leaves of one part, in one walk that begins with the path from the tree's root.
 
     On the way down a node holds the product of its path's factors at the quadrature nodes, so
     that leaves share what their paths share. On the way up it returns the value-weighted sum of
     its leaves' products; an edge divides its own factor out of that. Where a feature is tested
     again below, the edge above takes back what the lower one now accounts for.
     """
-    t, w = np.polynomial.legendre.leggauss(max(1, (tree.used + 1) // 2))
+    left, right, feature, threshold, value, cover = (nodes[c].tolist() for c in ("left", "right", "feature", "threshold", "value", "cover"))
+    used = len({f for f, child in zip(feature, left) if child >= 0} | {f for f, *_ in path})
+    t, w = np.polynomial.legendre.leggauss(max(1, (used + 1) // 2))
     t, w = (t + 1) / 2, w / 2
-    path: dict[int, tuple] = {}
-
-    def walk(at: int, product: np.ndarray) -> np.ndarray:
-        if tree.left[at] < 0:
-            return tree.value[at] * product
-        f, old, total = tree.feature[at], path.get(tree.feature[at]), 0.0
-        below = x[:, f] <= tree.threshold[at]
-        for child, goes in ((tree.left[at], below), (tree.right[at], ~below)):
-            part = tree.cover[child] / tree.cover[at] * (old[1] if old else 1.0)
-            opened = (goes & old[0]) if old else goes
-            factor = part * (1 - t) + opened[:, None] * t
-            path[f] = (opened, part, factor)
-            leaves = walk(child, product * factor / old[2] if old else product * factor)
-            phi[:, f] += (opened - part) * ((leaves / factor) @ w)
-            if old:
-                phi[:, f] -= (old[0] - old[1]) * ((leaves / old[2]) @ w)
-            total = total + leaves
+    seen: dict[int, tuple] = {}
+    phi = np.zeros((len(x), x.shape[1]))
+
+    def edge(f: int, goes: np.ndarray, share: float, product: np.ndarray, below) -> np.ndarray:
+        old = seen.get(f)
+        part = share * (old[1] if old else 1.0)
+        opened = (goes & old[0]) if old else goes
+        factor = part * (1 - t) + opened[:, None] * t
+        seen[f] = (opened, part, factor)
+        leaves = below(product * factor / old[2] if old else product * factor)
+        phi[:, f] += (opened - part) * ((leaves / factor) @ w)
         if old:
-            path[f] = old
+            phi[:, f] -= (old[0] - old[1]) * ((leaves / old[2]) @ w)
+            seen[f] = old
         else:
-            del path[f]
-        return total
-
-    walk(0, np.ones((len(x), len(t))))
+            del seen[f]
+        return leaves
 
-
-def shap_values(model: RandomForestRegressionModel, df: DataFrame, features: list[str], key: str) -> DataFrame:
+    def walk(at: int, product: np.ndarray) -> np.ndarray:
+        if left[at] < 0:
+            return value[at] * product
+        f, below = feature[at], x[:, feature[at]] <= threshold[at]
+        ends = ((left[at], below), (right[at], ~below))
+        return sum(edge(f, goes, cover[child] / cover[at], product, lambda p, child=child: walk(child, p)) for child, goes in ends)
+
+    def down(step: int, product: np.ndarray) -> np.ndarray:
+        if step == len(path):
+            return walk(0, product)
+        f, limit, to_left, share = path[step]
+        goes = (x[:, f] <= limit) == to_left
+        return edge(f, goes, share, product, lambda p: down(step + 1, p))
+
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(limit, 4 * len(left) + 4 * len(path) + 1000))
+    try:
+        down(0, np.ones((len(x), len(t))))
+    finally:
+        sys.setrecursionlimit(limit)
+    return phi
+
+
+def shap_values(forest: Forest, df: DataFrame, key: str) -> DataFrame:
     """Per row: key, features, ``phi_<feature>``, and ``base``, the forest's mean prediction.
 
-    base + sum of phi is the raw prediction. Rows that repeat a key keep their own. A forest over
-    MAX_NODES is scored in parts, each adding to the columns of the one before. (The library holds
-    and broadcasts the whole forest to predict with it; a part is a piece of the same forest.)
+    base + sum of phi is the raw prediction. Rows that repeat a key keep their own. Blocks of rows
+    meet every part of the written node table in tasks, and what the parts say about a row is summed
+    by its number. Rows with a null feature have null attributions.
     """
-    spark = df.sparkSession
-    nodes = tree_nodes(spark, model)
-    trees = model.getNumTrees
-    parts, filled = [[]], 0
-    for row in nodes.groupBy("tree").count().orderBy("tree").collect():
-        if parts[-1] and filled + row["count"] > MAX_NODES:
-            parts.append([])
-            filled = 0
-        parts[-1].append(row["tree"])
-        filled += row["count"]
-
-    phis = [f"phi_{f}" for f in features]
-    sums = [F.lit(0.0).alias(c) for c in [*phis, "base"]]
-    rows = df.select(key, *[F.col(f"`{f}`").cast("double").alias(f) for f in features], *sums)
-
-    def added(part: list[int]):
-        shipped = [_Tree(t) for _, t in nodes.where(F.col("tree").isin(part)).toPandas().groupby("tree")]
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for start in range(0, len(batch), _BLOCK):
-                    block = batch.iloc[start : start + _BLOCK].reset_index(drop=True)
-                    x, phi = block[features].to_numpy(dtype=float), np.zeros((len(block), len(features)))
-                    for tree in shipped:
-                        _attribute(x, tree, phi)
-                    block[phis] += phi / trees
-                    block["base"] += sum(tree.base for tree in shipped) / trees
-                    yield block
-
-        return run
-
-    for part in parts:
-        rows = rows.mapInPandas(added(part), rows.schema)
-    return rows
+    features, trees, tops = forest.features, len(forest.tops), forest.tops
+
+    def score(x, row, tree, part, nodes):
+        path = tops[tree].path(part)
+        share = float(np.prod([p[3] for p in path]))
+        leaf = nodes["left"] < 0
+        base = share * float((nodes["value"] * nodes["cover"])[leaf].sum() / nodes["cover"][0])
+        phi = [_attributed(x[k : k + _BLOCK], path, nodes) for k in range(0, len(x), _BLOCK)]
+        phi = np.concatenate(phi) if phi else np.zeros((0, len(features)))
+        return pa.table({"row": pa.array(row), "base": pa.array(np.full(len(row), base)), **{f"p{k}": pa.array(phi[:, k]) for k in range(len(features))}})
+
+    columns = [f"p{k}" for k in range(len(features))]
+    kept = df.select(key, *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
+    schema = "row long, base double" + "".join(f", {c} double" for c in columns)
+    numbered, found = scored_parts(forest, kept, score, schema, everywhere=True)
+    sums = found.groupBy("row").agg((F.sum("base") / trees).alias("base"), *((F.sum(c) / trees).alias(f"phi_{f}") for c, f in zip(columns, features)))
+    return numbered.join(sums, numbered["_row"] == sums["row"], "left").select(key, *(F.col(f"`{f}`") for f in features), *(F.col(f"`phi_{f}`") for f in features), "base")
 
 
 def shap_rank(values: DataFrame, features: list[str], k: int = TOP_FEATURES) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str = "*", name: str = "tidemark") -> SparkSession:
@@ -27,11 +28,19 @@ def local_session(cpus: str = "*", name: str = "tidemark") -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting falls back to a temporary folder of its own.
+    Without that setting a session of one process, whose tasks see its folders, has one of its own;
+    a cluster must name one.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        root = f"{tempfile.gettempdir()}/tidemark-{spark.sparkContext.applicationId}"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read again: computed once, whatever is lost later."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
