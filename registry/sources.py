@@ -142,29 +142,30 @@ NEWEST = f"""SELECT id, host_id, price FROM (SELECT *, row_number() OVER (PARTIT
     SELECT * FROM ({EXISTING}) e WHERE NOT EXISTS (SELECT 1 FROM ({BATCH}) b WHERE b.id = e.id)
     UNION ALL {NEWEST}""")
 def upsert_fact(spark, sf):
-    fact = writers.VersionedTable(spark, shared_dir(spark, "fact"))
-    existing = role(spark, sf, EXISTING)
-    fact.upsert(existing, "id", F.col("host_id"))
+    path = shared_dir(spark, "fact")
+    writers.upsert(role(spark, sf, EXISTING), path, "id", F.col("host_id"))
     batch = role(spark, sf, BATCH)
     for _ in range(2):  # the second run must change nothing
-        fact.upsert(batch, "id", F.col("seen"))
-    return fact.read()
+        writers.upsert(batch.select("id", "host_id", "price", "seen"), path, "id", F.col("seen"))
+    return writers.read_keyed(spark, path, "id")
 
 
 @query("k4_replace_dim", "SELECT c_custkey AS host_id, c_acctbal AS balance FROM {customer}")
 def replace_dim(spark, sf):
-    dim = writers.VersionedTable(spark, shared_dir(spark, "dim"))
-    dim.replace(role(spark, sf, "SELECT s_suppkey AS host_id, s_acctbal AS balance FROM {supplier}"))
-    dim.replace(role(spark, sf, "SELECT c_custkey AS host_id, c_acctbal AS balance FROM {customer}"))
-    return dim.read()
+    path = shared_dir(spark, "dim")
+    writers.parquet_sink(role(spark, sf, "SELECT s_suppkey AS host_id, s_acctbal AS balance FROM {supplier}"), path)
+    writers.parquet_sink(role(spark, sf, "SELECT c_custkey AS host_id, c_acctbal AS balance FROM {customer}"), path)
+    return spark.read.parquet(path)
 
 
-@query("k5_ensure_key", f"SELECT id, host_id, price, true AS rebuilt FROM ({NEWEST}) n")
+@query("k5_ensure_key", f"SELECT id, host_id, price, true AS rebuilt, true AS keyed FROM ({NEWEST}) n")
 def ensure_key(spark, sf):
-    fact = writers.VersionedTable(spark, shared_dir(spark, "keyless"))
-    fact.replace(role(spark, sf, EXISTING), key=None)
-    rebuilt = fact.upsert(role(spark, sf, BATCH), "id", F.col("seen"))
-    return fact.read().select("id", "host_id", "price", F.lit(rebuilt).alias("rebuilt"))
+    """A table without a key is rebuilt from the batch, and has one row per key then."""
+    path = shared_dir(spark, "keyless")
+    writers.parquet_sink(role(spark, sf, EXISTING), path)
+    rebuilt = writers.upsert(role(spark, sf, BATCH), path, "id", F.col("seen"))
+    keyed = writers.ensure_key(spark, path, "id", verify=True)
+    return writers.read_keyed(spark, path, "id").select("id", "host_id", "price", F.lit(rebuilt).alias("rebuilt"), F.lit(keyed).alias("keyed"))
 
 
 @query("k6_run_audit", """

@@ -33,9 +33,13 @@ def test_raw_to_reports(spark):
     assert got[1]["occupancy_rate_365"] == 0.8 and got[2]["occupancy_rate_365"] == 1.0 and got[3]["occupancy_rate_365"] is None
     assert got[1]["neighbourhood_median_price"] == 700.0 and got[3]["neighbourhood_median_price"] is None
     folder = shared_dir(spark, "star")
-    first = prepare.load_star(spark, master, folder)
+    written = prepare.enrich_run(spark, folder, cleaned, daily, date(2020, 1, 1))
+    assert {r["id"]: r["occupancy_rate_365"] for r in written.collect()} == {k: r["occupancy_rate_365"] for k, r in got.items()}
+    assert prepare.load_star(spark, master, folder)["fact_listing_performance"].count() == 3
     second = prepare.load_star(spark, master, folder)
-    assert first["fact_listing_performance"].count() == second["fact_listing_performance"].count() == 3
+    assert second["fact_listing_performance"].count() == 3
+    log = sorted((r.stage_name, r.row_count_in, r.row_count_out, r.status) for r in spark.read.parquet(f"{folder}/audit").collect())
+    assert log == [("load", 3, 3, "success")] * 2 + [("transform", 3, 3, "success")]
     reports = {k: [tuple(r) for r in v.collect()] for k, v in prepare.star_reports(second).items()}
     assert reports["top_areas"][0][:2] == ("Old Town", 700.0)
     assert {r[0]: r[1] for r in reports["by_host_type"]} == {"Superhost": 2, "Non-superhost": 1}

@@ -37,26 +37,38 @@ def table_of(spark, rows):
     return spark.createDataFrame(rows, "id int, v string, seen int")
 
 
-def content(t):
-    return {r["id"]: r["v"] for r in t.read().collect()}
+def content(spark, path):
+    return {r["id"]: r["v"] for r in writers.read_keyed(spark, path, "id").collect()}
 
 
 def test_upsert_replaces_whole_rows_and_is_idempotent(spark):
-    t = writers.VersionedTable(spark, shared_dir(spark, "t"))
-    assert t.upsert(table_of(spark, [(1, "a", 0), (2, "b", 0)]), "id", F.col("seen"))
+    path = shared_dir(spark, "t")
+    assert writers.upsert(table_of(spark, [(1, "a", 0), (2, "b", 0)]), path, "id", F.col("seen"))
     batch = table_of(spark, [(2, "old", 1), (2, None, 2), (3, "c", 1)])
     for _ in range(2):
-        assert not t.upsert(batch, "id", F.col("seen"))
-        assert content(t) == {1: "a", 2: None, 3: "c"}
-    assert t.ensure_key("id", verify=True)
+        assert not writers.upsert(batch, path, "id", F.col("seen"))
+        assert content(spark, path) == {1: "a", 2: None, 3: "c"}
+    assert writers.ensure_key(spark, path, "id", verify=True)
+    assert not writers.upsert(batch.limit(0), path, "id", F.col("seen")) and len(content(spark, path)) == 3
 
 
 def test_table_with_another_key_is_rebuilt(spark):
-    t = writers.VersionedTable(spark, shared_dir(spark, "t"))
-    t.replace(table_of(spark, [(1, "a", 0), (1, "a", 0)]))
-    assert not t.ensure_key("id")
-    assert t.upsert(table_of(spark, [(5, "z", 0)]), "id", F.col("seen"))
-    assert content(t) == {5: "z"}
+    path = shared_dir(spark, "t")
+    assert not writers.ensure_key(spark, path, "id")
+    writers.parquet_sink(table_of(spark, [(1, "a", 0), (1, "a", 0)]), path)
+    assert not writers.ensure_key(spark, path, "id")
+    assert writers.upsert(table_of(spark, [(5, "z", 0)]), path, "id", F.col("seen"))
+    assert content(spark, path) == {5: "z"}
+    writers.replace_keyed(table_of(spark, [(1, "a", 0), (1, "b", 0)]), path, "id")
+    assert writers.ensure_key(spark, path, "id") and not writers.ensure_key(spark, path, "id", verify=True)
+
+
+def test_an_empty_first_batch_leaves_a_table(spark):
+    path = shared_dir(spark, "t")
+    writers.upsert(table_of(spark, []), path, "id", F.col("seen"))
+    assert content(spark, path) == {}
+    writers.upsert(table_of(spark, [(1, "a", 0)]), path, "id", F.col("seen"))
+    assert content(spark, path) == {1: "a"}
 
 
 def test_audit_rows(spark):
@@ -77,7 +89,7 @@ def test_micro_batches_upsert(spark):
         table_of(spark, rows).write.mode("append").parquet(source)
         stream = spark.readStream.schema("id int, v string, seen int").parquet(source)
         upsert_stream(stream, path, "id", F.col("seen"), shared_dir(spark, "cp") if i == 0 else shared_dir(spark, "cp2")).awaitTermination()
-    assert content(writers.VersionedTable(spark, path)) == {1: "b", 2: "c"}
+    assert content(spark, path) == {1: "b", 2: "c"}
 
 
 def test_columns_by_name_and_strict_types(spark, tmp_path):
@@ -96,58 +108,27 @@ def test_inferred_types(spark, tmp_path):
     assert [r.i for r in df.collect()] == [1, 2, None]
 
 
-def rows(table):
-    return sorted((r.k, r.v) for r in table.read().collect() if r.k is not None)
-
-
 def batch(spark, *pairs):
     return spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(pairs)], "k long, v long, i long")
 
 
-def keyed(spark, path, *pairs):
-    table = writers.VersionedTable(spark, str(path / "t"), buckets=8)
-    table.upsert(batch(spark, *pairs), "k", F.col("i"))
-    return table
-
-
-def test_second_of_two_writers_starts_anew(spark, tmp_path, monkeypatch):
-    first = keyed(spark, tmp_path, (1, 1))
-    second = writers.VersionedTable(spark, str(tmp_path / "t"), buckets=8)
-    read, met = second.state, []
-
-    def stale():
-        found = read()
-        if not met:  # the other writer publishes after this one has read
-            met.append(1)
-            first.upsert(batch(spark, (2, 2)), "k", F.col("i"))
-        return found
-
-    monkeypatch.setattr(second, "state", stale)
-    second.upsert(batch(spark, (3, 3)), "k", F.col("i"))
-    assert rows(first) == [(1, 1), (2, 2), (3, 3)]
-    monkeypatch.setattr(second, "state", lambda: first.state() and {**first.state(), "number": 1})
-    with pytest.raises(writers.Conflict):
-        second.upsert(batch(spark, (4, 4)), "k", F.col("i"), attempts=2)
-
-
-def test_null_keys_are_idempotent(spark, tmp_path):
-    table = keyed(spark, tmp_path, (1, 1), (None, 5))
-    for _ in range(3):
-        table.upsert(batch(spark, (None, 6), (1, 2)), "k", F.col("i"))
-    assert sorted((r.k or 0, r.v) for r in table.read().collect()) == [(0, 6), (1, 2)]
-
+def test_null_keys_are_idempotent(spark):
+    path = shared_dir(spark, "t")
+    for pairs in ([(1, 1), (None, 5)], *[[(None, 6), (1, 2)]] * 3):
+        writers.upsert(batch(spark, *pairs), path, "k", F.col("i"))
+    assert sorted((r.k or 0, r.v) for r in writers.read_keyed(spark, path, "k").collect()) == [(0, 6), (1, 2)]
 
-def test_only_touched_buckets_are_rewritten_and_old_versions_go(spark, tmp_path):
-    table = keyed(spark, tmp_path, *[(k, k) for k in range(100)])
-    before = table.state()["parts"]
-    table.upsert(batch(spark, (7, -7)), "k", F.col("i"))
-    after = table.state()["parts"]
-    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
-    table.upsert(batch(spark, (7, -8)), "k", F.col("i"))
-    assert table.vacuum(keep=1) == 2
-    assert rows(table) == sorted([(k, k) for k in range(100) if k != 7] + [(7, -8)])
-    assert table.vacuum(keep=1) == 0 and table.ensure_key("k", verify=True)
 
+def test_only_touched_partitions_are_rewritten(spark):
+    path = shared_dir(spark, "t")
+    files = lambda: {f.split("/")[-2]: f for f in spark.read.parquet(path).inputFiles()}  # noqa: E731  one file a partition
+    writers.upsert(batch(spark, *[(k, k) for k in range(1000)]), path, "k", F.col("i"))
+    before = files()
+    writers.upsert(batch(spark, (7, -7)), path, "k", F.col("i"))
+    after = files()
+    assert len(before) == writers.BUCKETS and sum(before[b] != after[b] for b in before) == 1
+    found = {r.k: r.v for r in writers.read_keyed(spark, path, "k").collect()}
+    assert found == {k: -7 if k == 7 else k for k in range(1000)}
 
 def test_audit_does_not_wait_for_a_frame_that_never_ran(spark, tmp_path):
     with writers.run_audit(spark, str(tmp_path / "log"), "s", "all") as run:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import clean, derive, star
 from tidemark.sources.readers import parquet_scan
-from tidemark.sources.writers import VersionedTable, parquet_sink, run_audit
+from tidemark.session import written
+from tidemark.sources.writers import csv_sink, parquet_sink, read_keyed, run_audit, upsert
 
 
 @dataclass(frozen=True)
@@ -62,19 +63,19 @@ def clean_run(
 ) -> dict[str, DataFrame]:
     """The whole cleaning stage: three cleaned tables written, its reports, and a row in the audit log.
 
-    ``lookup`` holds the known areas in its first column. Returns the tables as stored, the
-    validation report (rows, dropped, failures per rule), the unknown areas and the log.
+    ``lookup`` holds the known areas in its first column. The parsed entities are written once for the
+    table and both reports. The audit counts the rows of all three tables. Returns the tables as
+    stored, the validation report (rows, dropped, failures per rule), the unknown areas and the log.
     """
     known = lookup.select(F.col(lookup.columns[0]).alias(c.area))
     with run_audit(spark, f"{folder}/audit", "clean", scope) as run:
-        parsed = parse_entities(raw, c)
-        kept = run.count_out(clean.validate_keep(run.count_in(parsed), validation_rules(c)))
-        parquet_sink(kept, f"{folder}/entities")
-        parquet_sink(clean_daily(daily), f"{folder}/daily")
-        parquet_sink(clean_reviews(reviews), f"{folder}/reviews")
-    stored = {name: parquet_scan(spark, f"{folder}/{name}") for name in ("entities", "daily", "reviews")}
+        parsed = written(run.count_in(parse_entities(raw, c)), "parsed")
+        parquet_sink(run.count_out(clean.validate_keep(parsed, validation_rules(c))), f"{folder}/entities")
+        parquet_sink(run.count_out(clean_daily(run.count_in(daily))), f"{folder}/daily")
+        parquet_sink(run.count_out(clean_reviews(run.count_in(reviews))), f"{folder}/reviews")
+    tables = {name: parquet_scan(spark, f"{folder}/{name}") for name in ("entities", "daily", "reviews")}
     unknown = parsed.select(c.area).where(F.col(c.area).isNotNull()).join(known, c.area, "left_anti").groupBy(c.area).agg(F.count(F.lit(1)).alias("n"))
-    return {**stored, "validation": clean.validate_report(parsed, validation_rules(c)), "unknown_areas": unknown, "audit": spark.read.parquet(f"{folder}/audit")}
+    return {**tables, "validation": clean.validate_report(parsed, validation_rules(c)), "unknown_areas": unknown, "audit": spark.read.parquet(f"{folder}/audit")}
 
 
 @dataclass(frozen=True)
@@ -108,6 +109,17 @@ def enrich(entities: DataFrame, daily: DataFrame, as_of: date, c: EnrichColumns
     return derive.group_context(df, c.area, c.key, c.price, c.rating, names)
 
 
+def enrich_run(
+    spark: SparkSession, folder: str, entities: DataFrame, daily: DataFrame, as_of: date, c: EnrichColumns = EnrichColumns(), scope: str = "all"
+) -> DataFrame:
+    """The whole transform stage: the enriched table as parquet and CSV, and a row in the audit log. Returns the table as stored."""
+    with run_audit(spark, f"{folder}/audit", "transform", scope) as run:
+        counted = written(run.count_in(entities), "entities")
+        parquet_sink(run.count_out(enrich(counted, daily, as_of, c)), f"{folder}/master")
+        csv_sink(spark.read.parquet(f"{folder}/master"), f"{folder}/master_csv")
+    return parquet_scan(spark, f"{folder}/master")
+
+
 # Fixed names of the input and of the star schema, and fixed labels of its reports.
 FACT_COLUMNS = {
     "id": "listing_id", "host_id": "host_id", "neighbourhood_cleansed": "neighbourhood", "room_type": "room_type",
@@ -135,19 +147,22 @@ LONGEST_TENURE = "5yr+"
 def load_star(
     spark: SparkSession, master: DataFrame, folder: str, row_key: str = "id", fact_columns: dict[str, str] = FACT_COLUMNS,
     host_columns: dict[str, str] = HOST_COLUMNS, area_columns: dict[str, str] = AREA_COLUMNS, host: str = "host_id",
-    area: str = "neighbourhood_cleansed",
+    area: str = "neighbourhood_cleansed", scope: str = "all",
 ) -> dict[str, DataFrame]:
-    """Upsert the fact by its key, replace both dimensions, and return the stored tables.
+    """Upsert the fact by its key, replace both dimensions, and return the stored tables; a row in the audit log.
 
-    The mappings name columns of the master and what they are called in the star schema.
+    The mappings name columns of the master and what they are called in the star schema. The
+    master is computed once, whatever it is made of. Frames of an earlier load have to be read again.
     """
-    fact = VersionedTable(spark, f"{folder}/fact_listing_performance")
-    hosts = VersionedTable(spark, f"{folder}/dim_host")
-    areas = VersionedTable(spark, f"{folder}/dim_neighbourhood")
-    fact.upsert(star.build_fact(master, fact_columns), "listing_id", F.col("listing_id"))
-    hosts.replace(star.build_dim(master, host_columns, host, row_key))
-    areas.replace(star.build_dim(master, area_columns, area, row_key))
-    return {"fact_listing_performance": fact.read(), "dim_host": hosts.read(), "dim_neighbourhood": areas.read()}
+    key = fact_columns[row_key]
+    paths = {n: f"{folder}/{n}" for n in ("fact_listing_performance", "dim_host", "dim_neighbourhood")}
+    with run_audit(spark, f"{folder}/audit", "load", scope) as run:
+        master = written(run.count_in(master), "master")
+        upsert(run.count_out(star.build_fact(master, fact_columns)), paths["fact_listing_performance"], key, F.col(key))
+        parquet_sink(star.build_dim(master, host_columns, host, row_key), paths["dim_host"])
+        parquet_sink(star.build_dim(master, area_columns, area, row_key), paths["dim_neighbourhood"])
+    fact = read_keyed(spark, paths["fact_listing_performance"], key)
+    return {"fact_listing_performance": fact, **{n: spark.read.parquet(paths[n]) for n in ("dim_host", "dim_neighbourhood")}}
 
 
 def star_reports(

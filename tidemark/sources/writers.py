@@ -1,16 +1,16 @@
-"""Sinks: parquet, CSV, keyed upsert into versioned parquet, dimension replace and run audit."""
+"""Sinks: parquet, CSV, keyed upsert into partitioned parquet, dimension replace and run audit."""
 
 from __future__ import annotations
 
-import json
 import time
-import uuid
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.operators.dedupe import pick_per_key
+from tidemark.session import written
 
 
 def parquet_sink(df: DataFrame, path: str) -> None:
@@ -35,152 +35,69 @@ def upsert_rows(existing: DataFrame, batch: DataFrame, key: str, batch_order: Co
     return existing.alias("e").join(newest.select(key).alias("b"), same, "left_anti").unionByName(newest)
 
 
-#: Buckets that a keyed table is dealt to by a hash of its key.
+#: Buckets that a keyed table is dealt to by a hash of its key; one partition folder each.
 BUCKETS = 64
 
 
-class Conflict(Exception):
-    """Another writer published a version first."""
+def _bucket_column(key: str) -> str:
+    return f"{key}_bucket"
 
 
-class VersionedTable:
-    """A parquet table kept as bucket folders, with numbered manifests that name those of a version.
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn(_bucket_column(key), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(BUCKETS)).cast("int"))
 
-    A manifest holds the key, the schema and the folder of each bucket. A writer publishes the
-    number that follows the one it read, by creating a file that must not exist: of two writers
-    that started from one version, one fails and starts anew. A reader sees a whole version; a
-    batch rewrites only the buckets that hold its keys. ``vacuum`` removes what old versions
-    alone refer to. A table without a key has one part.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-        jvm = spark.sparkContext._jvm
-        self._fs_path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._fs_path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _numbers(self) -> list[int]:
-        folder = self._fs_path(self.path)
-        if not self._fs.exists(folder):
-            return []
-        names = [f.getPath().getName() for f in self._fs.listStatus(folder)]
-        return sorted(int(n.removeprefix("_manifest-")) for n in names if n.startswith("_manifest-"))
-
-    def _manifest(self, number: int) -> dict | None:
-        """A manifest, or None while its writer is at it."""
-        stream = self._fs.open(self._fs_path(f"{self.path}/_manifest-{number:09d}"))
-        try:
-            text = bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-        try:
-            return {**json.loads(text), "number": number}
-        except ValueError:
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written table, or None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
+        raise
 
-    def state(self) -> dict | None:
-        """The newest whole manifest, or None before the first write."""
-        return next((m for n in reversed(self._numbers()) if (m := self._manifest(n))), None)
-
-    def _rows(self, state: dict, buckets: list[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(state["schema"])
-        folders = sorted({f for b, f in state["parts"].items() if buckets is None or b in buckets})
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
-
-    def read(self) -> DataFrame:
-        state = self.state()
-        if state is None:
-            raise FileNotFoundError(self.path)
-        return self._rows(state)
-
-    def _publish(self, after: int, manifest: dict) -> None:
-        """Write the manifest with the number that follows; a number that is taken is a conflict."""
-        try:
-            stream = self._fs.create(self._fs_path(f"{self.path}/_manifest-{after + 1:09d}"), False)
-        except Exception as e:
-            if "already exists" in str(e).lower() or "alreadyexists" in str(e).lower():
-                raise Conflict(self.path) from e
-            raise
-        try:
-            stream.write(bytearray(json.dumps(manifest).encode()))
-        finally:
-            stream.close()
-
-    def _bucket(self, key: str, count: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(count)).cast("int")
-
-    def _written(self, df: DataFrame, key: str | None, count: int) -> dict[str, str]:
-        """The folder of each bucket that has rows, after writing them."""
-        version = f"v-{uuid.uuid4().hex}"
-        if key is None:
-            df.write.parquet(f"{self.path}/{version}")
-            return {"all": version}
-        df.withColumn("_bucket", self._bucket(key, count)).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{version}")
-        names = [f.getPath().getName() for f in self._fs.listStatus(self._fs_path(f"{self.path}/{version}"))]
-        return {n.removeprefix("_bucket="): f"{version}/{n}" for n in names if n.startswith("_bucket=")}
-
-    def _put(self, df: DataFrame, key: str | None, base: int) -> None:
-        parts = self._written(df, key, self.buckets)
-        self._publish(base, {"key": key, "buckets": self.buckets, "schema": df.schema.jsonValue(), "parts": parts})
-
-    def replace(self, df: DataFrame, key: str | None = None) -> None:
-        """Full replace; the last writer wins, whatever was read before."""
-        while True:
-            try:
-                return self._put(df, key, max(self._numbers(), default=0))
-            except Conflict:
-                continue
-
-    def ensure_key(self, key: str, verify: bool = False) -> bool:
-        """True if the stored table is keyed by ``key``.
-
-        Every write leaves one row per key, so the manifest is enough; ``verify`` also counts.
-        """
-        state = self.state()
-        if state is None or state["key"] != key:
-            return False
-        if not verify:
-            return True
-        repeated = self.read().groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        return not repeated.take(1)
-
-    def upsert(self, batch: DataFrame, key: str, batch_order: Column, attempts: int = 5) -> bool:
-        """Upsert a batch; a table with another key is rebuilt from the batch. True if rebuilt.
-
-        Only buckets with keys of the batch are read and written. If another writer publishes in
-        between, the batch is applied anew to that version, ``attempts`` times at most.
-        """
-        for attempt in range(attempts):
-            try:
-                return self._upsert_once(batch, key, batch_order)
-            except Conflict:
-                if attempt + 1 == attempts:
-                    raise
-        raise ValueError("attempts must be positive")
-
-    def _upsert_once(self, batch: DataFrame, key: str, batch_order: Column) -> bool:
-        state = self.state()
-        if state is None or state["key"] != key:
-            self._put(pick_per_key(batch, [key], batch_order, last=True), key, max(self._numbers(), default=0))
-            return True
-        count = state["buckets"]
-        touched = [str(r[0]) for r in batch.select(self._bucket(key, count)).distinct().collect()]  # at most ``count`` numbers
-        parts = self._written(upsert_rows(self._rows(state, touched), batch, key, batch_order), key, count)
-        self._publish(state["number"], {**{k: state[k] for k in ("key", "buckets", "schema")}, "parts": {**state["parts"], **parts}})
+
+def replace_keyed(df: DataFrame, path: str, key: str) -> None:
+    """Full replace of a table by rows that have one row per key, partitioned by a hash of the key."""
+    _dealt(df, key).repartition(_bucket_column(key)).write.mode("overwrite").partitionBy(_bucket_column(key)).parquet(path)
+
+
+def ensure_key(spark: SparkSession, path: str, key: str, verify: bool = False) -> bool:
+    """True if the stored table is partitioned by ``key``; ``verify`` also looks for keys with several rows."""
+    table = stored(spark, path)
+    if table is None or _bucket_column(key) not in table.columns:
         return False
+    return not verify or table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def read_keyed(spark: SparkSession, path: str, key: str) -> DataFrame:
+    return spark.read.parquet(path).drop(_bucket_column(key))
 
-    def vacuum(self, keep: int = 2) -> int:
-        """Remove the folders that only manifests older than the last ``keep`` name, and these; how many folders went."""
-        manifests = [m for n in self._numbers() if (m := self._manifest(n))]
-        old, kept = manifests[:-keep], manifests[-keep:]
-        gone = {f for m in old for f in m["parts"].values()} - {f for m in kept for f in m["parts"].values()}
-        for folder in gone:
-            self._fs.delete(self._fs_path(f"{self.path}/{folder}"), True)
-        for m in old:
-            self._fs.delete(self._fs_path(f"{self.path}/_manifest-{m['number']:09d}"), False)
-        return len(gone)
+
+def upsert(batch: DataFrame, path: str, key: str, batch_order: Column) -> bool:
+    """Upsert a batch into a table; one that isn't partitioned by the key is rebuilt from the batch. True if rebuilt.
+
+    Only the partitions that hold keys of the batch are read, joined and overwritten. The joined
+    rows are written apart before they take the partitions' places, so that a failed run leaves the
+    table as it was or can be run again with the same batch. One writer at a time; whether
+    readers see partitions change one by one is up to the storage.
+    """
+    spark, bucket = batch.sparkSession, _bucket_column(key)
+    newest = written(pick_per_key(batch, [key], batch_order, last=True), "batch")
+    if not ensure_key(spark, path, key):
+        if newest.isEmpty():
+            newest.withColumn(bucket, F.lit(0)).write.mode("overwrite").parquet(path)  # keeps the schema
+        else:
+            replace_keyed(newest, path, key)
+        return True
+    table = spark.read.parquet(path)
+    touched = [r[0] for r in _dealt(newest, key).select(bucket).distinct().collect()]  # BUCKETS numbers at most
+    if touched:
+        existing = table.where(F.col(bucket).isin(touched)).drop(bucket)
+        merged = written(_dealt(upsert_rows(existing, newest, key, F.lit(0)), key), "merged")
+        out = merged.repartition(bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy(bucket).parquet(path)
+    return False
 
 
 AUDIT_SCHEMA = T.StructType(
