@@ -1,29 +1,25 @@
 """Correlation matrix, design matrix, ordinary least squares and variance inflation.
 
-The data is reduced to a k x k correlation matrix and k means by Spark; the driver only solves
-the k x k system.
+Masked Gram products, added up over the tasks, reduce the data to sums per pair of columns; all
+correlations, fits and inflation factors are read off them.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.moments import safe_corr, skew_g1
-from tidemark.functions.parse import rows_of
+from tidemark.functions.moments import skew_g1
 from tidemark.functions.tails import f_sf, t_two_sided
 from tidemark.operators.derive import SKEW_THRESHOLD
 
 # Fixed value of the report.
 VIF_THRESHOLD = 5.0
-#: Column pairs of one aggregate; more would be too wide to compile.
-PAIRS = 60
 
 
 def usable_columns(df: DataFrame, mapping: dict[str, str]) -> dict[str, str]:
@@ -35,22 +31,63 @@ def usable_columns(df: DataFrame, mapping: dict[str, str]) -> dict[str, str]:
     return {label: c for label, c in present.items() if counts[label]}
 
 
+SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+
+def pair_sums(rows: DataFrame, centres: list[float], complete: bool = False) -> DataFrame:
+    """(i, j, SUMS) per pair i <= j of the columns of ``rows``: masked Gram products of each task's rows, added up.
+
+    Sums are taken about the centres, over the rows where both columns have a finite value, or with
+    ``complete`` over those where all have. A task passes on one row per pair, whatever its rows.
+    """
+    k, first, second = len(centres), *np.triu_indices(len(centres))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(first)))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) if batch.num_rows else np.zeros((0, k))
+            mask = np.isfinite(x)
+            if complete:
+                x, mask = x[mask.all(1)], mask[mask.all(1)]
+            v, m = np.where(mask, x, centres) - centres, mask.astype(float)
+            n, s, ss, xy = m.T @ m, v.T @ m, (v * v).T @ m, v.T @ v
+            total += [g[first, second] for g in (n, s, s.T, ss, ss.T, xy)]
+        yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(second, pa.int32()), *map(pa.array, total)], names=["i", "j", *SUMS])
+
+    parts = rows.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in SUMS))
+    return parts.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in SUMS))
+
+
+def _spread(ss: str, s: str) -> Column:
+    """Squared deviations from sums about a centre; none if what is left is rounding."""
+    left = F.col(ss) - F.col(s) * F.col(s) / F.col("n")
+    return F.when(left > 1e-13 * F.col(ss), left)
+
+
 def corr_matrix(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rows (x, y, r): pairwise-complete Pearson correlation of the usable columns.
+    """Rows (x, y, r): pairwise-complete Pearson correlation of the usable columns; null for a constant one.
 
-    The pairs are aggregated PAIRS at a time, each time in one pass over the columns they need;
-    no row is copied.
+    One pass finds the usable columns and their means, a second one takes all pairs from masked
+    Gram products about the means. Values that aren't finite count as missing.
     """
-    usable = usable_columns(df, mapping)
-    x = {label: F.col(c).cast("double") for label, c in usable.items()}
-    pairs = [(a, a) for a in x] + list(combinations(x, 2))
-    half = df.sparkSession.createDataFrame([], "x string, y string, r double")
-    for at in range(0, len(pairs), PAIRS):
-        own = pairs[at : at + PAIRS]
-        sums = df.agg(*[safe_corr(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(own)])
-        half = half.unionByName(sums.select(rows_of(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(own)])))
-    both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
-    return half.select(F.explode(F.array_distinct(both)).alias("_p"), "r").select("_p.x", "_p.y", "r")
+    present = {label: c for label, c in mapping.items() if c in df.columns}
+    if not present:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
+    x = {label: F.col(c).cast("double") for label, c in present.items()}
+    finite = {label: F.when(F.abs(c) < float("inf"), c) for label, c in x.items()}
+    facts = df.agg(*(f(finite[label]).alias(f"{label}_{n}") for label in x for n, f in (("n", F.count), ("mean", F.avg), ("least", F.min), ("most", F.max)))).first()
+    labels = [label for label in x if facts[f"{label}_n"]]
+    centres = [facts[f"{c}_least"] if facts[f"{c}_least"] == facts[f"{c}_most"] else facts[f"{c}_mean"] for c in labels]
+    if not labels:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
+    sums = pair_sums(df.select(*(x[label].alias(f"x{i}") for i, label in enumerate(labels))), centres)
+    both = F.sqrt(_spread("sxx", "sx")) * F.sqrt(_spread("syy", "sy"))
+    r = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / both
+    names = F.array(*map(F.lit, labels))
+    half = sums.where("n > 0").select(names[F.col("i")].alias("x"), names[F.col("j")].alias("y"), F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
+    half = half.unionAll(sums.where("n = 0").select(names[F.col("i")], names[F.col("j")], F.lit(None).cast("double")))
+    turned = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    return half.select(F.explode(F.array_distinct(turned)).alias("_p"), "r").select("_p.x", "_p.y", "r")
 
 
 def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
@@ -100,18 +137,30 @@ class Moments:
 
 
 def complete_case_moments(df: DataFrame, columns: list[str]) -> Moments:
-    """Means, deviations and correlations over rows without a null; constant columns correlate 0."""
-    plain = [f"x{i}" for i in range(len(columns))]
-    rows = df.select(*[F.col(_quoted(c)).cast("double").alias(p) for c, p in zip(columns, plain)]).dropna()
-    vectors = VectorAssembler(inputCols=plain, outputCol="v").transform(rows).select("v")
-    s = vectors.select(Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).first()["s"]
-    n = int(s["count"])
+    """Means, deviations and correlations over rows without a missing value; constant columns correlate 0.
+
+    The sums of all pairs come from one pass about rough means; the driver gets a number per pair of columns.
+    """
+    rows = df.select(*[F.col(_quoted(c)).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    centres = rows.agg(*(F.avg(F.when(F.abs(c) < float("inf"), F.col(c))).alias(c) for c in rows.columns)).first()
+    centres = [c or 0.0 for c in centres]
+    found = pair_sums(rows, centres, complete=True).collect()
+    n = int(found[0].n) if found else 0
     if n < 2:
         raise ValueError("fewer than 2 complete rows")
-    corr = np.array(Correlation.corr(vectors, "v").first()[0].toArray())
+    k = len(columns)
+    mean, cov = np.zeros(k), np.zeros((k, k))
+    for r in found:
+        mean[r.i] = r.sx / n
+        cov[r.i, r.j] = cov[r.j, r.i] = (r.sxy - r.sx * r.sy / n) / (n - 1)
+        if r.i == r.j and cov[r.i, r.i] * (n - 1) <= 1e-13 * r.sxx:
+            cov[r.i, r.i] = 0.0
+    std = np.sqrt(np.maximum(np.diag(cov), 0))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        corr = cov / np.outer(std, std)
     corr = np.where(np.isfinite(corr), corr, 0.0)
     np.fill_diagonal(corr, 1.0)
-    return Moments(n, s["mean"].toArray(), s["std"].toArray(), corr)
+    return Moments(n, mean + centres, std, np.clip(corr, -1, 1))
 
 
 def vif_rows(moments: Moments, columns: list[str]) -> list[tuple[str, float, bool]]:
