@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import tails
-from tidemark.operators import hypothesis as h
+from tidemark.operators import hypothesis as h, ranking
 
 
 def pairs(spark, **groups):
@@ -154,3 +154,29 @@ def test_tukey_direction_and_gate(spark):
     assert h.tukey_hsd(flat, "g", "x", only_if_significant=False).count() == 1
     d = h.posthoc_digest(df, "g", "x").first()
     assert (d["n_groups"], d["highest_group"], d["significant_pairs"], d["most_extreme_pair"]) == (3, "b", 2, None)
+
+
+@pytest.mark.parametrize("k, df", [(2, 3), (5, 40), (13, 50_000), (60, 7)])
+def test_tabulated_tail_is_the_integral(spark, k, df):
+    qs = [0.0, 1e-6, 0.01, 0.3, 1.0, 1.77, 2.5, 3.31, 3.9, 4.6, 5.2, 7.0, 11.3, 30.0, 200.0, float("inf")]
+    found = spark.createDataFrame([(q,) for q in qs], "q double").select("q", tails.tabulated_tail(F.col("q"), tails.studentized_range_table(k, df)).alias("p"))
+    for r in found.collect():
+        wanted = 0.0 if r.q == float("inf") else tails.studentized_range_sf(r.q, k, df)
+        assert abs(r.p - wanted) < 1e-8
+
+
+def test_numbering_by_ranges(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("string").alias("g"))
+    found = ranking.numbered(rows.repartition(9), ["g"], "i")
+    assert [r.i for r in found.orderBy("g").collect()] == list(range(1, 5001))
+    assert ranking.numbered(rows.limit(0), ["g"], "i").collect() == []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_tukey_of_many_groups(spark):
+    """All pairs of 300 groups, without a task that takes all groups in one window."""
+    rows = spark.range(3000).select((F.col("id") % 300).cast("string").alias("g"), (F.col("id") % 300 + F.col("id") % 7).cast("double").alias("x"))
+    found = h.tukey_hsd(rows, "g", "x")
+    assert found.count() == 300 * 299 // 2 and found.where("p_adj IS NULL OR (reject <> (p_adj < 0.05) AND abs(p_adj - 0.05) > 1e-6)").count() == 0
+    assert "WindowExec" not in found._jdf.queryExecution().executedPlan().toString()

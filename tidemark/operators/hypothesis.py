@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.tails import (
-    f_sf, mann_whitney_p, normal_scores, shapiro_p, shapiro_w, studentized_range_quantile, studentized_range_sf, t_two_sided, tail_udf,
+    f_sf, mann_whitney_p, normal_scores, shapiro_p, shapiro_w, studentized_range_quantile, studentized_range_table, t_two_sided, tabulated_tail, tail_udf,
 )
-from tidemark.operators.ranking import group_quantiles, order_statistics, rank_sums
+from tidemark.operators.ranking import group_quantiles, numbered, order_statistics, rank_sums
 from tidemark.operators.skew import spread_join
 
 # Fixed values of the tests.
@@ -385,55 +385,31 @@ def tukey_hsd(
     """Per pair of groups: mean difference (second minus first), adjusted p, interval, reject.
 
     The result has a row per pair of groups by definition; it is built by an equi-join on group
-    numbers over the table of group moments, never over rows of the data.
+    numbers over the written table of group moments, never over rows of the data, and the numbers come
+    from ranges. The driver gets one row of sums; p is read off a table of the tail for this number of
+    groups and degrees of freedom.
     """
-    moments = _usable_groups(df, group, value)
+    moments = numbered(_usable_groups(df, group, value).select("g", "n", "mean", "variance"), ["g"], "_i")
     one = _one_way(moments, _grand_mean(moments))
-    numbered = moments.select("g", "n", "mean").withColumn(
-        "_i", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("g"))
-    )
-    facts = one.select(
-        F.struct(
-            F.col("k"), F.col("df2"), (F.col("ss_within") / F.col("df2")).alias("mse"),
-            tail_udf(f_sf, F.col("f"), F.col("df1"), F.col("df2")).alias("p"),
-            tail_udf(_range_quantile(alpha), F.col("k"), F.col("df2")).alias("crit"),
-        )
-    ).scalar()
-    left = numbered.withColumn("_f", facts).where(F.col("_i") < F.col("_f.k"))
-    if only_if_significant:
-        left = left.where(F.col("_f.p") < alpha)
-    left = left.select(
-        F.col("g").alias("group1"), F.col("n").alias("_n1"), F.col("mean").alias("_m1"), "_f",
-        F.explode(F.sequence(F.col("_i") + 1, F.col("_f.k").cast("int"))).alias("_i"),
-    )
-    right = numbered.select(F.col("g").alias("group2"), F.col("n").alias("_n2"), F.col("mean").alias("_m2"), "_i")
-    pairs = left.join(right, "_i").withColumns(
-        {
-            "meandiff": F.col("_m2") - F.col("_m1"),
-            "_se": F.sqrt(F.col("_f.mse") / 2 * (F.lit(1.0) / F.col("_n1") + F.lit(1.0) / F.col("_n2"))),
-        }
+    fact = one.select("k", "df2", (F.try_divide("ss_within", "df2")).alias("mse"), tail_udf(f_sf, F.col("f"), F.col("df1"), F.col("df2")).alias("p")).first()
+    spark, k, df2 = df.sparkSession, int(fact.k or 0), float(fact.df2 or 0)
+    if k < 2 or df2 <= 0 or (only_if_significant and not (fact.p is not None and fact.p < alpha)):
+        return spark.createDataFrame([], "group1 string, group2 string, meandiff double, q double, p_adj double, lower double, upper double, reject boolean")
+    left = moments.where(F.col("_i") < k).select(
+        F.col("g").alias("group1"), F.col("n").alias("_n1"), F.col("mean").alias("_m1"), F.explode(F.sequence(F.col("_i") + 1, F.lit(k).cast("long"))).alias("_i")
     )
-    pairs = pairs.withColumn("q", F.try_divide(F.abs("meandiff"), F.col("_se")))
-    p = tail_udf(studentized_range_tail, F.col("q"), F.col("_f.k"), F.col("_f.df2"))
-    half = F.col("_se") * F.col("_f.crit")
-    return pairs.withColumn("p_adj", p).select(
-        "group1", "group2", "meandiff", "q", "p_adj",
+    right = moments.select(F.col("g").alias("group2"), F.col("n").alias("_n2"), F.col("mean").alias("_m2"), "_i")
+    se = F.sqrt(F.lit(fact.mse / 2) * (F.lit(1.0) / F.col("_n1") + F.lit(1.0) / F.col("_n2")))
+    pairs = left.join(right, "_i").withColumns({"meandiff": F.col("_m2") - F.col("_m1"), "_se": se})
+    pairs = pairs.withColumn("q", F.when(F.col("_se") > 0, F.abs("meandiff") / F.col("_se")).when(F.col("meandiff") != 0, float("inf")))
+    half = F.col("_se") * studentized_range_quantile(alpha, k, df2)
+    return pairs.select(
+        "group1", "group2", "meandiff", "q", tabulated_tail(F.col("q"), studentized_range_table(k, df2)).alias("p_adj"),
         (F.col("meandiff") - half).alias("lower"), (F.col("meandiff") + half).alias("upper"),
         (F.abs("meandiff") > half).alias("reject"),
     )
 
 
-def studentized_range_tail(q: float, k: float, df: float) -> float:
-    return studentized_range_sf(q, int(k), df)
-
-
-def _range_quantile(alpha: float):
-    def quantile(k: float, df: float) -> float:
-        return studentized_range_quantile(alpha, int(k), df)
-
-    return quantile
-
-
 def posthoc_digest(df: DataFrame, group: str, value: str) -> DataFrame:
     """One row: significant pairs, the most extreme one if there are many groups, and the groups
     with the highest and lowest mean."""
@@ -444,14 +420,11 @@ def posthoc_digest(df: DataFrame, group: str, value: str) -> DataFrame:
         F.min_by("g", F.struct((-F.col("mean")).alias("m"), "g")).alias("highest_group"), F.max("mean").alias("highest_mean"),
         F.min_by("g", F.struct("mean", "g")).alias("lowest_group"), F.min("mean").alias("lowest_mean"),
     )
-    # the critical value counts the pairs; an adjusted p is integrated for the most extreme one alone
-    extreme = F.max_by(F.struct("group1", "group2", "meandiff"), F.struct(F.abs("meandiff").alias("d"), "group1", "group2"))
+    extreme = F.max_by(F.struct("group1", "group2", "meandiff", "p_adj"), F.struct(F.abs("meandiff").alias("d"), "group1", "group2"))
     digest = pairs.agg(F.struct(F.count(F.lit(1)).alias("n"), extreme.alias("pair"))).scalar()
-    widest = pairs.agg(extreme).scalar()
-    p = pairs.where((F.col("group1") == widest["group1"]) & (F.col("group2") == widest["group2"])).agg(F.max("p_adj")).scalar()
     many = F.col("n_groups") > DIGEST_GROUPS
-    whole = F.when(F.col("_d.pair").isNotNull(), F.struct("_d.pair.group1", "_d.pair.group2", "_d.pair.meandiff", F.col("_p").alias("p_adj")))
-    return top.withColumns({"_d": digest, "_p": p}).select(
+    whole = F.when(F.col("_d.pair").isNotNull(), F.col("_d.pair"))
+    return top.withColumn("_d", digest).select(
         "n_groups", "highest_group", "highest_mean", "lowest_group", "lowest_mean",
         F.col("_d.n").alias("significant_pairs"),
         F.when(many, whole).alias("most_extreme_pair"),

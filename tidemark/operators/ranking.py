@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.session import written
+
 # Fixed values of the node numbering. The numbers are never null; saying so keeps joins from
 # adding null filters to one use of a subplan only, which would stop its exchange from being shared.
 _ZERO = 1 << 20
@@ -152,3 +154,19 @@ def rank_sums(df: DataFrame, by: list[str], value: str, first: Column, second: C
     FROM level1 {"GROUP BY " + _list(*by) if by else ""}
     """
     return df.sparkSession.sql(text, df=rows)
+
+
+def numbered(df: DataFrame, by: list[str], name: str) -> DataFrame:
+    """The rows with their place in the order of ``by`` from 1 on, as a written table; ties in any order.
+
+    Rows are sorted within ranges, in one task each; only the sizes of the ranges meet in one place.
+    """
+    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    rows = written(ordered, "numbered").withColumn("_range", F.shiftright("_at", 33))
+    sizes = {r["_range"]: r["n"] for r in rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}  # one a range
+    before, starts = 0, []
+    for k in sorted(sizes):
+        starts += [F.lit(k), F.lit(before)]
+        before += sizes[k]
+    offset = F.try_element_at(F.create_map(*starts), F.col("_range")).cast("long") if starts else F.lit(0).cast("long")
+    return rows.withColumn(name, offset + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at", "_range")
