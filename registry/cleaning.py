@@ -314,9 +314,8 @@ def lookup_align(spark, sf):
     WHERE area IS NULL OR area NOT IN (SELECT n_name FROM {{nation}})""")
 def semi_membership(spark, sf):
     rows = clean.trim_column(role(spark, sf, MESSY).select("area"), "area")
-    known = table(spark, sf, "nation").select(F.col("n_name").alias("area"))
-    inside, outside = rows.join(known, "area", "left_semi"), rows.join(known, "area", "left_anti")
-    return inside.select(F.lit("in").alias("side"), "area").unionByName(outside.select(F.lit("out").alias("side"), "area"))
+    marked = clean.with_membership(rows, "area", table(spark, sf, "nation").select("n_name"))
+    return marked.select(F.when(F.col("known"), "in").otherwise("out").alias("side"), "area")
 
 
 @query("a1_agg_by_flag", f"""

@@ -100,3 +100,17 @@ def test_orphans_with_hot_and_null_child_keys(spark, no_broadcast, hot):
     parent = spark.createDataFrame([("a",), ("hot",)], "k string")
     r = profile.fk_orphans(df, "g", parent, "k", "c").first()
     assert r["count"] == (~pdf.g.isin(["a", "hot"])).sum()
+
+
+def test_membership_with_half_of_the_values_missing(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, (F.col("id") % 10).cast("string")).when(F.col("id") % 3 == 0, "hot").alias("area"))
+    lookup = spark.createDataFrame([("2",), ("4",), ("4",), (None,), ("hot",)], "n string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = clean.with_membership(rows, "area", lookup)
+        assert marked.columns == ["id", "area", "known"] and marked._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+        found = {(r.area, r.known): r.n for r in marked.groupBy("area", "known").agg(F.count("*").alias("n")).collect()}
+        assert found == {("0", False): 400, ("2", True): 400, ("4", True): 400, ("6", False): 400, ("8", False): 400, ("hot", True): 667, (None, False): 1333}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

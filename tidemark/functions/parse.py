@@ -42,10 +42,6 @@ def normalise_text(text: Column) -> Column:
     return F.lower(strip(text))
 
 
-def null_if_nan(x: Column) -> Column:
-    return F.when(~F.isnan(x), x)
-
-
 def map_flag(flag: Column, labels: dict[str, str]) -> Column:
     """Label per flag value; a value without a label becomes null."""
     return F.coalesce(*[F.when(flag == k, F.lit(v)) for k, v in labels.items()])

@@ -104,3 +104,14 @@ def validate_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     passed = reduce(lambda a, b: a & b, rules.values())
     failed = [count_true(~rule).alias(f"failed_{name}") for name, rule in rules.items()]
     return df.agg(F.count(F.lit(1)).alias("rows"), count_true(~passed).alias("dropped"), *failed)
+
+
+def with_membership(df: DataFrame, column: str, lookup: DataFrame, name: str = "known") -> DataFrame:
+    """The rows with whether their value stands in the lookup's first column; null stands in none.
+
+    One pass over the rows for both sides of the question. Rows are spread whatever their value, so that
+    a hot one, or null in half of the rows, binds no task.
+    """
+    values = lookup.select(F.col(f"`{lookup.columns[0]}`").alias(column)).where(F.col(column).isNotNull()).distinct()
+    marked = spread_join(df.drop(name), values.withColumn(name, F.lit(True)), column)
+    return marked.select(*df.drop(name).columns, F.coalesce(name, F.lit(False)).alias(name))

@@ -285,7 +285,3 @@ def geo_grid(df: DataFrame, lat: str, lon: str, value: str, decimals: int = 2) -
     points = geo_points(df, lat, lon, value)
     cell = [round_coord(F.col(c), decimals).alias(c) for c in (lat, lon)]
     return points.groupBy(*cell).agg(F.count(F.lit(1)).alias("points"), F.avg("log_value").alias("mean_log_value"))
-
-
-def first_rows(df: DataFrame, keys: list[str], row_key: str) -> DataFrame:
-    return pick_per_key(df, keys, F.col(row_key))

@@ -71,11 +71,6 @@ def location_block(host: str, lat: str, lon: str, decimals: int = 4) -> list[Col
     return [F.col(host), round_coord(F.col(lat), decimals), round_coord(F.col(lon), decimals)]
 
 
-def number_groups(flagged: DataFrame, group: str = "fuzzy_group") -> DataFrame:
-    """Sizes of the chains, largest keys last; the chain table is small next to its input."""
-    return flagged.groupBy(group).agg(F.count(F.lit(1)).alias("members")).orderBy(group)
-
-
 def iqr_bounds(df: DataFrame, fields: list[str], multiplier: float = IQR_MULTIPLIER) -> DataFrame:
     """Rows (field, n, q1, q3, lower_bound, upper_bound)."""
     q = field_quantiles(df, [], fields, {"q1": 0.25, "q3": 0.75})
