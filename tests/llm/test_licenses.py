@@ -1,4 +1,5 @@
 import duckdb
+import pytest
 from data import clashing, frame, prose
 
 from tidemark.llm import licenses
@@ -24,12 +25,30 @@ def test_canonical_forms(spark):
     assert all(r.digest is None for r in rows if r.doc_id in (9, 10, 11, 12))
 
 
-def test_against_sql(spark):
-    rows = licenses.scanned(frame(spark, texts()), licenses.known_texts(spark)).collect()
+def planted():
+    """Every known text: as it is, under a title and a copyright, in capitals with other marks, with bullets, and with a word too many."""
+    rows = []
+    for k, (name, text) in enumerate(sorted(licenses.KNOWN.items())):
+        spoilt = text.upper().replace("LICENSE", "LICENCE").replace(", ", " ,\n\t")
+        forms = [text, f"The MIT License (MIT)\n\nCopyright Some Names and Others\n\n{text}", f"(c) 2020 Who Ever\n{spoilt}", licenses.re.sub(r"(?m)^[0-9]\. ", "  * ", text), text + " extra"]
+        rows += [(100 * k + j, form, name if j < 4 else None) for j, form in enumerate(forms)]
+    return rows
+
+
+def test_every_known_text_is_found(spark):
+    rows = planted()
+    found = licenses.scanned(frame(spark, [r[:2] for r in rows]), licenses.known_texts(spark), headed=True).collect()
+    assert {r.doc_id: r.licenses for r in found} == {k: name for k, _, name in rows}
+
+
+@pytest.mark.parametrize("headed", [False, True])
+def test_against_sql(spark, headed):
+    docs = texts() + [r[:2] for r in planted()] + [(5000, "MIT License\n"), (5001, "the above\nCopyright holders of Acme\n"), (5002, "x\nCOPYRIGHT Notice\nCopyright Notes Inc")]
+    rows = licenses.scanned(frame(spark, docs), licenses.known_texts(spark), headed=headed).collect()
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?)", texts())
-    wanted = con.execute(licenses.oracle()).fetchall()
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    wanted = con.execute(licenses.oracle(headed)).fetchall()
     assert sorted(map(str, map(tuple, rows))) == sorted(map(str, wanted))
 
 

@@ -29,11 +29,11 @@ VOCABULARY = os.environ.get("TIDEMARK_BYTE_VOCABULARY", "/opt/tokenizers/byte_bp
 
 @query
 def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Canonical digest of every document, and the licences that are this text."""
-    return licenses.scanned(table(spark, sf, "documents"), licenses.known_texts(spark))
+    """Canonical digest of every document past titles and copyrights, and the licences that are this text."""
+    return licenses.scanned(table(spark, sf, "documents"), licenses.known_texts(spark), headed=True)
 
 
-ORACLES["op1_license_scan"] = licenses.oracle()
+ORACLES["op1_license_scan"] = licenses.oracle(headed=True)
 
 #: A folder with further full licence texts, one a file, by a path that Spark can read.
 LICENSES = os.environ.get("TIDEMARK_LICENSES")
@@ -41,10 +41,14 @@ LICENSES = os.environ.get("TIDEMARK_LICENSES")
 
 @query
 def op1_license_files(spark: SparkSession, sf: str) -> DataFrame:
-    """As op1_license_scan, also past title lines and copyrights of a name alone, with the texts of LICENSES."""
+    """As op1_license_scan, with the texts of LICENSES."""
     return licenses.scanned(table(spark, sf, "documents"), licenses.known_texts(spark, LICENSES), headed=True)
 
 
+if not LICENSES:  # without a folder it is the same scan
+    ORACLES["op1_license_files"] = licenses.oracle(headed=True)
+
+
 @query
 def op2_token_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's ids in packed rows, by digests of the rows of ids and positions."""
