@@ -142,3 +142,23 @@ def test_profile_tells_long_texts_apart(spark):
     df = spark.createDataFrame([("x" * 200 + "a",), ("x" * 200 + "b",), ("x" * 200 + "a",)], "t string")
     assert profile.profile_columns(df).first()["cardinality"] == 2
     assert profile.profile_columns(df, exact=False).first()["cardinality"] == 2
+
+
+def test_profiles_merge_from_sketches(spark):
+    """Sketches of three extracts, kept as a table, against the exact profile of all rows."""
+    rows = spark.range(60_000).select(
+        "id", (F.col("id") % 17_011).cast("double").alias("d"), F.concat(F.lit("text "), F.col("id") % 23_000).alias("t"), (F.col("id") % 3 == 0).alias("b"),
+        F.when(F.col("id") % 4 > 0, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 900).cast("int"))).alias("day"), F.lit(None).cast("int").alias("none"),
+    )
+    parts = [rows.where("id < 20000"), rows.where("id BETWEEN 15000 AND 40000"), rows.where("id >= 40000")]
+    kept = profile.column_sketches(parts[0])
+    for p in parts[1:]:
+        kept = kept.unionByName(profile.column_sketches(p))
+    found = {r.column: r for r in profile.merged_profile(kept).collect()}
+    exact = {r.column: r for r in profile.profile_columns(rows).collect()}
+    assert {c: r.cardinality for c, r in exact.items()} == {"id": 60_000, "d": 17_011, "t": 23_000, "b": 2, "day": 675, "none": 0}
+    for c, r in exact.items():
+        assert abs(found[c].cardinality - r.cardinality) <= 0.025 * r.cardinality
+        assert (found[c].dtype, found[c].min_value, found[c].max_value) == (r.dtype, r.min_value, r.max_value)
+    assert found["none"].null_pct == 100 and found["id"].null_pct == 0
+    assert profile.profile_columns(rows, ["id"], exact=False).first().min_value == "0"

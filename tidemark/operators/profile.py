@@ -9,60 +9,90 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.functions.parse import clip_text, pct, rows_of
 
 
-def _tall(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows (column, value as text)."""
-    fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    text = lambda c: (F.col(c) + 0.0 if c in fractional else F.col(c)).cast("string").alias(c)  # noqa: E731 - -0.0 is 0.0
-    return df.select(*[text(c) for c in columns]).unpivot([], columns, "column", "value")
+#: Base-two logarithm of a sketch's buckets; its estimates are off by some 1.6 % in 19 of 20 cases.
+SKETCH_BITS = 14
 
 
-def _identity(text: Column) -> Column:
-    """What two values are told apart by: a digest, so that whole documents are compared but not shuffled."""
-    return F.unhex(F.sha2(text, 256))
+def _identity(df: DataFrame, column: str) -> Column:
+    """What two values of a column are told apart by: numbers and times themselves, other values by 128 bits of hashes.
+
+    All columns share one type, so that they can stand below each other; no value is turned into text.
+    """
+    c, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    whole = fraction = one = other = None
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        whole = c.cast("long")
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        fraction = c.cast("double") + 0.0  # -0.0 is 0.0
+    elif isinstance(kind, T.DateType):
+        whole = F.unix_date(c).cast("long")
+    elif isinstance(kind, T.TimestampType):
+        whole = F.unix_micros(c)
+    else:
+        text = c if isinstance(kind, (T.StringType, T.BinaryType)) else c.cast("string")
+        one, other = F.xxhash64(text), F.xxhash64(F.lit("other"), text)
+    part = lambda v, t, name: (F.lit(None).cast(t) if v is None else v).alias(name)
+    return F.when(c.isNotNull(), F.struct(part(whole, "long", "whole"), part(fraction, "double", "fraction"), part(one, "long", "one"), part(other, "long", "other")))
+
+
+def _values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (column, value): what each cell is told apart by, null for an empty one."""
+    return df.select(*(_identity(df, c).alias(c) for c in columns)).unpivot([], columns, "column", "value")
+
+
+def _bounds(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column: its type, and min and max of a numeric one as text."""
+    types, numeric = dict(df.dtypes), [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    ends = [f(c).alias(f"{side}_{c}") for c in numeric for side, f in (("lo", F.min), ("hi", F.max))]
+    text = lambda c, side: (F.col(f"{side}_{c}").cast("string") if c in numeric else F.lit(None).cast("string"))
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), text(c, "lo").alias("min_value"), text(c, "hi").alias("max_value")) for c in columns]
+    return (df.agg(*ends) if ends else df.sparkSession.range(1)).select(rows_of(*cells))
 
 
 def profile_columns(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Per column: type, rows, null share, distinct values, and min and max of numeric columns.
 
     Distinct values are counted on (column, value) pairs that are combined before the shuffle,
-    which replaces one wide aggregate with an expansion per column. ``exact=False`` estimates
-    them instead, without any shuffle of values. Bounds are text, so that long ids keep every
-    digit.
+    which replaces one wide aggregate with an expansion per column; they are dealt by column and
+    value, so that a column with many of them is spread over all tasks. ``exact=False`` estimates
+    them from sketches instead, without any shuffle of values. Bounds are text, so that long ids
+    keep every digit.
     """
     columns = columns or df.columns
-    types = dict(df.dtypes)
-    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-    values = _tall(df, columns).select("column", _identity(F.col("value")).alias("value"))
-    if exact:
-        counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
-        nulls = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0))
-        base = counts.groupBy("column").agg(
-            F.sum("_n").alias("rows"), nulls.alias("nulls"), F.count("value").alias("cardinality")
-        )
-    else:
-        base = values.groupBy("column").agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("nulls"),
-            F.approx_count_distinct("value").alias("cardinality"),
-        )
-    ends = [f(c).alias(f"{side}_{c}") for c in numeric for side, f in (("lo", F.min), ("hi", F.max))]
-    bounds = df.agg(*ends) if ends else df.sparkSession.range(1)
-    none = F.lit(None).cast("string")
-    facts = bounds.select(
-        rows_of(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.lit(types[c]).alias("dtype"),
-                    (F.col(f"lo_{c}").cast("string") if c in numeric else none).alias("min_value"),
-                    (F.col(f"hi_{c}").cast("string") if c in numeric else none).alias("max_value"),
-                )
-                for c in columns
-            ]
-        )
+    if not exact:
+        return merged_profile(column_sketches(df, columns))
+    counts = _values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    nulls = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0))
+    base = counts.groupBy("column").agg(F.sum("_n").alias("rows"), nulls.alias("nulls"), F.count("value").alias("cardinality"))
+    # the bounds have one row per column of the schema
+    joined = base.join(F.broadcast(_bounds(df, columns)), "column")
+    return joined.select("column", "dtype", pct(F.col("nulls"), F.col("rows")).alias("null_pct"), "cardinality", "min_value", "max_value")
+
+
+def column_sketches(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Per column what a later profile is merged from: type, rows, nulls, bounds as text, and a sketch of the distinct values.
+
+    The rows of this table are all that has to be kept of an extract; merged_profile() adds those of
+    any number of extracts.
+    """
+    columns = columns or df.columns
+    hashed = F.when(F.col("value").isNotNull(), F.xxhash64("value"))
+    base = _values(df, columns).groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("nulls"), F.hll_sketch_agg(hashed, SKETCH_BITS).alias("sketch")
+    )
+    return base.join(F.broadcast(_bounds(df, columns)), "column")
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of all extracts whose sketches are given; distinct values are estimates."""
+    edge = lambda c, first: F.element_at(F.sort_array(F.collect_set(F.struct(F.col(c).cast("decimal(38,10)").alias("n"), F.col(c).alias("t"))), asc=first), 1)["t"]
+    some = lambda c: F.col(c).isNotNull()
+    ends = sketches.groupBy("column").agg(
+        F.any_value("dtype").alias("dtype"), F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("cardinality"),
     )
-    # facts has one row per column of the schema
-    joined = base.join(F.broadcast(facts), "column")
-    return joined.select(
+    low, high = (sketches.where(some(c)).groupBy("column").agg(edge(c, first).alias(c)) for c, first in (("min_value", True), ("max_value", False)))
+    return ends.join(low, "column", "left").join(high, "column", "left").select(
         "column", "dtype", pct(F.col("nulls"), F.col("rows")).alias("null_pct"), "cardinality", "min_value", "max_value"
     )
 
