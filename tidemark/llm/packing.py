@@ -98,7 +98,10 @@ def packed_rows(docs: DataFrame, vocabulary: str, width: int = WIDTH, pad: int |
     the filling. They have 16 bits if the vocabulary allows, else 32; positions always have 32.
     A document's parts, one after another, are its ids: no id is lost or repeated. Texts are packed
     in blocks of some BLOCK_BYTES within a task, so that nothing is shuffled; ``block`` numbers them
-    within the run and ``row`` the rows within a block. The vocabulary's path is read on the driver.
+    within the run and ``row`` the rows within a block. So the rows depend on how the texts lie in
+    partitions, the ids of each document don't; a task's last block may be small. BLOCK_BYTES counts
+    characters here. Segments of equal length are placed in the order of their texts; of rows of equal
+    room the one filled last is taken. The vocabulary's path is read on the driver.
 
     Null and empty texts have no segments; null ids stay null in doc_ids; rows that repeat an id are
     packed each; extra columns are ignored; an empty table gives no rows.
