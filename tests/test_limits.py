@@ -110,3 +110,76 @@ def test_attributions_of_repeated_keys_and_parts(spark, monkeypatch):
     assert len(one) == 300 and rows() == one
     predicted = sorted(round(r.raw_prediction, 6) for r in model.predict(forest, df).collect())
     assert predicted == pytest.approx(sorted(r[-1] for r in one), abs=1e-6)
+
+
+def repeated(spark, seed=5, copies=4):
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([rng.integers(0, 40, 150), rng.integers(0, 2, 150), rng.integers(0, 9, 150)]).astype(float)
+    y = x[:, 0] * 3 + x[:, 1] * x[:, 2] + rng.integers(0, 3, 150)
+    rows = [(k, *map(float, r), float(t)) for k, (r, t) in enumerate(zip(np.tile(x, (copies, 1)), np.tile(y, copies)))]
+    return spark.createDataFrame(rows, "key long, a double, b double, c double, y double")
+
+
+def test_equal_rows_are_one_item_drawn_as_often(spark):
+    """Rows of equal features and label are held once, with the numbers they are drawn by; scoring meets equal features once."""
+    df, names = repeated(spark), ["a", "b", "c"]
+    x = F.array(*names)
+    items = trees._items(df.select(F.col("key").alias("row"), x.alias("x"), "y")).collect()
+    assert len(items) == df.select(*names, "y").distinct().count() < 600
+    assert sorted(k for i in items for k in i.rows) == list(range(600))
+    once, _ = np.unique(np.array([[*i.x, i.y] for i in items]), axis=0, return_counts=True)
+    assert len(once) == len(items)
+    forest = model.rf_regress(df, names, "y", trees=3)
+    rows, points, _ = trees.scored_parts(forest, df, lambda *a: None, "point long")
+    assert points.count() == df.select(*names).distinct().count() and rows.count() == 600
+    drawn = sum(trees.draws(np.array([r.row]), 0, 42)[0] for r in df.select(F.monotonically_increasing_id().alias("row")).collect())
+    root = forest.nodes().where("tree = 0 AND id = 0").first()
+    assert root.cover == drawn
+
+
+def test_large_groups_of_equal_rows_stay_several_items(spark, monkeypatch):
+    monkeypatch.setattr(trees, "ALONE", 10)
+    df = spark.range(0, 400, 1, 4).select(F.col("id").alias("row"), F.array(F.lit(1.0), (F.col("id") % 40 == 0).cast("double")).alias("x"), F.lit(2.0).alias("y"))
+    items = trees._items(df).collect()
+    assert sorted(k for i in items for k in i.rows) == list(range(400)) and len(items) == 5  # one of 10 rows, gathered, and 4 of the tasks
+
+
+def test_grown_counts_the_rows_of_items():
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.integers(0, 12, 60), rng.integers(0, 2, 60)]).astype(float)
+    y, m = rng.normal(size=60) + x[:, 0], rng.integers(1, 4, 60)
+    once, plain = (trees.grown(a, b, c, None, 5, d) for a, b, c, d in ((x, y, m.astype(float), m.astype(float)), (*(np.repeat(v, m, axis=0) for v in (x, y, np.ones(60))), None)))
+    for c in once:
+        np.testing.assert_allclose(once[c], plain[c], atol=1e-9)
+
+
+def test_first_split_above_the_parts_is_exact(spark, monkeypatch):
+    """With and without parts below the root: the same middle between two values, means and rows."""
+    df, names = repeated(spark), ["a", "b", "c"]
+    found = []
+    for cells in (10**6, 60):
+        monkeypatch.setattr(trees, "CELLS", cells)
+        found.append([model.rf_regress(df, names, "y", 1, depth, bootstrap=False).first_splits().first() for depth in (1, None)])
+    (a, b), (c, d) = found
+    for other in (b, c, d):
+        assert tuple(other) == pytest.approx(tuple(a))
+    low = df.where(F.col(names[a.feature]) <= a.threshold).agg(F.avg("y"), F.count("y")).first()
+    assert (a.left_value, a.left_rows) == pytest.approx(tuple(low)) and a.threshold % 1 == 0.5
+    constant = model.rf_regress(df.withColumn("y", F.lit(1.0)), names, "y", 1, None).first_splits().first()
+    assert constant.feature is None and constant.left_rows is None
+
+
+def test_slots_follow_the_points_of_a_part(spark, monkeypatch):
+    monkeypatch.setattr(trees, "CELLS", 120)
+    monkeypatch.setattr(trees, "SLOT", 5)
+    df, names = repeated(spark), ["a", "b", "c"]
+    forest = model.rf_regress(df, names, "y", trees=2)
+    assert all(len(t.parts()) > 2 for t in forest.tops)
+    counts = []
+    def score(x, point, tree, part, nodes):
+        import pyarrow as pa
+        return pa.table({"n": pa.array([len(x)])})
+    _, points, met = trees.scored_parts(forest, df, score, "n long")
+    counts = [r.n for r in met.collect()]
+    n = points.count()
+    assert sum(counts) == 2 * n and len(counts) <= sum(len(t.parts()) for t in forest.tops) + 2 * n / 5
