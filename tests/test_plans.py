@@ -57,3 +57,16 @@ def test_buckets_come_in_bucket_order(spark, sf):
     got = [r["tenure_bucket"] for r in __spark_entry__.queries()["f4_sort_custom"](spark, sf).collect()]
     order = ["<1yr", "1-3yr", "3-5yr", "5yr+", "Unknown"]
     assert got == [b for b in order if b in got] and len(got) > 1
+
+
+def test_star_queries_load_a_written_master(spark, sf, monkeypatch):
+    """Both loads read one stored master, and an upsert picks the newest rows of its batch once."""
+    from registry import pipelines
+    from tidemark.sources import writers
+
+    plans, picks, load, pick = [], [], pipelines.prepare.load_star, writers.pick_per_key
+    monkeypatch.setattr(pipelines.prepare, "load_star", lambda spark, master, *a, **b: (plans.append(master._jdf.queryExecution().optimizedPlan().toString()), load(spark, master, *a, **b))[1])
+    monkeypatch.setattr(writers, "pick_per_key", lambda *a, **b: (picks.append(1), pick(*a, **b))[1])
+    assert pipelines.star_load(spark, sf).count() > 0
+    assert len(plans) == 2 and not any("Join" in p or "Aggregate" in p for p in plans)
+    assert len(picks) == 2

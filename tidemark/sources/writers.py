@@ -30,7 +30,12 @@ def upsert_rows(existing: DataFrame, batch: DataFrame, key: str, batch_order: Co
     A whole row is replaced, so a null in the batch overwrites. The last row of the batch wins. A
     null key is a key like others.
     """
-    newest = pick_per_key(batch, [key], batch_order, last=True).select(*existing.columns)
+    return _replaced(existing, pick_per_key(batch, [key], batch_order, last=True), key)
+
+
+def _replaced(existing: DataFrame, newest: DataFrame, key: str) -> DataFrame:
+    """``upsert_rows`` of a batch with one row per key."""
+    newest = newest.select(*existing.columns)
     same = F.col(f"e.`{key}`").eqNullSafe(F.col(f"b.`{key}`"))
     return existing.alias("e").join(newest.select(key).alias("b"), same, "left_anti").unionByName(newest)
 
@@ -94,7 +99,7 @@ def upsert(batch: DataFrame, path: str, key: str, batch_order: Column) -> bool:
     touched = [r[0] for r in _dealt(newest, key).select(bucket).distinct().collect()]  # BUCKETS numbers at most
     if touched:
         existing = table.where(F.col(bucket).isin(touched)).drop(bucket)
-        merged = written(_dealt(upsert_rows(existing, newest, key, F.lit(0)), key), "merged")
+        merged = written(_dealt(_replaced(existing, newest, key), key), "merged")
         out = merged.repartition(bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         out.partitionBy(bucket).parquet(path)
     return False
