@@ -4,6 +4,7 @@ import math
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +184,32 @@ def test_slots_follow_the_points_of_a_part(spark, monkeypatch):
     counts = [r.n for r in met.collect()]
     n = points.count()
     assert sum(counts) == 2 * n and len(counts) <= sum(len(t.parts()) for t in forest.tops) + 2 * n / 5
+
+
+def test_predictions_copy_what_they_need_of_the_nodes(spark, monkeypatch):
+    """A part's nodes meet its points once, without columns that a prediction does not read; few files of points are dealt by all cores."""
+    monkeypatch.setattr(trees, "SLOT", 5)
+    df, names = repeated(spark), ["a", "b", "c"]
+    forest = model.rf_regress(df, names, "y", trees=2)
+    met, scored_parts = [], trees.scored_parts
+
+    def watched(*given, **named):
+        met.append((given, named))
+        return scored_parts(*given, **named)
+
+    monkeypatch.setattr(trees, "scored_parts", watched)
+    plain = model.predict(forest, df)
+    _, named = met[0]
+    assert not {"cover", "gain"} & set(named["needed"])
+    counted = lambda x, *_: pa.table({"n": pa.array([len(x)])})
+    _, points, found = scored_parts(forest, df, counted, "n long", **named)
+    assert [r.n for r in found.collect()] == [points.count()] * 2
+    cores = spark.sparkContext.defaultParallelism
+    assert trees._spread(points.coalesce(1)).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(trees, "CELLS", 30)  # ten points a slot
+    assert sorted(r.raw_prediction for r in model.predict(forest, df).collect()) == pytest.approx(sorted(r.raw_prediction for r in plain.collect()))
+
+
+def test_items_of_both_zeros_are_one(spark):
+    df = spark.createDataFrame([(0, [0.0, 1.0], 2.0), (1, [-0.0, 1.0], 2.0), (2, [0.0, 1.0], -0.0), (3, [0.0, 1.0], 0.0)], "row long, x array<double>, y double")
+    assert sorted(sorted(r.rows) for r in trees._items(df).collect()) == [[0, 1], [2, 3]]
