@@ -96,3 +96,44 @@ def test_price_study_reads_its_rows_once(spark):
     study = price_study(df.mapInArrow(passing, df.schema), "id", "y", ["a", "b"], ["c"], trees=2, max_depth=3)
     assert study.improvement.count() == 1 and study.facts.first().n_rows == 600
     assert seen.value == 600
+
+
+@pytest.mark.parametrize(("least", "depth"), [(1, None), (5, None), (1, 4)])
+def test_trees_are_the_same_whatever_the_runs(monkeypatch, least, depth):
+    rng = np.random.default_rng(3)
+    n = 700
+    x = np.column_stack([rng.integers(0, 30, (n, 2)), rng.normal(size=n), rng.integers(0, 2, (n, 2)), np.zeros(n)]).astype(float)
+    x[rng.random(n) < 0.05, 2] = np.nan
+    y, w = np.round(x[:, 0] * (3 + x[:, 3]) + rng.integers(0, 4, n), 1), rng.integers(1, 4, n).astype(float)
+    monkeypatch.setattr(forest, "RUN", n)
+    whole = forest.grown(x, y, w, depth, least)
+    monkeypatch.setattr(forest, "RUN", 16)
+    for c, values in forest.grown(x, y, w, depth, least).items():
+        assert values.tobytes() == whole[c].tobytes()
+    leaf = forest.reached(x, *(whole[c] for c in ("left", "right", "feature", "threshold")))
+    assert (np.bincount(leaf, w, len(whole["cover"]))[whole["left"] < 0] == whole["cover"][whole["left"] < 0]).all()
+
+
+def test_rows_are_ordered_column_by_column():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(0, 3, (400, 5)) / 2
+    rows[rng.random(rows.shape) < 0.1] = np.nan
+    np.testing.assert_array_equal(forest._ordered(rows), rows[np.lexsort(rows.T[::-1])])
+
+
+def test_items_are_dealt_in_few_bytes():
+    rng = np.random.default_rng(5)
+    n, top = 300, forest.Top()
+    x, y = np.column_stack([rng.integers(0, 2, (n, 6)), rng.normal(size=n)]).astype(float), rng.normal(size=n)
+    lists = lambda v, kind: pa.array(v.tolist(), pa.list_(kind))
+    batch = pa.RecordBatch.from_arrays([lists(x, pa.float64()), pa.array(y), lists(np.arange(n)[:, None], pa.int64())], names=["x", "y", "rows"])
+    out = pa.Table.from_batches(forest._blocks({0: top}, 42, True)(iter([batch])))
+    w = forest.draws(np.arange(n), 0, 42)
+    assert len(out["block"][0].as_py()) <= 40 * (w > 0).sum()
+    np.testing.assert_array_equal(forest._plain(out["kind"], out["block"]), np.column_stack([x, y, w, np.ones(n)])[w > 0])
+
+
+def test_importances_read_no_nodes(spark):
+    grown = model.rf_regress(rows_of(spark), ["a", "b", "c"], "y", trees=3)
+    plan = forest.importances(grown)._jdf.queryExecution().executedPlan().toString()
+    assert "gains" in plan and "threshold" not in plan
