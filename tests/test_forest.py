@@ -137,3 +137,47 @@ def test_importances_read_no_nodes(spark):
     grown = model.rf_regress(rows_of(spark), ["a", "b", "c"], "y", trees=3)
     plan = forest.importances(grown)._jdf.queryExecution().executedPlan().toString()
     assert "gains" in plan and "threshold" not in plan
+
+
+@pytest.mark.parametrize("least", [1, 40])
+def test_splits_do_not_depend_on_what_a_task_holds(spark, monkeypatch, least):
+    """Above the parts as below: all values are tried, thresholds lie between values of the node, splits that gain nothing are made."""
+    rng = np.random.default_rng(8)
+    n = 3000
+    x = np.column_stack([rng.normal(size=n), rng.integers(0, 3, n), np.round(rng.exponential(size=n), 3)])
+    y = np.round(40 * np.sin(3 * x[:, 0])) + x[:, 1] * 5 + rng.normal(size=n)
+    df = spark.createDataFrame([(k, *map(float, r), float(t)) for k, (r, t) in enumerate(zip(x, y))], "id long, a double, b double, c double, y double")
+    made = []
+    for cells in (10**6, 900):
+        monkeypatch.setattr(forest, "CELLS", cells)
+        made.append(model.rf_regress(df, ["a", "b", "c"], "y", trees=3, min_rows=least))
+    assert all(len(t.parts()) == 1 for t in made[0].tops) and all(len(t.parts()) > 4 for t in made[1].tops)
+    if least > 1:  # nodes of a few rows have equally good splits, among which rounding decides
+        one, other = ({r.id: r.raw_prediction for r in model.predict(f, df).collect()} for f in made)
+        assert other == pytest.approx(one)
+    whole = made[0].nodes().where("part = 0 AND left >= 0").toPandas().set_index(["tree", "id"])
+    for t, top in enumerate(made[1].tops):
+        inner, at = [k for k in range(len(top.left)) if top.left[k] >= 0], {0: 0}
+        for k in inner:
+            node = whole.loc[t, at[k]]
+            assert (top.feature[k], top.threshold[k]) == (node.feature, node.threshold)
+            at |= {top.left[k]: int(node.left), top.right[k]: int(node.right)}
+
+
+def test_large_nodes_without_gain_are_split(spark, monkeypatch):
+    rows = [(float(a), float(b), float(a ^ b)) for a in (0, 1) for b in (0, 1)]
+    df = spark.createDataFrame(rows * 5, "a double, b double, y double")
+    monkeypatch.setattr(forest, "CELLS", 2)
+    got = model.predict(model.rf_regress(df, ["a", "b"], "y", trees=1, bootstrap=False), df).collect()
+    assert len(got) == 20 and all(r.raw_prediction == r.y for r in got)
+
+
+def test_bins_are_bounded_from_above():
+    """No split inside a bin gains more than its bound, so that none is missed."""
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        y, w, (a, b) = rng.normal(size=60).round(2), rng.integers(1, 4, 60).astype(float), np.sort(rng.choice(61, 2, False))
+        sw, ss = (np.concatenate(([0.0], np.cumsum(v))) for v in (w, w * y))
+        gains = forest._gain(sw, ss, sw[-1], ss[-1])
+        bound = forest._most(*(np.array([v]) for v in (sw[a], ss[a], sw[b], ss[b], y[a:b].min(), y[a:b].max())), sw[-1], ss[-1])
+        assert gains[a : b + 1].max() <= bound[0] + 1e-9
