@@ -181,3 +181,57 @@ def test_bins_are_bounded_from_above():
         gains = forest._gain(sw, ss, sw[-1], ss[-1])
         bound = forest._most(*(np.array([v]) for v in (sw[a], ss[a], sw[b], ss[b], y[a:b].min(), y[a:b].max())), sw[-1], ss[-1])
         assert gains[a : b + 1].max() <= bound[0] + 1e-9
+
+
+def test_attributions_are_added_up_in_lots_of_parts(spark, monkeypatch):
+    """A point leaves a row per pass, not one per part; lots, slots and passes change nothing."""
+    df, names = rows_of(spark), ["a", "b", "c"]
+    monkeypatch.setattr(forest, "CELLS", 300)
+    grown = model.rf_regress(df, names, "y", trees=4)
+    _, points = forest.points_of(grown, df)
+    n, parts = points.count(), sum(len(t.parts()) for t in grown.tops)
+    assert parts > 12 and shap._by_lots(grown, points).count() == n
+    plain = {r.id: tuple(r) for r in shap.shap_values(grown, df, "id").collect()}
+    for name, value in (("SLOT", 100), ("NODES", 200)):
+        monkeypatch.setattr(shap, name, value)
+    monkeypatch.setattr(forest, "DEALT", 1)
+    assert n < shap._by_lots(grown, points).count() < n * parts
+    found = shap.shap_values(grown, df, "id").join(model.predict(grown, df).select("id", "raw_prediction"), "id").toPandas()
+    assert len(found) == 600 and (found.base + found.phi_a + found.phi_b + found.phi_c).tolist() == pytest.approx(found.raw_prediction.tolist())
+    assert all(tuple(r)[:8] == pytest.approx(plain[r.id]) for r in found.itertuples(index=False))
+
+
+def test_predictions_are_summed_over_passes(spark, monkeypatch):
+    df, names = rows_of(spark), ["a", "b", "c"]
+    grown = model.rf_regress(df, names, "y", trees=5)
+    plain, made, written = model.predict(grown, df).toPandas(), [], forest.written
+    monkeypatch.setattr(forest, "DEALT", 1)
+    monkeypatch.setattr(forest, "FEWEST", 2)
+    monkeypatch.setattr(forest, "written", lambda rows, label: made.append(label) or written(rows, label))
+    found = model.predict(grown, df).toPandas()
+    assert made.count("met") == 3  # two trees at a time
+    again = model.rf_regress(df, names, "y", trees=5)
+    assert made.count("trees") == 3 and model.predict(again, df).count() == 600
+    key = lambda p: p.set_index("id").raw_prediction.to_dict()
+    assert key(found) == pytest.approx(key(plain))
+
+
+def test_points_are_copied_as_often_as_rows_repeat(spark, monkeypatch):
+    df, names, made, joined = rows_of(spark), ["id"], [], forest.spread_join
+    grown = model.rf_regress(df, names, "y", trees=1)
+    monkeypatch.setattr(forest, "spread_join", lambda *given, **named: made.append(named["salts"]) or joined(*given, **named))
+    assert model.predict(grown, df).count() == 600 and model.predict(grown, df.unionAll(df).unionAll(df)).count() == 1800
+    assert made == [1, 3]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        found = blocks.getAllFiles()
+        return {name for k in range(found.size()) if (name := found.apply(k).getName()).startswith("shuffle_")}
+
+    before = held()
+    made = forest.written(spark.range(1000).groupBy((F.col("id") % 7).alias("g")).count(), "test")
+    assert not {f for f in held() - before if f.endswith(".data")}
+    assert made.count() == 7
